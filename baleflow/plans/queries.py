@@ -96,8 +96,8 @@ def distinct_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The arrival columns order as `seq` does, and need no numbering of the whole table.
-    first = prepare.first_rows(order_lines(spark, sf_dir), 10, "id", *ARRIVAL)
-    return prepare.prepare_orders(first).select(ORDER_COLUMNS)
+    first = prepare.first_rows(_orders(spark, sf_dir), 10, "id", *ARRIVAL)
+    return first.select(ORDER_COLUMNS)
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,8 +139,12 @@ def order_running_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, out = new_dir(spark, "orders-topic"), new_dir(spark, "running")
     checkpoint = new_dir(spark, "running-checkpoint")
     priced = prepare.priced_orders(_numbered_orders(spark, sf_dir))
-    wave = F.expr(f"CASE WHEN seq <= 2 THEN 0 WHEN seq <= 4 THEN 1 ELSE 2 + (seq - 5) div {WAVE_ROWS} END")
-    outbox = written(order_messages(priced, "seq", wave.cast("bigint").alias("wave")), "outbox")
+    wave = (
+        F.when(F.col("seq") <= 2, 0)
+        .when(F.col("seq") <= 4, 1)
+        .otherwise(F.expr(f"2 + (seq - 5) div {WAVE_ROWS}"))
+    )
+    outbox = written(order_messages(priced, "seq", wave.alias("wave")), "outbox")
     last = outbox.agg(F.max("wave")).first()[0]
     for number in range(last + 1 if last is not None else 0):
         publish(outbox.where(F.col("wave") == number).select("value", "seq"), topic)

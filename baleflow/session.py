@@ -21,6 +21,8 @@ SETTINGS = {
     # Spilling state store, so that state is not bound by executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A micro-batch then uploads its changes, not a snapshot of the whole state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

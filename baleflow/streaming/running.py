@@ -11,34 +11,24 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from baleflow.operators.totals import with_time_text
 
-OUTPUT = "id BIGINT, seq BIGINT, amount BIGINT, event_time TIMESTAMP_NTZ"
-STATE = "amount BIGINT, micros BIGINT"
+OUTPUT = "id BIGINT, seq BIGINT, amount BIGINT, event_time STRING"
+STATE = "amount BIGINT, event_time STRING"
 
 
 def _carry_on() -> Callable:
     """The state function, as a closure: it travels to the workers by value, so they need
     numpy and pandas but not this package."""
 
-    def micros_of(times):
-        return times.to_numpy().astype("datetime64[us]").astype("int64")
-
     def carry_on(key, frames, state):
-        parts = [(f["seq"].to_numpy(), f["amount"].to_numpy(), micros_of(f["event_time"])) for f in frames]
-        seq, amount, micros = (np.concatenate(column) for column in zip(*parts, strict=True))
+        parts = [(f["seq"].to_numpy(), f["amount"].to_numpy(), f["event_time"].to_numpy()) for f in frames]
+        seq, amount, latest = (np.concatenate(column) for column in zip(*parts, strict=True))
         place = np.argsort(seq, kind="stable")
-        amount, micros = np.cumsum(amount[place]), np.maximum.accumulate(micros[place])
+        amount, latest = np.cumsum(amount[place]), np.maximum.accumulate(latest[place])
         if state.exists:
-            total, latest = state.get
-            amount, micros = amount + total, np.maximum(micros, latest)
-        state.update((int(amount[-1]), int(micros[-1])))
-        yield pd.DataFrame(
-            {
-                "id": key[0],
-                "seq": seq[place],
-                "amount": amount,
-                "event_time": micros.astype("datetime64[us]"),
-            }
-        )
+            amount_before, latest_before = state.get
+            amount, latest = amount + amount_before, np.maximum(latest, latest_before)
+        state.update((int(amount[-1]), latest[-1]))
+        yield pd.DataFrame({"id": key[0], "seq": seq[place], "amount": amount, "event_time": latest})
 
     return carry_on
 
@@ -46,12 +36,13 @@ def _carry_on() -> Callable:
 def running_totals_stream(sales: DataFrame) -> DataFrame:
     """Stream of (id, seq, amount, event_time as TIMESTAMP_NTZ) to one row per record.
 
+    The function compares event times as `yyyy-MM-dd HH:mm:ss` text, which orders as the times do.
+
     Records of an id must arrive in `seq` order from micro-batch to micro-batch; inside one they
     are put in order. The records of an id in one micro-batch go to one task, so the source
     should bound a micro-batch. State never expires.
     """
-    records = sales.select("id", "seq", "amount", "event_time")
-    running = records.groupBy("id").applyInPandasWithState(
+    records = with_time_text(sales).select("id", "seq", "amount", "event_time")
+    return records.groupBy("id").applyInPandasWithState(
         _carry_on(), OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
     )
-    return with_time_text(running)
