@@ -16,7 +16,8 @@ def _sorted(columns, rows):
 def oracle_rows(sf_dir: str, sql: str):
     con = duckdb.connect()
     for file in Path(sf_dir).glob("*.parquet"):
-        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+        files = f"{file}/*.parquet" if file.is_dir() else file
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{files}'")
     result = con.execute(sql)
     return _sorted([column[0] for column in result.description], result.fetchall())
 

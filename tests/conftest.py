@@ -43,15 +43,19 @@ def skewed(tmp_path_factory):
     source = "/root/testdata/sf0.001"
     con = duckdb.connect()
     con.execute(
-        f"""COPY (
+        f"""CREATE TABLE lines AS
           SELECT * REPLACE (CASE WHEN l_partkey % 3 = 0 THEN 7 ELSE l_orderkey END AS l_orderkey)
           FROM '{source}/lineitem.parquet'
           UNION ALL
           SELECT one.* REPLACE (8 AS l_orderkey)
-          FROM (SELECT * FROM '{source}/lineitem.parquet' ORDER BY ALL LIMIT 1) one, range(600)
-        ) TO '{folder}/lineitem.parquet'"""
-    )
-    con.execute(
-        f"COPY (SELECT * FROM '{source}/orders.parquet') TO '{folder}/orders.parquet'"
+          FROM (SELECT * FROM '{source}/lineitem.parquet' ORDER BY ALL LIMIT 1) one, range(600)"""
     )
+    # Several files, so that the hot order comes from several map tasks.
+    (folder / "lineitem.parquet").mkdir()
+    for part in range(8):
+        con.execute(
+            f"""COPY (SELECT * FROM lines WHERE rowid % 8 = {part})
+                TO '{folder}/lineitem.parquet/part-{part}.parquet'"""
+        )
+    con.execute(f"COPY (SELECT * FROM '{source}/orders.parquet') TO '{folder}/orders.parquet'")
     return str(folder)

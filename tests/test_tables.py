@@ -1,0 +1,71 @@
+"""CSV files and tables."""
+
+import pytest
+
+from baleflow.session import new_dir
+from baleflow.sources.csv_files import read_csv, write_csv
+from baleflow.sources.tables import create_table, jdbc_options, load_csv
+
+SCHEMA = "id STRING, prdtid STRING, uom STRING, price INT"
+
+
+def csv_file(tmp_path, *lines):
+    path = tmp_path / "in.csv"
+    path.write_text("\n".join(["h1,h2,h3,h4", *lines]) + "\n")
+    return str(path)
+
+
+@pytest.fixture
+def table(spark):
+    name = new_dir(spark, "t").rsplit("/", 1)[-1].replace("-", "_")
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_round_trip(spark, tmp_path):
+    rows = [("a", None, "x,\"y\"", None), ("b", "", "é", 7)]
+    path = str(tmp_path / "out")
+    for _ in range(2):  # the second write replaces the first
+        write_csv(spark.createDataFrame(rows, SCHEMA), path)
+    assert sorted(map(tuple, read_csv(spark, path, SCHEMA, "NULL").collect())) == rows
+    # Without a null token an empty cell is null, quoted or not.
+    plain = sorted(map(tuple, read_csv(spark, path, SCHEMA).collect()))
+    assert plain == [rows[0], ("b", None, "é", 7)]
+
+
+def test_null_cells(spark, tmp_path):
+    path = csv_file(tmp_path, 'a,,"",1', "b,NULL,x,NULL")
+    rows = sorted(map(tuple, read_csv(spark, path, SCHEMA, null_value="NULL").collect()))
+    assert rows == [("a", None, "", 1), ("b", None, "x", None)]
+
+
+@pytest.mark.parametrize("cell", ["1250.0", "x"])
+def test_wrong_type_fails(spark, tmp_path, cell):
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+        read_csv(spark, csv_file(tmp_path, f"a,b,c,{cell}"), SCHEMA).collect()
+
+
+def test_load_appends_and_can_overwrite(spark, tmp_path, table):
+    path = csv_file(tmp_path, "PRC1,AJA001,Bale,1250", "PRC1,ZZZ999,Bale,")
+    load_csv(spark, table, path, "pricelist")
+    assert load_csv(spark, table, path, "pricelist").count() == 4
+    loaded = load_csv(spark, table, path, "pricelist", overwrite=True)
+    assert sorted(row.prdtid for row in loaded.collect()) == ["AJA001", "ZZZ999"]
+    assert [row.price for row in loaded.where("price IS NULL").collect()] == [None]
+    assert loaded.columns == ["id", "prdtid", "uom", "price"]
+
+
+def test_too_long_code_is_refused(spark, tmp_path, table):
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        load_csv(spark, table, csv_file(tmp_path, "PRC1,ABCDEFGHIJK,Bale,1"), "pricelist")
+
+
+def test_create_only_when_missing(spark, table):
+    assert create_table(spark, table, "id INT")
+    assert not create_table(spark, table, "other STRING")
+    assert spark.table(table).columns == ["id"]
+
+
+def test_jdbc_scan_is_split():
+    options = jdbc_options("jdbc:postgresql://host/db", "orders", "id", 0, 100, 8)
+    assert options["partitionColumn"] == "id" and options["numPartitions"] == "8"
