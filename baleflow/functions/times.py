@@ -9,21 +9,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted shapes of yy/MM/dd and HH:mm:ss (short parts may have one digit).
+# Accepted yy/MM/dd and HH:mm:ss (a part but the year may have one digit).
 DATE_SHAPE = r"^[0-9]{2}/[0-9]{1,2}/[0-9]{1,2}$"
-TIME_SHAPE = r"^[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
+CLOCK_SHAPE = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]$"
 
 
-def _try_date(text: Column) -> Column:
+def _iso_date(text: Column) -> Column:
+    """yyyy-M-d text, null for another shape; the month and day may still be out of range."""
     # Two-digit years 69-99 are 19xx, 00-68 are 20xx.
     century = F.when(F.substring(text, 1, 2) >= "69", "19").otherwise("20")
-    iso = F.concat(century, F.translate(text, "/", "-"))
-    return F.when(text.rlike(DATE_SHAPE), iso.try_cast("date"))
+    return F.when(text.rlike(DATE_SHAPE), F.concat(century, F.translate(text, "/", "-")))
+
+
+def _try_date(text: Column) -> Column:
+    return _iso_date(text).try_cast("date")
 
 
 def _try_time(text: Column) -> Column:
-    clock = F.concat(F.lit("1970-01-01 "), text).try_cast("timestamp_ntz")
-    return F.when(text.rlike(TIME_SHAPE), F.substring(clock.cast("string"), 12, 8))
+    padded = F.regexp_replace(text, r"\b([0-9])\b", "0$1")
+    return F.when(text.rlike(CLOCK_SHAPE), F.when(F.length(text) == 8, text).otherwise(padded))
 
 
 def _or_fail(value: Column, text: Column, kind: str) -> Column:
@@ -49,9 +53,11 @@ def valid_time(text: Column) -> Column:
     return _try_time(text).isNotNull()
 
 
-def event_time(date: Column, time: Column) -> Column:
-    """DATE and `HH:mm:ss` text to TIMESTAMP_NTZ."""
-    return F.concat_ws(" ", date.cast("string"), time).cast("timestamp_ntz")
+def parse_event_time(date: Column, time: Column) -> Column:
+    """`yy/MM/dd` and `HH:mm:ss` text to TIMESTAMP_NTZ."""
+    text = F.concat_ws(" ", date, time)
+    moment = F.concat(_iso_date(date), F.lit(" "), _try_time(time))
+    return _or_fail(moment.try_cast("timestamp_ntz"), text, "order date and time")
 
 
 def date_text(date: Column) -> Column:

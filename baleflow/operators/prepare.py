@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from baleflow.functions.lookups import look_up
-from baleflow.functions.times import event_time, parse_date, parse_time, valid_date, valid_time
+from baleflow.functions.times import (
+    parse_date,
+    parse_event_time,
+    parse_time,
+    valid_date,
+    valid_time,
+)
 from baleflow.schemas import (
     LIST_PRICES,
     ORDER_PRICES,
@@ -29,11 +35,15 @@ def with_amount(raw: DataFrame) -> DataFrame:
 
 
 def with_event_time(raw: DataFrame) -> DataFrame:
-    """Parse order date and time, and join them into the event time."""
-    parsed = raw.withColumns(
-        {"orddate": parse_date(F.col("orddate")), "ordtime": parse_time(F.col("ordtime"))}
+    """Parse order date and time, and both together into the event time."""
+    date, time = F.col("orddate"), F.col("ordtime")
+    return raw.withColumns(
+        {
+            "orddate": parse_date(date),
+            "ordtime": parse_time(time),
+            "eventtime": parse_event_time(date, time),
+        }
     )
-    return parsed.withColumn("eventtime", event_time(F.col("orddate"), F.col("ordtime")))
 
 
 def prepare_orders(raw: DataFrame) -> DataFrame:

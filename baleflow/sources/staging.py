@@ -29,7 +29,14 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return orders.select(F.col("o_orderkey").alias(KEY), "o_custkey", "o_orderdate")
+    customer = F.col("o_custkey").cast("string")
+    padded = F.when(F.length(customer) < 6, F.lpad(customer, 6, "0")).otherwise(customer)
+    day = F.col("o_orderdate").cast("date").cast("string")
+    return orders.select(
+        F.col("o_orderkey").alias(KEY),
+        F.concat(F.lit("C"), padded).alias("csmcode"),
+        F.translate(F.substring(day, 3, 8), "-", "/").alias("orddate"),
+    )
 
 
 def _two(number: Column) -> Column:
@@ -37,15 +44,12 @@ def _two(number: Column) -> Column:
 
 
 def _raw(lines: DataFrame, headers: DataFrame, *keep: str) -> DataFrame:
-    customer = F.col("o_custkey").cast("string")
-    padded = F.when(F.length(customer) < 6, F.lpad(customer, 6, "0")).otherwise(customer)
-    day = F.col("o_orderdate").cast("date").cast("string")
     second = F.expr(f"({KEY} * 37 + l_linenumber * 61) % 86400")
     joined = lines.join(headers, KEY).withColumn("second", second)
     return joined.select(
         F.col(KEY).alias("id"),
-        F.concat(F.lit("C"), padded).alias("csmcode"),
-        F.translate(F.substring(day, 3, 8), "-", "/").alias("orddate"),
+        "csmcode",
+        "orddate",
         F.concat_ws(
             ":",
             _two(F.expr("second div 3600")),
