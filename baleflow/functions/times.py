@@ -18,7 +18,7 @@ def _iso_date(text: Column) -> Column:
     """yyyy-M-d text, null for another shape; the month and day may still be out of range."""
     # Two-digit years 69-99 are 19xx, 00-68 are 20xx.
     century = F.when(F.substring(text, 1, 2) >= "69", "19").otherwise("20")
-    return F.when(text.rlike(DATE_SHAPE), F.concat(century, F.translate(text, "/", "-")))
+    return F.when(text.rlike(DATE_SHAPE), F.concat(century, F.replace(text, F.lit("/"), F.lit("-"))))
 
 
 def _try_date(text: Column) -> Column:

@@ -67,3 +67,19 @@ def number_long(
     return numbered.withColumn("seq", F.col("place") + F.col("shift")).drop(
         "place", "part", "shift"
     )
+
+
+def number_by(
+    rows: DataFrame, key: str, order: list[str], task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """Add `seq` within each key, and `long` for rows of keys of more than `task_rows` rows.
+
+    `rows` should come straight from files, so that exact copies can be told apart repeatably.
+    """
+    keys = long_keys(rows, key, task_rows)
+    if keys is None:
+        return number_short(rows, key, order).withColumn("long", F.lit(False))
+    short, long = split(rows.withColumn("copy", F.monotonically_increasing_id()), key, keys)
+    short = number_short(short, key, order).withColumn("long", F.lit(False))
+    long = number_long(long, key, [*order, "copy"], keys, task_rows)
+    return short.unionByName(long.withColumn("long", F.lit(True))).drop("copy")

@@ -1,0 +1,70 @@
+"""The four jobs end to end: prepare and load, publish, process, read.
+
+Topics are file topics here; for Kafka pass `subscribe_kafka(...)` as the messages and
+`kafka_writer(...)` as the writer to the same building blocks.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from baleflow.functions.messages import order_messages, parse_orders
+from baleflow.operators import prepare
+from baleflow.operators.long_keys import number_by
+from baleflow.schemas import ORDER_COLUMNS, RAW_ORDERS
+from baleflow.session import tune
+from baleflow.sources import topics
+from baleflow.sources.csv_files import read_csv, write_csv
+from baleflow.sources.tables import load_csv
+from baleflow.streaming import jobs
+
+
+def prepare_and_load(
+    spark: SparkSession, orders_csv: str, folder: str, overwrite: bool = False
+) -> dict[str, DataFrame]:
+    """Clean and enrich raw orders, save the three CSV sets below `folder`, load the tables.
+
+    A second run appends to the tables unless `overwrite` is set. Returns the loaded tables.
+    """
+    raw = read_csv(tune(spark), orders_csv, RAW_ORDERS)
+    prepared = {
+        "orders": prepare.prepare_orders(raw).select(ORDER_COLUMNS),
+        "products": prepare.products(raw),
+        "pricelist": prepare.pricelist(raw),
+    }
+    loaded = {}
+    for name, rows in prepared.items():
+        path = f"{folder}/{name.capitalize()}.csv"
+        write_csv(rows, path)
+        loaded[name] = load_csv(spark, name, path, name, overwrite=overwrite)
+    return loaded
+
+
+def publish_orders(
+    orders: DataFrame, topic: str, after_wave: Callable[[], None] | None = None
+) -> None:
+    """Publish the priced rows of an orders table.
+
+    A table keeps no arrival order, so the lines of an order go by event time, then product.
+    """
+    lines = number_by(prepare.priced_orders(orders), "id", ["eventtime", "prdtid", "quantity"])
+    topics.publish_in_waves(order_messages(lines, "seq"), topic, after_wave)
+
+
+def process_orders(
+    spark: SparkSession, topic: str, sales_topic: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Running total of each order, from the orders topic to the sales topic."""
+    messages = topics.subscribe(tune(spark), topic, topics.NUMBERED_VALUES)
+    sales = jobs.sales_stream(parse_orders(messages, "seq"))
+    return jobs.start_writer(topics.file_writer(sales, sales_topic), checkpoint, every)
+
+
+def print_topic(
+    spark: SparkSession, topic: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Print the messages of a topic from the earliest."""
+    return jobs.start_print(topics.subscribe(spark, topic), checkpoint, every)

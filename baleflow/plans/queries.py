@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from baleflow.functions.messages import order_messages, parse_orders, sales_messages
 from baleflow.operators import prepare, totals
 from baleflow.schemas import ORDER_COLUMNS, ORDERS
-from baleflow.session import new_dir, tune, written
+from baleflow.session import new_dir, tune
 from baleflow.sources.csv_files import read_csv, write_csv
 from baleflow.sources.staging import ARRIVAL, numbered_lines, order_lines
 from baleflow.sources.tables import load_csv
@@ -18,13 +17,11 @@ from baleflow.sources.topics import (
     NUMBERED_VALUES,
     files_for_batches,
     publish,
+    publish_in_waves,
     subscribe,
 )
 from baleflow.streaming import jobs
 
-# Rows one order may add to one published wave, and so to one state task of a micro-batch.
-WAVE_ROWS = 1_000_000
-
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.prepare_orders(order_lines(spark, sf_dir))
@@ -131,26 +128,16 @@ def order_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_running_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the messages in waves and resume the job after each, one micro-batch a wave.
-
-    A wave holds a range of `seq`, so every order arrives in order, and no order has more than
-    WAVE_ROWS messages in a wave however long it is.
-    """
+    """Publish the messages in waves and resume the job after each, one micro-batch a wave."""
     topic, out = new_dir(spark, "orders-topic"), new_dir(spark, "running")
     checkpoint = new_dir(spark, "running-checkpoint")
-    priced = prepare.priced_orders(_numbered_orders(spark, sf_dir))
-    wave = (
-        F.when(F.col("seq") <= 2, 0)
-        .when(F.col("seq") <= 4, 1)
-        .otherwise(F.expr(f"2 + (seq - 5) div {WAVE_ROWS}"))
-    )
-    outbox = written(order_messages(priced, "seq", wave.alias("wave")), "outbox")
-    last = outbox.agg(F.max("wave")).first()[0]
-    for number in range(last + 1 if last is not None else 0):
-        publish(outbox.where(F.col("wave") == number).select("value", "seq"), topic)
-        messages = subscribe(spark, topic, NUMBERED_VALUES)
-        parsed = parse_orders(messages, "seq")
+
+    def take_wave() -> None:
+        parsed = parse_orders(subscribe(spark, topic, NUMBERED_VALUES), "seq")
         jobs.start_running_totals(parsed, out, checkpoint).awaitTermination()
+
+    priced = prepare.priced_orders(_numbered_orders(spark, sf_dir))
+    publish_in_waves(order_messages(priced, "seq"), topic, take_wave)
     return spark.read.schema(jobs.RUNNING_TOTALS).parquet(out)
 
 

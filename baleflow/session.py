@@ -51,11 +51,11 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back: evaluated once, lineage cut."""
     spark = df.sparkSession
     path = new_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 

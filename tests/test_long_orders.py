@@ -9,7 +9,7 @@ from baleflow import session
 from baleflow.operators import prepare, totals
 from baleflow.operators.long_keys import long_keys
 from baleflow.plans import queries as plans
-from baleflow.sources import staging
+from baleflow.sources import staging, topics
 
 ROWS = 100
 
@@ -70,7 +70,7 @@ def test_no_task_gets_a_long_order(spark, skewed):
 
 @pytest.mark.parametrize("name", ["order_totals", "order_running_totals_stream", "products"])
 def test_queries_on_skewed_tables(spark, skewed, name, monkeypatch):
-    monkeypatch.setattr(plans, "WAVE_ROWS", 500)
+    monkeypatch.setattr(topics, "WAVE_ROWS", 500)
     assert spark_rows(plans.QUERIES[name](spark, skewed)) == oracle_rows(
         skewed, oracle_sql()[name]
     )

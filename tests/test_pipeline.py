@@ -1,0 +1,57 @@
+"""All four jobs in a row, from a raw CSV file to the sales topic."""
+
+import json
+from collections import Counter
+
+import pytest
+
+from baleflow.plans import pipeline
+from baleflow.session import new_dir
+from baleflow.sources import topics
+
+RAW = """ID,CSMCODE,ORDDATE,ORDTIME,PRDTID,QUANTITY
+1,C1,23/01/05,08:14:00,AJA001,2
+1,C1,23/01/05,08:15:00,MAI001,1
+2,C2,99/12/31,8:4:1,SOK001,3
+2,C2,99/12/31,8:4:2,ZZZ999,9
+3,C3,68/12/31,23:59:59,UMI001,1
+"""
+
+SALES = [
+    {"id": 1, "amount": 2500, "event_time": "2023-01-05 08:14:00"},
+    {"id": 1, "amount": 3690, "event_time": "2023-01-05 08:15:00"},
+    {"id": 2, "amount": 3690, "event_time": "1999-12-31 08:04:01"},
+    {"id": 3, "amount": 1215, "event_time": "2068-12-31 23:59:59"},
+]
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    (tmp_path / "orders.csv").write_text(RAW)
+    yield pipeline.prepare_and_load(spark, str(tmp_path / "orders.csv"), str(tmp_path / "out"))
+    for name in ("orders", "products", "pricelist"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_tables(spark, tables):
+    assert {name: table.count() for name, table in tables.items()} == {
+        "orders": 5, "products": 5, "pricelist": 5,
+    }
+    order = spark.table("orders").where("prdtid = 'ZZZ999'").first()
+    assert (order.quantity, order.weight, order.amount) == (9, 216, None)
+    assert dict(spark.table("orders").dtypes)["eventtime"] == "timestamp_ntz"
+
+
+def test_from_table_to_sales_topic(spark, tables):
+    orders, sales, checkpoint = (new_dir(spark, name) for name in ("orders", "sales", "c"))
+
+    def process():
+        pipeline.process_orders(spark, orders, sales, checkpoint).awaitTermination()
+
+    pipeline.publish_orders(tables["orders"], orders, process)
+    values = [row.value for row in spark.read.schema(topics.VALUES).parquet(sales).collect()]
+    got = Counter(json.dumps(json.loads(value)) for value in values)
+    assert got == Counter(map(json.dumps, SALES))
+    query = pipeline.print_topic(spark, sales, new_dir(spark, "c"))
+    query.awaitTermination()
+    assert sum(progress.numInputRows for progress in query.recentProgress) == len(SALES)

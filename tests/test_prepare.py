@@ -3,9 +3,11 @@
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from baleflow.functions.times import parse_date, parse_time
+from baleflow.functions.times import parse_date, parse_time, valid_date, valid_time
 from baleflow.operators.prepare import (
     accepted_lines,
     distinct_products,
@@ -129,3 +131,37 @@ def test_products_keep_one_row_per_line(spark):
     lines = raw(spark, line(), line(), line(product="SOK001"))
     assert products(lines).count() == pricelist(lines).count() == 3
     assert distinct_products(lines).count() == 2
+
+
+def _strptime(text, shape):
+    try:
+        return dt.datetime.strptime(text, shape)
+    except ValueError:
+        return None
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(
+            st.from_regex(r"[0-9]{1,3}[/-][0-9]{0,2}/[0-9]{1,2}", fullmatch=True),
+            st.from_regex(r"[0-9]{0,3}:[0-9]{1,2}:[0-9]{1,2}", fullmatch=True),
+        ),
+        min_size=200,
+        max_size=200,
+    )
+)
+def test_parsing_agrees_with_python(spark, texts):
+    """Which texts parse, and to what; no leap seconds."""
+    texts = [(day, time) for day, time in texts if not time.endswith((":60", ":61"))]
+    frame = spark.createDataFrame(texts, "day STRING, time STRING")
+    parsed = frame.select(
+        "day",
+        "time",
+        F.when(valid_date(F.col("day")), parse_date(F.col("day"))).alias("date"),
+        F.when(valid_time(F.col("time")), parse_time(F.col("time"))).alias("clock"),
+    )
+    for row in parsed.collect():
+        day, time = _strptime(row.day, "%y/%m/%d"), _strptime(row.time, "%H:%M:%S")
+        assert row.date == (day and day.date()), row.day
+        assert row.clock == (time and time.strftime("%H:%M:%S")), row.time
