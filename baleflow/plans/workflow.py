@@ -55,10 +55,17 @@ def publish_orders(
 
 
 def process_orders(
-    spark: SparkSession, topic: str, sales_topic: str, checkpoint: str, every: str | None = None
+    spark: SparkSession,
+    topic: str,
+    sales_topic: str,
+    checkpoint: str,
+    every: str | None = None,
+    files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Running total of each order, from the orders topic to the sales topic."""
-    messages = topics.subscribe(tune(spark), topic, topics.NUMBERED_VALUES)
+    messages = topics.subscribe(
+        tune(spark), topic, topics.NUMBERED_VALUES, files_per_trigger
+    )
     sales = jobs.sales_stream(parse_orders(messages, "seq"))
     return jobs.start_writer(topics.file_writer(sales, sales_topic), checkpoint, every)
 

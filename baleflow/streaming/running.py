@@ -12,9 +12,8 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from baleflow.operators.totals import with_time_text
 
 # Neighbouring ids that share one state entry. A call of the state function costs far more than
-# the few records one id has in a micro-batch; the entry stays small, as it has this many ids at
-# most.
-IDS_PER_STATE = 64
+# the few records one id has in a micro-batch; an entry has this many ids at most, some 6 KB.
+IDS_PER_STATE = 256
 
 OUTPUT = "id BIGINT, seq BIGINT, amount BIGINT, event_time TIMESTAMP_NTZ"
 STATE = "ids ARRAY<BIGINT>, amounts ARRAY<BIGINT>, micros ARRAY<BIGINT>"

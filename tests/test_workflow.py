@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from baleflow.plans import pipeline
+from baleflow.plans import workflow
 from baleflow.session import new_dir
 from baleflow.sources import topics
 
@@ -28,7 +28,7 @@ SALES = [
 @pytest.fixture
 def tables(spark, tmp_path):
     (tmp_path / "orders.csv").write_text(RAW)
-    yield pipeline.prepare_and_load(spark, str(tmp_path / "orders.csv"), str(tmp_path / "out"))
+    yield workflow.prepare_and_load(spark, str(tmp_path / "orders.csv"), str(tmp_path / "out"))
     for name in ("orders", "products", "pricelist"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
@@ -46,12 +46,12 @@ def test_from_table_to_sales_topic(spark, tables):
     orders, sales, checkpoint = (new_dir(spark, name) for name in ("orders", "sales", "c"))
 
     def process():
-        pipeline.process_orders(spark, orders, sales, checkpoint).awaitTermination()
+        workflow.process_orders(spark, orders, sales, checkpoint).awaitTermination()
 
-    pipeline.publish_orders(tables["orders"], orders, process)
+    workflow.publish_orders(tables["orders"], orders, process)
     values = [row.value for row in spark.read.schema(topics.VALUES).parquet(sales).collect()]
     got = Counter(json.dumps(json.loads(value)) for value in values)
     assert got == Counter(map(json.dumps, SALES))
-    query = pipeline.print_topic(spark, sales, new_dir(spark, "c"))
+    query = workflow.print_topic(spark, sales, new_dir(spark, "c"))
     query.awaitTermination()
     assert sum(progress.numInputRows for progress in query.recentProgress) == len(SALES)
