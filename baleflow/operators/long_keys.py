@@ -17,6 +17,9 @@ from baleflow.session import broadcast_if_small, written
 # Rows of one key a single task may be given.
 TASK_ROWS = 1_000_000
 
+# A sorted range may hold this many times as much: it is streamed and spills.
+RANGE_TASKS = 8
+
 
 def long_keys(rows: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame | None:
     """Keys with more than `task_rows` rows and their row counts, None if there are none.
@@ -49,7 +52,11 @@ def number_long(
     apart.
     """
     total = keys.agg(F.sum("held")).first()[0]
-    ranges = max(1, ceil(total / task_rows))
+    # As many ranges as the session shuffles into, within sensible sizes of a range.
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(
+        ceil(total / (RANGE_TASKS * task_rows)), min(ceil(total / task_rows), partitions)
+    )
     sorted_rows = rows.repartitionByRange(ranges, key, *order).sortWithinPartitions(key, *order)
     # Place = partition number in the upper bits, row number in the partition in the lower 33.
     placed = written(sorted_rows.withColumn("place", F.monotonically_increasing_id()), "placed")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from baleflow.functions.messages import order_messages, parse_orders
+from baleflow.functions.messages import accepted_orders, order_messages, parse_orders
 from baleflow.operators import prepare
 from baleflow.operators.long_keys import number_by
 from baleflow.schemas import ORDER_COLUMNS, RAW_ORDERS
@@ -23,13 +23,22 @@ from baleflow.streaming import jobs
 
 
 def prepare_and_load(
-    spark: SparkSession, orders_csv: str, folder: str, overwrite: bool = False
+    spark: SparkSession,
+    orders_csv: str,
+    folder: str,
+    overwrite: bool = False,
+    set_aside: bool = False,
 ) -> dict[str, DataFrame]:
     """Clean and enrich raw orders, save the three CSV sets below `folder`, load the tables.
 
-    A second run appends to the tables unless `overwrite` is set. Returns the loaded tables.
+    A second run appends to the tables unless `overwrite` is set. A line with a bad date or time
+    fails the job; with `set_aside` such lines go to Rejected.csv and the others are loaded.
+    Returns the loaded tables.
     """
     raw = read_csv(tune(spark), orders_csv, RAW_ORDERS)
+    if set_aside:
+        write_csv(prepare.rejected_lines(raw), f"{folder}/Rejected.csv")
+        raw = prepare.accepted_lines(raw)
     prepared = {
         "orders": prepare.prepare_orders(raw).select(ORDER_COLUMNS),
         "products": prepare.products(raw),
@@ -61,12 +70,18 @@ def process_orders(
     checkpoint: str,
     every: str | None = None,
     files_per_trigger: int | None = None,
+    skip_broken: bool = False,
 ) -> StreamingQuery:
-    """Running total of each order, from the orders topic to the sales topic."""
+    """Running total of each order, from the orders topic to the sales topic.
+
+    A broken message fails the job; with `skip_broken` it is left out, and
+    `jobs.start_quarantine` on the same topic keeps it.
+    """
+    parse = accepted_orders if skip_broken else parse_orders
     messages = topics.subscribe(
         tune(spark), topic, topics.NUMBERED_VALUES, files_per_trigger
     )
-    sales = jobs.sales_stream(parse_orders(messages, "seq"))
+    sales = jobs.sales_stream(parse(messages, "seq"))
     return jobs.start_writer(topics.file_writer(sales, sales_topic), checkpoint, every)
 
 

@@ -55,3 +55,33 @@ def test_from_table_to_sales_topic(spark, tables):
     query = workflow.print_topic(spark, sales, new_dir(spark, "c"))
     query.awaitTermination()
     assert sum(progress.numInputRows for progress in query.recentProgress) == len(SALES)
+
+
+def test_bad_lines_are_set_aside_or_fail(spark, tmp_path):
+    bad = "4,C4,23/02/30,08:00:00,AJA001,1\n"
+    (tmp_path / "orders.csv").write_text(RAW + bad)
+    args = (spark, str(tmp_path / "orders.csv"), str(tmp_path / "out"))
+    try:
+        with pytest.raises(Exception, match="not a valid order date"):
+            workflow.prepare_and_load(*args)
+        loaded = workflow.prepare_and_load(*args, overwrite=True, set_aside=True)
+        assert {name: table.count() for name, table in loaded.items()} == dict.fromkeys(loaded, 5)
+        rejected = spark.read.csv(f"{tmp_path}/out/Rejected.csv", header=True).collect()
+        assert [row.id for row in rejected] == ["4"]
+    finally:
+        for name in ("orders", "products", "pricelist"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_broken_messages_are_skipped_or_fail(spark):
+    orders, sales = new_dir(spark, "orders"), new_dir(spark, "sales")
+    values = ['{"id":1,"amount":5,"event_time":"2023-01-05 08:14:00"}', '{"id":1']
+    rows = [(value, seq) for seq, value in enumerate(values, 1)]
+    topics.publish(spark.createDataFrame(rows, topics.NUMBERED_VALUES), orders)
+    with pytest.raises(Exception, match="not an order message"):
+        workflow.process_orders(spark, orders, sales, new_dir(spark, "c")).awaitTermination()
+    sales, checkpoint = new_dir(spark, "sales"), new_dir(spark, "c")
+    query = workflow.process_orders(spark, orders, sales, checkpoint, skip_broken=True)
+    query.awaitTermination()
+    got = [row.value for row in spark.read.schema(topics.VALUES).parquet(sales).collect()]
+    assert got == values[:1]
