@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # An aggregate on the join key would otherwise keep a skewed join partition whole.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash join without sorting, where every shuffled partition of a side was seen to be this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Spilling state store, so that state is not bound by executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
