@@ -68,7 +68,8 @@ def number_long(
     )
     earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before: Column = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
-    spans = written(spans.select(key, "part", (before - F.col("start") + 1).alias("shift")), "spans")
+    shift = before - F.col("start") + 1
+    spans = written(spans.select(key, "part", shift.alias("shift")), "spans")
 
     numbered = placed.join(broadcast_if_small(spans), [key, "part"])
     return numbered.withColumn("seq", F.col("place") + F.col("shift")).drop(

@@ -123,7 +123,9 @@ SQL: dict[str, str] = {
     "distinct_products": _on_raw("SELECT DISTINCT prdtid FROM raw_orders"),
     "orders_head": _on_orders(f"SELECT {_ORDER_COLUMNS} FROM enriched ORDER BY id, seq LIMIT 10"),
     "order_messages": _on_priced(_ORDER_MESSAGES),
-    "parsed_orders": _on_priced("SELECT id, CAST(amount AS BIGINT) AS amount, event_time FROM priced"),
+    "parsed_orders": _on_priced(
+        "SELECT id, CAST(amount AS BIGINT) AS amount, event_time FROM priced"
+    ),
     "order_totals": _on_priced(_TOTALS),
     "order_totals_stream": _on_priced(_TOTALS),
     "order_running_totals": _on_running("SELECT id, seq, amount, event_time FROM running"),

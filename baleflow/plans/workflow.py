@@ -1,7 +1,7 @@
-"""The four jobs end to end: prepare and load, publish, process, read.
+"""The four jobs end to end: prepare and load, publish, process, print.
 
-Topics are file topics here; for Kafka pass `subscribe_kafka(...)` as the messages and
-`kafka_writer(...)` as the writer to the same building blocks.
+The stream jobs take any stream of messages, such as `topics.subscribe` or
+`topics.subscribe_kafka`, and any writer, such as `topics.file_writer` or `topics.kafka_writer`.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from baleflow.functions.messages import accepted_orders, order_messages, parse_orders
 from baleflow.operators import prepare
@@ -64,29 +64,23 @@ def publish_orders(
 
 
 def process_orders(
-    spark: SparkSession,
-    topic: str,
-    sales_topic: str,
+    messages: DataFrame,
+    write: Callable[[DataFrame], DataStreamWriter],
     checkpoint: str,
     every: str | None = None,
-    files_per_trigger: int | None = None,
     skip_broken: bool = False,
 ) -> StreamingQuery:
-    """Running total of each order, from the orders topic to the sales topic.
+    """Running total of each order, from a stream of order messages (value, seq) to `write`.
 
     A broken message fails the job; with `skip_broken` it is left out, and
-    `jobs.start_quarantine` on the same topic keeps it.
+    `jobs.start_quarantine` on the same stream keeps it.
     """
+    tune(messages.sparkSession)
     parse = accepted_orders if skip_broken else parse_orders
-    messages = topics.subscribe(
-        tune(spark), topic, topics.NUMBERED_VALUES, files_per_trigger
-    )
     sales = jobs.sales_stream(parse(messages, "seq"))
-    return jobs.start_writer(topics.file_writer(sales, sales_topic), checkpoint, every)
+    return jobs.start_writer(write(sales), checkpoint, every)
 
 
-def print_topic(
-    spark: SparkSession, topic: str, checkpoint: str, every: str | None = None
-) -> StreamingQuery:
-    """Print the messages of a topic from the earliest."""
-    return jobs.start_print(topics.subscribe(spark, topic), checkpoint, every)
+def print_topic(messages: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Print the messages of a topic."""
+    return jobs.start_print(messages.select("value"), checkpoint, every)

@@ -64,7 +64,8 @@ def test_no_task_gets_a_long_order(spark, skewed):
     held = lines.count()
     assert cut.select("seq").count() == held
     parts = spark.read.parquet(*cut.inputFiles()).selectExpr("shiftright(place, 33) AS part")
-    sizes = [row["count"] for row in parts.where("part IS NOT NULL").groupBy("part").count().collect()]
+    counts = parts.where("part IS NOT NULL").groupBy("part").count().collect()
+    sizes = [row["count"] for row in counts]
     assert sum(sizes) == held and max(sizes) < held / 2
 
 

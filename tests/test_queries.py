@@ -1,5 +1,6 @@
 """Every registered query against DuckDB, and golden numbers of the larger tables."""
 
+import duckdb
 import pytest
 from check import oracle_rows, spark_rows
 
@@ -60,3 +61,22 @@ SCHEMAS = {
 def test_schema(spark, small, name):
     dtypes = queries()[name](spark, small).dtypes
     assert " ".join(":".join(column) for column in dtypes) == SCHEMAS[name]
+
+
+@pytest.fixture(scope="module")
+def empty(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("empty")
+    con = duckdb.connect()
+    for table in ("lineitem", "orders"):
+        con.execute(
+            f"""COPY (SELECT * FROM '/root/testdata/sf0.001/{table}.parquet' LIMIT 0)
+                TO '{folder}/{table}.parquet'"""
+        )
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_on_empty_tables(spark, small, empty, name):
+    result = queries()[name](spark, empty)
+    assert result.count() == 0
+    assert sorted(result.columns) == oracle_rows(small, oracle_sql()[name])[0]

@@ -25,6 +25,14 @@ SALES = [
 ]
 
 
+def subscribe(spark, topic):
+    return topics.subscribe(spark, topic, topics.NUMBERED_VALUES)
+
+
+def into(topic):
+    return lambda sales: topics.file_writer(sales, topic)
+
+
 @pytest.fixture
 def tables(spark, tmp_path):
     (tmp_path / "orders.csv").write_text(RAW)
@@ -46,13 +54,14 @@ def test_from_table_to_sales_topic(spark, tables):
     orders, sales, checkpoint = (new_dir(spark, name) for name in ("orders", "sales", "c"))
 
     def process():
-        workflow.process_orders(spark, orders, sales, checkpoint).awaitTermination()
+        stream = subscribe(spark, orders)
+        workflow.process_orders(stream, into(sales), checkpoint).awaitTermination()
 
     workflow.publish_orders(tables["orders"], orders, process)
     values = [row.value for row in spark.read.schema(topics.VALUES).parquet(sales).collect()]
     got = Counter(json.dumps(json.loads(value)) for value in values)
     assert got == Counter(map(json.dumps, SALES))
-    query = workflow.print_topic(spark, sales, new_dir(spark, "c"))
+    query = workflow.print_topic(topics.subscribe(spark, sales), new_dir(spark, "c"))
     query.awaitTermination()
     assert sum(progress.numInputRows for progress in query.recentProgress) == len(SALES)
 
@@ -79,9 +88,10 @@ def test_broken_messages_are_skipped_or_fail(spark):
     rows = [(value, seq) for seq, value in enumerate(values, 1)]
     topics.publish(spark.createDataFrame(rows, topics.NUMBERED_VALUES), orders)
     with pytest.raises(Exception, match="not an order message"):
-        workflow.process_orders(spark, orders, sales, new_dir(spark, "c")).awaitTermination()
+        strict = workflow.process_orders(subscribe(spark, orders), into(sales), new_dir(spark, "c"))
+        strict.awaitTermination()
     sales, checkpoint = new_dir(spark, "sales"), new_dir(spark, "c")
-    query = workflow.process_orders(spark, orders, sales, checkpoint, skip_broken=True)
-    query.awaitTermination()
+    stream = subscribe(spark, orders)
+    workflow.process_orders(stream, into(sales), checkpoint, skip_broken=True).awaitTermination()
     got = [row.value for row in spark.read.schema(topics.VALUES).parquet(sales).collect()]
     assert got == values[:1]
