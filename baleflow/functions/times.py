@@ -17,7 +17,7 @@ CLOCK_SHAPE = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]$"
 def _iso_date(text: Column) -> Column:
     """yyyy-M-d text, null for another shape; the month and day may still be out of range."""
     # Two-digit years 69-99 are 19xx, 00-68 are 20xx.
-    century = F.when(F.substring(text, 1, 2) >= "69", "19").otherwise("20")
+    century = F.when(text >= "69", "19").otherwise("20")
     dashed = F.replace(text, F.lit("/"), F.lit("-"))
     return F.when(text.rlike(DATE_SHAPE), F.concat(century, dashed))
 
