@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 DATE_SHAPE = r"^[0-9]{2}/[0-9]{1,2}/[0-9]{1,2}$"
 CLOCK_SHAPE = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]$"
 
+# Fixed value: event times in messages, all parts with all digits.
+TIMESTAMP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+
 
 def _iso_date(text: Column) -> Column:
     """yyyy-M-d text, null for another shape; the month and day may still be out of range."""
@@ -70,6 +73,14 @@ def timestamp_text(timestamp: Column) -> Column:
     return F.substring(timestamp.cast("string"), 1, 19)
 
 
+def _try_timestamp(text: Column) -> Column:
+    return F.when(text.rlike(TIMESTAMP_SHAPE), text.try_cast("timestamp_ntz"))
+
+
 def parse_timestamp(text: Column) -> Column:
     """`yyyy-MM-dd HH:mm:ss` text to TIMESTAMP_NTZ."""
-    return _or_fail(text.try_cast("timestamp_ntz"), text, "event time")
+    return _or_fail(_try_timestamp(text), text, "event time")
+
+
+def valid_timestamp(text: Column) -> Column:
+    return _try_timestamp(text).isNotNull()
