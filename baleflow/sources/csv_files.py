@@ -7,15 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, null_value: str = "") -> DataFrame:
-    """Columns are matched by position; the header line of each file is skipped."""
+def read_csv(
+    spark: SparkSession, path: str, schema: str, null_value: str = "", by_position: bool = False
+) -> DataFrame:
+    """The header of each file must name the columns of the schema, in any case of letters;
+    `by_position` skips it unread."""
     return spark.read.csv(
         path,
         schema=schema,
         header=True,
         mode="FAILFAST",
         nullValue=null_value,
-        enforceSchema=True,
+        enforceSchema=by_position,
         dateFormat="yyyy-MM-dd",
     )
 

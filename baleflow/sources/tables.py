@@ -36,7 +36,7 @@ def load_csv(
     """
     schema = TABLES[kind]
     create_table(spark, name, schema, location)
-    rows = read_csv(spark, path, _plain(schema), null_value="NULL")
+    rows = read_csv(spark, path, _plain(schema), null_value="NULL", by_position=True)
     rows.write.insertInto(name, overwrite=overwrite)
     return spark.table(name)
 

@@ -11,7 +11,7 @@ SCHEMA = "id STRING, prdtid STRING, uom STRING, price INT"
 
 def csv_file(tmp_path, *lines):
     path = tmp_path / "in.csv"
-    path.write_text("\n".join(["h1,h2,h3,h4", *lines]) + "\n")
+    path.write_text("\n".join(["ID,PRDTID,UOM,PRICE", *lines]) + "\n")
     return str(path)
 
 
@@ -39,6 +39,21 @@ def test_null_cells(spark, tmp_path):
     assert rows == [("a", None, "", 1), ("b", None, "x", None)]
 
 
+def test_header_must_name_the_columns(spark, tmp_path):
+    path = csv_file(tmp_path, "a,b,c,1")
+    swapped = SCHEMA.replace("uom", "prdtid2")
+    with pytest.raises(Exception, match="CSV header|FAILED_READ_FILE"):
+        read_csv(spark, path, swapped).collect()
+    assert read_csv(spark, path, SCHEMA).count() == 1
+    assert read_csv(spark, path, swapped, by_position=True).first().prdtid2 == "c"
+
+
+@pytest.mark.parametrize("lines", [["a,b,c"], ["a,b,c,1,2"]])
+def test_wrong_number_of_cells_fails(spark, tmp_path, lines):
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+        read_csv(spark, csv_file(tmp_path, *lines), SCHEMA).collect()
+
+
 @pytest.mark.parametrize("cell", ["1250.0", "x"])
 def test_wrong_type_fails(spark, tmp_path, cell):
     with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
