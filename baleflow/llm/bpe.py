@@ -7,6 +7,7 @@ the ids of words it has seen, up to a bound.
 
 from __future__ import annotations
 
+import re
 import string
 from array import array
 
@@ -22,6 +23,8 @@ KEPT_WORDS = 400_000
 KEPT_BYTES = 64
 #: Ends in a digit or letter that is one in every Unicode version in use.
 OLD_LETTER_LAST = r"[0-9A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ώА-я]$"
+#: Letters that stay letters in lower case: a word of these is one piece.
+PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -52,6 +55,10 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         # The strings of special tokens are ordinary text within documents.
         self.tokenizer.encode_special_tokens = True
+        # Tokens that end a word carry a mark.
+        self.is_end = np.zeros(self.tokenizer.get_vocab_size(True), bool)
+        for token, number in self.tokenizer.get_vocab(True).items():
+            self.is_end[number] = token.endswith("</w>")
         self.forget()
 
     def forget(self) -> None:
@@ -61,28 +68,47 @@ class WordEncoder:
         self.ids = array("I")
 
     def learn(self, words: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for word, one in zip(words, encoded):
-            self.places[word] = len(self.starts)
-            self.starts.append(len(self.ids))
-            self.lengths.append(len(one.ids))
-            self.ids.extend(one.ids)
+        """Encode new words: those of plain letters, one piece each, many in a text."""
+        plain = [word for word in words if PLAIN.fullmatch(word)]
+        if plain:
+            texts = [" ".join(plain[k : k + 1000]) for k in range(0, len(plain), 1000)]
+            encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.concatenate([np.array(one.ids, np.uint32) for one in encoded])
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) == len(plain):
+                self.keep(plain, ids, np.diff(ends, prepend=0))
+            else:
+                plain = []
+        rest = [word for word in words if not PLAIN.fullmatch(word)] if plain else words
+        if rest:
+            encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+            pieces = [np.array(one.ids, np.uint32) for one in encoded]
+            self.keep(rest, np.concatenate(pieces), np.array([len(piece) for piece in pieces]))
+
+    def keep(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        first = len(self.starts)
+        starts = len(self.ids) + np.cumsum(lengths) - lengths
+        self.places.update(zip(words, range(first, first + len(words))))
+        self.starts.frombytes(starts.astype(np.int64).tobytes())
+        self.lengths.frombytes(lengths.astype(np.int64).tobytes())
+        self.ids.frombytes(ids.tobytes())
 
     def places_of(self, words: pa.Array) -> np.ndarray:
         """The places of words, of which new ones are encoded first."""
         distinct = words.dictionary_encode()
         names = distinct.dictionary.to_pylist()
-        new = [name for name in names if name not in self.places]
-        if len(self.places) + len(new) > KEPT_WORDS:
-            self.forget()
-            new = [name for name in names if name]
-        self.learn(new)
-        places = self.places
-        found = np.fromiter((places[name] for name in names), np.int64, len(names))
-        for name in new:
-            if len(name) > KEPT_BYTES:
-                del places[name]
-        return found[distinct.indices.to_numpy()]
+        found = list(map(self.places.get, names))
+        if None in found:
+            new = [name for name, place in zip(names, found) if place is None]
+            if len(self.places) + len(new) > KEPT_WORDS:
+                self.forget()
+                new = [name for name in names if name]
+            self.learn(new)
+            found = list(map(self.places.get, names))
+            for name in new:
+                if len(name) > KEPT_BYTES:
+                    del self.places[name]
+        return np.array(found, np.int64)[distinct.indices.to_numpy()]
 
     def parts(self, words: pa.Array) -> np.ndarray:
         """For each word the places of its body and of the punctuation behind it, in turns."""

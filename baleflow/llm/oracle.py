@@ -2,4 +2,24 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+TOP_K = """
+WITH whole AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, c -> c IS NULL OR isnan(c) OR isinf(c))) = 0
+), vectors AS (
+    SELECT vec_id, list_transform(x, c -> floor(256 * c)) AS v FROM whole
+), pairs AS (
+    SELECT q.vec_id AS query_id, p.vec_id,
+           CAST(list_inner_product(q.v, p.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors p ON p.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+    FROM pairs
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+SQL: dict[str, str] = {
+    "op6_norm_bucketed_top_k": TOP_K,
+}

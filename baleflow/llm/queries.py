@@ -5,12 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from baleflow.llm import packing, token_files
-from baleflow.llm.common import documents
+from baleflow.llm import near_dup, packing, pii, token_files, topk, toxicity
+from baleflow.llm.common import documents, ready
 from baleflow.session import new_dir
 
 
+def pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(documents(spark, sf_dir))
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs, model)
+    return scored.withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+
+
+def norm_bucketed_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = ready(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(embeddings, F.col("vec_id") % 50 == 0, 5)
+
+
+def coordinate_join_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir), near_dup.Similarity(3, 85))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -22,6 +43,10 @@ def token_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_spans": pii_spans,
+    "op2_toxicity": toxicity_scores,
     "op5_best_fit_packing": best_fit_packing,
+    "op6_norm_bucketed_top_k": norm_bucketed_top_k,
     "op8_token_files": token_file_round_trip,
+    "op9_coordinate_join": coordinate_join_near_duplicates,
 }
