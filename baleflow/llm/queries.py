@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from baleflow.llm import near_dup, packing, pii, token_files, topk, toxicity
+from baleflow.llm import (
+    decontaminate,
+    lpf_dedup,
+    near_dup,
+    packing,
+    pii,
+    token_files,
+    topk,
+    toxicity,
+)
 from baleflow.llm.common import documents, ready
 from baleflow.session import new_dir
 
@@ -23,6 +32,15 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", toxicity.held_out(F.col("doc_id")))
 
 
+def lpf_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lpf_dedup.digest(lpf_dedup.removed(documents(spark, sf_dir), 200, keep_first=False))
+
+
+def simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = ready(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.matches(documents(spark, sf_dir), benchmark)
+
+
 def norm_bucketed_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = ready(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
     return topk.top_k(embeddings, F.col("vec_id") % 50 == 0, 5)
@@ -45,6 +63,8 @@ def token_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_spans": pii_spans,
     "op2_toxicity": toxicity_scores,
+    "op3_lpf_removal": lpf_removal,
+    "op4_simhash_decontamination": simhash_decontamination,
     "op5_best_fit_packing": best_fit_packing,
     "op6_norm_bucketed_top_k": norm_bucketed_top_k,
     "op8_token_files": token_file_round_trip,
