@@ -408,3 +408,21 @@ def near_duplicates(docs: DataFrame, similarity: Similarity) -> DataFrame:
     return found.union(without_ids).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+
+
+def one_of_each(docs: DataFrame, similarity: Similarity) -> DataFrame:
+    """The documents without near duplicates of others, with all their columns.
+
+    Of each component the document of the smallest doc_id stays, and of rows that share a doc_id one.
+    """
+    found = near_duplicates(docs, similarity)
+    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
+    dropped = broadcast_if_small(written(dropped, "near-duplicates"))
+    twice = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    twice = written(twice.select("doc_id"), "repeated-ids")
+    rest = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    if twice.isEmpty():
+        return rest
+    once = rest.join(twice, "doc_id", "left_anti").select(docs.columns)
+    first = rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.union(first.select(docs.columns))

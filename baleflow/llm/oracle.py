@@ -20,6 +20,58 @@ WITH whole AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+LM_SCORE = r"""
+WITH target AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL),
+docs AS (
+    SELECT row_number() OVER () AS r, d.doc_id, t.doc_id IS NOT NULL AS own,
+           regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN]+') AS ws
+    FROM documents d LEFT JOIN target t ON d.doc_id = t.doc_id
+), tokens AS (
+    SELECT r, own, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM docs
+), counted AS (
+    SELECT w, count(*) FILTER (own) AS t, count(*) FILTER (NOT own) AS b, count(*) AS n
+    FROM tokens GROUP BY w HAVING count(*) > 1
+), spread AS (
+    SELECT n, sum(count(*)) OVER (ORDER BY n DESC) AS total FROM counted GROUP BY n
+), vocabulary AS (
+    SELECT w, t, b, row_number() OVER (ORDER BY n DESC, w) - 1 AS number
+    FROM counted WHERE n IN (SELECT n FROM spread WHERE total <= 200000)
+), sizes AS (
+    SELECT least(1000, count(*)) AS k, count(*) AS v FROM vocabulary
+), classed AS (
+    SELECT r, own, i, coalesce(number, v) AS number, least(coalesce(number, v), k) AS c
+    FROM tokens LEFT JOIN vocabulary USING (w), sizes
+), paired AS (
+    SELECT *, coalesce(lag(c) OVER (PARTITION BY r ORDER BY i), -1) AS p FROM classed
+), models(own) AS (VALUES (true), (false)),
+totals AS (SELECT own, count(*) AS n FROM classed GROUP BY own),
+by_class AS (SELECT own, c, count(*) AS n FROM classed GROUP BY ALL),
+by_word AS (SELECT own, number, count(*) AS n FROM classed GROUP BY ALL),
+by_pair AS (SELECT own, p, c, count(*) AS n FROM paired GROUP BY ALL),
+given AS (SELECT own, p, count(*) AS n FROM paired GROUP BY ALL),
+losses AS (
+    SELECT x.r, m.own,
+        -ln((coalesce(bp.n, 0) + 10.0::DOUBLE * (coalesce(bc.n, 0) + 1)::DOUBLE
+              / (coalesce(tt.n, 0) + k + 1)) / (coalesce(g.n, 0) + 10.0::DOUBLE))
+        - CASE WHEN x.c = k THEN ln((coalesce(bw.n, 0) + 1)::DOUBLE
+              / (coalesce(bc.n, 0) + v - k + 1)) ELSE 0 END AS loss
+    FROM paired x CROSS JOIN models m CROSS JOIN sizes
+    LEFT JOIN totals tt ON tt.own = m.own
+    LEFT JOIN by_class bc ON bc.own = m.own AND bc.c = x.c
+    LEFT JOIN by_word bw ON bw.own = m.own AND bw.number = x.number
+    LEFT JOIN by_pair bp ON bp.own = m.own AND bp.p = x.p AND bp.c = x.c
+    LEFT JOIN given g ON g.own = m.own AND g.p = x.p
+), summed AS (
+    SELECT r, sum(loss) FILTER (own) AS t, sum(loss) FILTER (NOT own) AS b FROM losses GROUP BY r
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_tokens,
+       coalesce(round(t / len(ws), 6), 0) AS target_loss,
+       coalesce(round(b / len(ws), 6), 0) AS background_loss,
+       coalesce(round((t - b) / len(ws), 6), 0) AS score
+FROM docs LEFT JOIN summed USING (r)
+"""
+
 SQL: dict[str, str] = {
     "op6_norm_bucketed_top_k": TOP_K,
+    "op7_cross_entropy_difference": LM_SCORE,
 }

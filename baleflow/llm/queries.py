@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from baleflow.llm import (
     decontaminate,
+    line_templates,
+    lm_score,
     lpf_dedup,
     near_dup,
     packing,
@@ -54,6 +56,15 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = ready(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    return lm_score.score(documents(spark, sf_dir), labels.where("quality = 1"))
+
+
+def line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.digest(line_templates.cleaned(documents(spark, sf_dir)))
+
+
 def token_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_dir(spark, "token-files")
     token_files.write(documents(spark, sf_dir), path)
@@ -67,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_decontamination": simhash_decontamination,
     "op5_best_fit_packing": best_fit_packing,
     "op6_norm_bucketed_top_k": norm_bucketed_top_k,
+    "op7_cross_entropy_difference": cross_entropy_difference,
     "op8_token_files": token_file_round_trip,
     "op9_coordinate_join": coordinate_join_near_duplicates,
+    "op10_line_templates": line_template_dedup,
 }

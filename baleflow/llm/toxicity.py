@@ -318,3 +318,19 @@ def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) ->
             )
 
     return ids_and_texts(docs).mapInArrow(run, SCORED)
+
+
+def ordinary(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that do not count as toxic, with all their columns."""
+    ready(docs.sparkSession)
+    if model is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair = model.compressors()
+        for part in slices(batches):
+            texts = pc.fill_null(one_array(part, "text"), "")
+            scores = 1 / (1 + np.exp(-np.clip(features(counted(texts, *pair)) @ model.weights, -30, 30)))
+            yield from part.filter(pa.array(scores < threshold)).to_batches(max_chunksize=256)
+
+    return docs.mapInArrow(run, docs.schema)
