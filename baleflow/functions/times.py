@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted yy/MM/dd and HH:mm:ss (a part but the year may have one digit).
-DATE_SHAPE = r"^[0-9]{2}/[0-9]{1,2}/[0-9]{1,2}$"
-CLOCK_SHAPE = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]$"
+# Accepted yy/MM/dd and HH:mm:ss (a part but the year may have one digit). They end
+# in \z, since $ also matches before a final line break.
+DATE_SHAPE = r"\A[0-9]{2}/[0-9]{1,2}/[0-9]{1,2}\z"
+CLOCK_SHAPE = r"\A([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]\z"
 
 # Fixed value: event times in messages, all parts with all digits.
-TIMESTAMP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+TIMESTAMP_SHAPE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 
 
 def _iso_date(text: Column) -> Column:
@@ -57,11 +58,9 @@ def valid_time(text: Column) -> Column:
     return _try_time(text).isNotNull()
 
 
-def parse_event_time(date: Column, time: Column) -> Column:
-    """`yy/MM/dd` and `HH:mm:ss` text to TIMESTAMP_NTZ."""
-    text = F.concat_ws(" ", date, time)
-    moment = F.concat(_iso_date(date), F.lit(" "), _try_time(time))
-    return _or_fail(moment.try_cast("timestamp_ntz"), text, "order date and time")
+def event_time(date: Column, time: Column) -> Column:
+    """A DATE and the text `parse_time` gives, as one TIMESTAMP_NTZ."""
+    return F.concat(date.cast("string"), F.lit(" "), time).cast("timestamp_ntz")
 
 
 def date_text(date: Column) -> Column:
@@ -73,6 +72,11 @@ def timestamp_text(timestamp: Column) -> Column:
     return F.substring(timestamp.cast("string"), 1, 19)
 
 
+def as_timestamp(text: Column) -> Column:
+    """Text that `valid_timestamp` holds for, or null, to TIMESTAMP_NTZ."""
+    return text.cast("timestamp_ntz")
+
+
 def _try_timestamp(text: Column) -> Column:
     return F.when(text.rlike(TIMESTAMP_SHAPE), text.try_cast("timestamp_ntz"))
 

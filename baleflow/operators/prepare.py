@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from baleflow.functions.lookups import look_up
 from baleflow.functions.times import (
+    event_time,
     parse_date,
-    parse_event_time,
     parse_time,
     valid_date,
     valid_time,
@@ -35,15 +35,10 @@ def with_amount(raw: DataFrame) -> DataFrame:
 
 
 def with_event_time(raw: DataFrame) -> DataFrame:
-    """Parse order date and time, and both together into the event time."""
-    date, time = F.col("orddate"), F.col("ordtime")
-    return raw.withColumns(
-        {
-            "orddate": parse_date(date),
-            "ordtime": parse_time(time),
-            "eventtime": parse_event_time(date, time),
-        }
-    )
+    """Parse order date and time, and put both together into the event time."""
+    # In one projection, where equal expressions are evaluated once.
+    date, time = parse_date(F.col("orddate")), parse_time(F.col("ordtime"))
+    return raw.withColumns({"orddate": date, "ordtime": time, "eventtime": event_time(date, time)})
 
 
 def prepare_orders(raw: DataFrame) -> DataFrame:
@@ -51,18 +46,20 @@ def prepare_orders(raw: DataFrame) -> DataFrame:
     return with_event_time(with_amount(with_weight(raw)))
 
 
-def _parses() -> Column:
-    return F.coalesce(valid_date(F.col("orddate")) & valid_time(F.col("ordtime")), F.lit(False))
+def usable_line() -> Column:
+    """An id, and a date and time that parse."""
+    parses = valid_date(F.col("orddate")) & valid_time(F.col("ordtime"))
+    return F.col("id").isNotNull() & F.coalesce(parses, F.lit(False))
 
 
 def accepted_lines(raw: DataFrame) -> DataFrame:
-    """Raw lines whose date and time parse."""
-    return raw.where(_parses())
+    """Raw lines with an id, whose date and time parse."""
+    return raw.where(usable_line())
 
 
 def rejected_lines(raw: DataFrame) -> DataFrame:
-    """Raw lines `prepare_orders` would fail on."""
-    return raw.where(~_parses())
+    """Raw lines that `prepare_orders`, or the messages made of them, would fail on."""
+    return raw.where(~usable_line())
 
 
 def priced_orders(orders: DataFrame) -> DataFrame:
