@@ -1,18 +1,37 @@
-"""CSV files with a header, read with a fixed schema; a value of the wrong type fails the job."""
+"""CSV files with a header, read with a fixed schema; a value of the wrong type fails the job.
+
+Cells are quoted as other tools do it: a quote within a cell is doubled, blanks around a text and
+backslashes are part of it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
 
+# How cells are quoted, for reader and writer.
+CELLS = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str, null_value: str = "", by_position: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    null_value: str = "",
+    by_position: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """The header of each file must name the columns of the schema, in any case of letters;
-    `by_position` skips it unread."""
-    return spark.read.csv(
+    `by_position` skips it unread. With `multiline` a quoted cell may hold line breaks; a file is
+    then read by one task, whatever its size."""
+    return spark.read.options(**CELLS).csv(
         path,
         schema=schema,
         header=True,
@@ -20,9 +39,24 @@ def read_csv(
         nullValue=null_value,
         enforceSchema=by_position,
         dateFormat="yyyy-MM-dd",
+        multiLine=multiline,
     )
 
 
-def write_csv(rows: DataFrame, path: str) -> None:
-    """Overwrite a folder of CSV files; nulls become empty cells."""
-    rows.write.mode("overwrite").option("timestampNTZFormat", TIMESTAMP).csv(path, header=True)
+def write_csv(rows: DataFrame, path: str, multiline: bool = False) -> None:
+    """Overwrite a folder of CSV files; nulls become empty cells.
+
+    A text with a line break fails the job, as files with one cannot be split over tasks, unless
+    `multiline` is set here and in `read_csv`.
+    """
+    if not multiline:
+        rows = rows.withColumns(
+            {name: _one_line(name) for name, kind in rows.dtypes if kind.startswith(("string", "char", "varchar"))}
+        )
+    writer = rows.write.mode("overwrite").options(**CELLS)
+    writer.option("timestampNTZFormat", TIMESTAMP).csv(path, header=True)
+
+
+def _one_line(name: str):
+    message = F.concat(F.lit(f"line break in column {name}: "), F.col(name))
+    return F.when(F.col(name).rlike(r"[\r\n]"), F.raise_error(message)).otherwise(F.col(name))

@@ -16,7 +16,10 @@ def create_table(
     """Create a Parquet table unless it exists; True if it was created."""
     if spark.catalog.tableExists(name):
         return False
-    place = f" LOCATION '{location}'" if location else ""
+    place = ""
+    if location:
+        quoted = location.replace("\\", "\\\\").replace("'", "\\'")
+        place = f" LOCATION '{quoted}'"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet{place}")
     return True
 

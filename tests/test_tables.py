@@ -33,6 +33,36 @@ def test_round_trip(spark, tmp_path):
     assert plain == [rows[0], ("b", None, "é", 7)]
 
 
+AWKWARD = [' a', 'b ', 'say "x"', '"', 'back\\slash', '\\"', 'a,"b",c', "'", "\t x"]
+
+
+def test_awkward_texts_come_back(spark, tmp_path):
+    rows = [(text,) for text in AWKWARD]
+    path = str(tmp_path / "out")
+    write_csv(spark.createDataFrame(rows, "t STRING"), path)
+    assert sorted(map(tuple, read_csv(spark, path, "t STRING").collect())) == sorted(rows)
+    written = "".join(part.read_text() for part in (tmp_path / "out").glob("*.csv"))
+    assert '"say ""x"""' in written
+
+
+def test_file_of_another_tool(spark, tmp_path):
+    import csv
+
+    with open(tmp_path / "in.csv", "w", newline="") as file:
+        csv.writer(file).writerows([["t"], *[[text] for text in AWKWARD]])
+    got = [row.t for row in read_csv(spark, str(tmp_path / "in.csv"), "t STRING").collect()]
+    assert sorted(got) == sorted(AWKWARD)
+
+
+def test_line_breaks_need_multiline(spark, tmp_path):
+    rows = spark.createDataFrame([("a\nb",), ("c",)], "t STRING")
+    with pytest.raises(Exception, match="line break in column t"):
+        write_csv(rows, str(tmp_path / "out"))
+    write_csv(rows, str(tmp_path / "many"), multiline=True)
+    got = read_csv(spark, str(tmp_path / "many"), "t STRING", multiline=True).collect()
+    assert sorted(row.t for row in got) == ["a\nb", "c"]
+
+
 def test_null_cells(spark, tmp_path):
     path = csv_file(tmp_path, 'a,,"",1', "b,NULL,x,NULL")
     rows = sorted(map(tuple, read_csv(spark, path, SCHEMA, null_value="NULL").collect()))
@@ -81,6 +111,13 @@ def test_create_only_when_missing(spark, table):
     assert spark.table(table).columns == ["id"]
 
 
+def test_location_may_hold_a_quote(spark, tmp_path, table):
+    location = str(tmp_path / "it's here")
+    assert create_table(spark, table, "id INT", location)
+    spark.sql(f"INSERT INTO {table} VALUES (1)")
+    assert spark.read.parquet(location).count() == 1
+
+
 def test_jdbc_scan_is_split():
     options = jdbc_options("jdbc:postgresql://host/db", "orders", "id", 0, 100, 8)
     assert options["partitionColumn"] == "id" and options["numPartitions"] == "8"
