@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The product codes, prices, names, list prices and constants of the specification.
 _RAW = """
 joined AS (
   SELECT *, (l_orderkey * 37 + l_linenumber * 61) % 86400 AS s
@@ -109,6 +110,7 @@ def _on_running(select: str) -> str:
 
 SQL: dict[str, str] = {
     "raw_orders": _on_raw("SELECT * FROM raw_orders"),
+    "raw_orders_long": _on_raw("SELECT * FROM raw_orders"),
     "orders": _on_orders(f"SELECT {_ORDER_COLUMNS} FROM enriched"),
     "order_weight": _on_orders("SELECT id, seq, weight FROM enriched"),
     "order_amount": _on_orders("SELECT id, seq, prdtid, amount FROM enriched"),
@@ -129,7 +131,9 @@ SQL: dict[str, str] = {
     "order_totals": _on_priced(_TOTALS),
     "order_totals_stream": _on_priced(_TOTALS),
     "order_running_totals": _on_running("SELECT id, seq, amount, event_time FROM running"),
+    "order_running_totals_long": _on_running("SELECT id, seq, amount, event_time FROM running"),
     "order_running_totals_stream": _on_running("SELECT id, seq, amount, event_time FROM running"),
     "sales_messages": _on_running(_SALES_MESSAGES),
+    "sales_stream": _on_running(_SALES_MESSAGES),
     "sales_readback": _on_running(_SALES_MESSAGES),
 }

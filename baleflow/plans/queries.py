@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from baleflow.functions.messages import order_messages, parse_orders, sales_messages
 from baleflow.operators import prepare, totals
+from baleflow.plans import workflow
 from baleflow.schemas import ORDER_COLUMNS, ORDERS
 from baleflow.session import new_dir, tune
 from baleflow.sources.csv_files import read_csv, write_csv
@@ -15,9 +16,10 @@ from baleflow.sources.staging import ARRIVAL, numbered_lines, order_lines
 from baleflow.sources.tables import load_csv
 from baleflow.sources.topics import (
     NUMBERED_VALUES,
-    files_for_batches,
     publish,
+    publish_epoch,
     publish_in_waves,
+    read_topic,
     subscribe,
 )
 from baleflow.streaming import jobs
@@ -76,7 +78,10 @@ def load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv(pricelist(spark, sf_dir), path)
     location = new_dir(spark, "pricelist")
     name = location.rsplit("/", 1)[-1].replace("-", "_")
-    return load_csv(spark, name, path, "pricelist", location)
+    schema = load_csv(spark, name, path, "pricelist", location).schema
+    # The rows are at the location; the name is not left in the catalog.
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(location)
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,48 +119,76 @@ def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish all messages, replay them at a bounded rate, read the last total of each id."""
+    """Publish all messages, replay them at a fixed rate, read the last total of each id."""
     topic, out = new_dir(spark, "orders-topic"), new_dir(spark, "totals")
     publish(_messages(spark, sf_dir), topic)
-    messages = subscribe(spark, topic, files_per_trigger=files_for_batches(spark, topic, 3))
     checkpoint = new_dir(spark, "totals-checkpoint")
-    jobs.start_totals(parse_orders(messages), out, checkpoint).awaitTermination()
+    jobs.start_totals(parse_orders(subscribe(spark, topic)), out, checkpoint).awaitTermination()
     return jobs.latest_totals(spark, out)
 
 
 def order_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return totals.running_totals(_numbered_sales(spark, sf_dir))
+    return totals.running_totals(_numbered_sales(spark, sf_dir), marked=True)
 
 
-def order_running_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the messages in waves and resume the job after each, one micro-batch a wave."""
-    topic, out = new_dir(spark, "orders-topic"), new_dir(spark, "running")
-    checkpoint = new_dir(spark, "running-checkpoint")
+def _published_orders(spark: SparkSession, sf_dir: str) -> str:
+    """A topic of the priced orders, those of an order in the order of `seq`."""
+    topic = new_dir(spark, "orders-topic")
+    priced = prepare.priced_orders(_numbered_orders(spark, sf_dir))
+    publish_in_waves(order_messages(priced, "id", "seq"), topic)
+    return topic
 
-    def take_wave() -> None:
-        parsed = parse_orders(subscribe(spark, topic, NUMBERED_VALUES), "seq")
-        jobs.start_running_totals(parsed, out, checkpoint).awaitTermination()
 
-    priced = prepare.priced_orders(_numbered_orders(spark, sf_dir))
-    publish_in_waves(order_messages(priced, "seq"), topic, take_wave)
-    return spark.read.schema(jobs.RUNNING_TOTALS).parquet(out)
+def order_running_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic, out = _published_orders(spark, sf_dir), new_dir(spark, "running")
+    parsed = parse_orders(subscribe(spark, topic, NUMBERED_VALUES), "seq")
+    checkpoint = new_dir(spark, "running-checkpoint")
+    jobs.start_running_totals(parsed, out, checkpoint).awaitTermination()
+    return jobs.read_running_totals(spark, out)
 
 
 def sales_messages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_messages(order_running_totals(spark, sf_dir))
 
 
+def sales_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales job from topic to topic: order messages in, one sales message for each out."""
+    topic, sales = _published_orders(spark, sf_dir), new_dir(spark, "sales-topic")
+    workflow.process_orders(
+        subscribe(spark, topic, NUMBERED_VALUES),
+        lambda messages, epoch: publish_epoch(messages, sales, epoch),
+        new_dir(spark, "sales-checkpoint"),
+    ).awaitTermination()
+    return read_topic(spark, sales)
+
+
 def sales_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, out = new_dir(spark, "sales-topic"), new_dir(spark, "sales")
     publish(sales_messages_query(spark, sf_dir), topic)
-    messages = subscribe(spark, topic, files_per_trigger=files_for_batches(spark, topic, 3))
+    messages = subscribe(spark, topic)
     checkpoint = new_dir(spark, "sales-checkpoint")
     jobs.start_copy(messages, out, checkpoint).awaitTermination()
     return spark.read.schema(messages.schema).parquet(out)
 
 
+# Lines an order may have before it is treated as long, low enough for every table to have some.
+FEW = 4
+
+
+def raw_orders_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`raw_orders`, most orders numbered as long ones are."""
+    return numbered_lines(spark, sf_dir, FEW).drop("long")
+
+
+def order_running_totals_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`order_running_totals`, most orders numbered and summed in blocks as long ones are."""
+    lines = prepare.prepare_orders(numbered_lines(spark, sf_dir, FEW))
+    return totals.running_totals(totals.as_sales(prepare.priced_orders(lines)), FEW, marked=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_orders": raw_orders,
+    "raw_orders_long": raw_orders_long,
     "orders": orders,
     "order_weight": order_weight,
     "order_amount": order_amount,
@@ -172,8 +205,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_totals": order_totals,
     "order_totals_stream": order_totals_stream,
     "order_running_totals": order_running_totals,
+    "order_running_totals_long": order_running_totals_long,
     "order_running_totals_stream": order_running_totals_stream,
     "sales_messages": sales_messages_query,
+    "sales_stream": sales_stream,
     "sales_readback": sales_readback,
 }
 

@@ -1,7 +1,8 @@
 """The four jobs end to end: prepare and load, publish, process, print.
 
 The stream jobs take any stream of messages, such as `topics.subscribe` or
-`topics.subscribe_kafka`, and any writer, such as `topics.file_writer` or `topics.kafka_writer`.
+`topics.subscribe_kafka`, and any function that publishes a batch of them, such as
+`topics.publish_epoch` or `topics.publish_kafka`.
 """
 
 from __future__ import annotations
@@ -9,13 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-
-from baleflow.functions.messages import accepted_orders, order_messages, parse_orders
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from baleflow.functions.messages import (
+    accepted_orders,
+    order_messages,
+    parse_orders,
+    sales_messages,
+)
 from baleflow.operators import prepare
-from baleflow.operators.long_keys import number_by
-from baleflow.schemas import ORDER_COLUMNS, RAW_ORDERS
-from baleflow.session import tune
+from baleflow.operators.long_keys import TASK_ROWS, number_by
+from baleflow.schemas import ORDER_COLUMNS, ORDERS, RAW_ORDERS
+from baleflow.session import tune, written
 from baleflow.sources import topics
 from baleflow.sources.csv_files import read_csv, write_csv
 from baleflow.sources.tables import load_csv
@@ -37,19 +44,25 @@ def prepare_and_load(
     """
     raw = read_csv(tune(spark), orders_csv, RAW_ORDERS)
     if set_aside:
-        write_csv(prepare.rejected_lines(raw), f"{folder}/Rejected.csv")
-        raw = prepare.accepted_lines(raw)
-    prepared = {
-        "orders": prepare.prepare_orders(raw).select(ORDER_COLUMNS),
-        "products": prepare.products(raw),
-        "pricelist": prepare.pricelist(raw),
-    }
-    loaded = {}
-    for name, rows in prepared.items():
+        # Parsed once, for the lines that are loaded and for those that are not.
+        parsed = written(raw.withColumn("usable", prepare.usable_line()), "raw-lines")
+        write_csv(parsed.where(~F.col("usable")).drop("usable"), f"{folder}/Rejected.csv")
+        raw = parsed.where("usable").drop("usable")
+
+    def load(name: str, rows: DataFrame) -> DataFrame:
         path = f"{folder}/{name.capitalize()}.csv"
         write_csv(rows, path)
-        loaded[name] = load_csv(spark, name, path, name, overwrite=overwrite)
-    return loaded
+        return load_csv(spark, name, path, name, overwrite=overwrite)
+
+    # Products and price list have a row for each order line: they are made of the file of the
+    # orders, which has the product codes, and the raw lines are not parsed again.
+    orders = load("orders", prepare.prepare_orders(raw).select(ORDER_COLUMNS))
+    lines = read_csv(spark, f"{folder}/Orders.csv", ORDERS.replace("VARCHAR(10)", "STRING"))
+    return {
+        "orders": orders,
+        "products": load("products", prepare.products(lines)),
+        "pricelist": load("pricelist", prepare.pricelist(lines)),
+    }
 
 
 def publish_orders(
@@ -57,28 +70,36 @@ def publish_orders(
 ) -> None:
     """Publish the priced rows of an orders table.
 
-    A table keeps no arrival order, so the lines of an order go by event time, then product.
+    A table keeps no arrival order, so the lines of an order go by event time, then product. A
+    publisher that failed may be run again, see `topics.publish_in_waves`.
     """
     lines = number_by(prepare.priced_orders(orders), "id", ["eventtime", "prdtid", "quantity"])
-    topics.publish_in_waves(order_messages(lines, "seq"), topic, after_wave)
+    topics.publish_in_waves(order_messages(lines, "id", "seq"), topic, after_wave)
 
 
 def process_orders(
     messages: DataFrame,
-    write: Callable[[DataFrame], DataStreamWriter],
+    publish: Callable[[DataFrame, int], None],
     checkpoint: str,
     every: str | None = None,
     skip_broken: bool = False,
+    task_rows: int = TASK_ROWS,
 ) -> StreamingQuery:
-    """Running total of each order, from a stream of order messages (value, seq) to `write`.
+    """Running total of each order, from a stream of order messages (value, seq) to a topic.
 
-    A broken message fails the job; with `skip_broken` it is left out, and
+    `publish` gets the sales messages of a micro-batch and its number, for example
+    `topics.publish_epoch`. A broken message fails the job; with `skip_broken` it is left out, and
     `jobs.start_quarantine` on the same stream keeps it.
     """
     tune(messages.sparkSession)
     parse = accepted_orders if skip_broken else parse_orders
-    sales = jobs.sales_stream(parse(messages, "seq"))
-    return jobs.start_writer(write(sales), checkpoint, every)
+
+    def publish_sales(totals: DataFrame, epoch: int) -> None:
+        publish(sales_messages(totals), epoch)
+
+    return jobs.start_running(
+        parse(messages, "seq"), f"{checkpoint}-totals", publish_sales, checkpoint, every, task_rows
+    )
 
 
 def print_topic(messages: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:

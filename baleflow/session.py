@@ -36,11 +36,14 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one in local mode only."""
+    """The folder the cluster names for checkpoints.
+
+    Where none is named, a session that runs in one process (tests, bench) gets a temporary one.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="baleflow-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -61,6 +64,12 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder of that name, in whatever store the path is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for a written table of at most `max_rows` rows, else left to Catalyst."""
     return F.broadcast(table) if table.count() <= max_rows else table

@@ -72,17 +72,16 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, sf_dir: str, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Raw orders with `seq`, and `long` for lines of orders of more than `task_rows` lines.
+    """Raw orders with `seq`; `long` marks lines of orders of more than `task_rows` lines, if any.
 
-    Lines are numbered before the join, so that numbering, join and a later window by id share
+    `task_rows` is what one task may be given of one order; results do not depend on it. Lines are numbered before the join, so that numbering, join and a later window by id share
     one shuffle. Long orders go another way, see `number_long`.
     """
     lines, headers = _lines(spark, sf_dir), _headers(spark, sf_dir)
-    # Counting reads file footers only; a table that fits one task has no long orders.
-    keys = long_keys(lines, KEY, task_rows) if lines.count() > task_rows else None
+    keys = long_keys(lines, KEY, task_rows)
     if keys is None:
         numbered = number_short(lines, KEY, ARRIVAL)
-        return _raw(numbered, headers, "seq", F.lit(False).alias("long"))
+        return _raw(numbered, headers, "seq")
     # Numbered at the scan, where it is repeatable: tells exact copies of a line apart.
     lines = lines.withColumn("copy", F.monotonically_increasing_id())
     short, long = split(lines, KEY, keys)

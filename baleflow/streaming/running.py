@@ -1,59 +1,49 @@
-"""Per-record running totals on a stream: the one place that needs Python state."""
+"""Per-record running totals on a stream: windows within a micro-batch, carried totals between them.
 
-from __future__ import annotations
+A micro-batch is a batch: its records are summed as `totals.running_by_id` sums a table, so an id
+with more than `task_rows` records in it is cut into blocks and no task gets a whole long id. What
+the ids had summed up to before comes from a table that every micro-batch adds its changes to.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from baleflow.operators.totals import with_time_text
-
-# Neighbouring ids that share one state entry. A call of the state function costs far more than
-# the few records one id has in a micro-batch; an entry has this many ids at most, some 6 KB.
-IDS_PER_STATE = 256
-
-OUTPUT = "id BIGINT, seq BIGINT, amount BIGINT, event_time TIMESTAMP_NTZ"
-STATE = "ids ARRAY<BIGINT>, amounts ARRAY<BIGINT>, micros ARRAY<BIGINT>"
-
-
-def _carry_on() -> Callable:
-    """The state function, as a closure: it travels to the workers by value, so they need pandas
-    but not this package."""
-
-    def carry_on(key, frames, state):
-        records = pd.concat(list(frames))[["id", "seq", "amount", "event_time"]]
-        if state.exists:
-            # The totals so far go in front, as a record numbered 0.
-            ids, amounts, micros = state.get
-            times = pd.to_datetime(pd.Series(list(micros), dtype="int64"), unit="us")
-            before = pd.DataFrame({"id": list(ids), "seq": 0, "amount": list(amounts)})
-            records = pd.concat([before.assign(event_time=times), records])
-        records = records.sort_values(["id", "seq"], ignore_index=True)
-        by_id = records.groupby("id", sort=False)
-        records = records.assign(
-            amount=by_id["amount"].cumsum(), event_time=by_id["event_time"].cummax()
-        )
-        last = records.drop_duplicates("id", keep="last")
-        micros = last["event_time"].astype("datetime64[us]").astype("int64")
-        state.update((last["id"].tolist(), last["amount"].tolist(), micros.tolist()))
-        yield records[records["seq"] > 0]
 
-    return carry_on
+from baleflow.operators.long_keys import TASK_ROWS
+from baleflow.operators.totals import running_by_id, totals_by_id, with_time_text
+from baleflow.session import written
+from baleflow.streaming import epochs
 
+CARRIED = "id BIGINT, amount BIGINT, event_time TIMESTAMP_NTZ"
 
-def running_totals_stream(sales: DataFrame) -> DataFrame:
-    """Stream of (id, seq, amount, event_time as TIMESTAMP_NTZ) to one row per record.
 
-    Records of an id must arrive in `seq` order, 1 and up, from micro-batch to micro-batch;
-    inside one they are put in order. The records of an id in one micro-batch go to one task, so
-    the source should bound a micro-batch. State never expires.
+def running_epoch(
+    sales: DataFrame, epoch: int, state: str, task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """(id, seq, amount, event_time text) of a micro-batch of (id, seq, amount, event_time).
+
+    Records of an id must come in `seq` order, 1 and up, from micro-batch to micro-batch; within
+    one they are put in order. `state` is the folder of the carried totals, which this adds to;
+    a micro-batch that runs again overwrites what it wrote and gives the same result.
     """
-    records = sales.select("id", "seq", "amount", "event_time")
-    records = records.withColumn("neighbours", F.expr(f"id div {IDS_PER_STATE}"))
-    running = records.groupBy("neighbours").applyInPandasWithState(
-        _carry_on(), OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
+    spark = sales.sparkSession
+    records = written(sales.select("id", "seq", "amount", "event_time"), "records")
+    carried = epochs.before(spark, state, CARRIED, epoch).withColumnsRenamed(
+        {"amount": "carried_amount", "event_time": "carried_time"}
     )
-    return with_time_text(running)
+    own = totals_by_id(records)
+    # Only ids of this micro-batch are carried on; the others stay in the table as they are.
+    carried = written(carried.join(own.select("id"), "id", "left_semi"), "carried")
+
+    def carry(rows: DataFrame, *keep: str) -> DataFrame:
+        joined = rows.join(carried, "id", "left")
+        return joined.select(
+            "id",
+            *keep,
+            (F.col("amount") + F.coalesce("carried_amount", F.lit(0))).alias("amount"),
+            F.greatest("event_time", "carried_time").alias("event_time"),
+        )
+
+    epochs.write(spark, state, CARRIED, epoch, carry(own))
+    return with_time_text(carry(running_by_id(records, task_rows), "seq"))

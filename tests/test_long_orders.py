@@ -40,7 +40,7 @@ def test_numbers_of_long_orders(spark, skewed, broadcast):
 
 
 def test_running_totals_of_long_orders(spark, skewed, broadcast):
-    running = totals.running_totals(sales(spark, skewed), ROWS)
+    running = totals.running_totals(sales(spark, skewed), ROWS, marked=True)
     assert spark_rows(running) == oracle_rows(skewed, oracle_sql()["order_running_totals"])
 
 
@@ -69,7 +69,7 @@ def test_no_task_gets_a_long_order(spark, skewed):
     assert sum(sizes) == held and max(sizes) < held / 2
 
 
-@pytest.mark.parametrize("name", ["order_totals", "order_running_totals_stream", "products"])
+@pytest.mark.parametrize("name", ["order_totals", "order_running_totals_stream", "sales_stream", "products"])
 def test_queries_on_skewed_tables(spark, skewed, name, monkeypatch):
     monkeypatch.setattr(topics, "WAVE_ROWS", 500)
     assert spark_rows(plans.QUERIES[name](spark, skewed)) == oracle_rows(

@@ -4,7 +4,13 @@ import duckdb
 import pytest
 from check import oracle_rows, spark_rows
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from baleflow.plans.oracle import SQL
+from baleflow.plans.queries import registered as queries
+
+
+def oracle_sql():
+    return SQL
 
 
 @pytest.mark.parametrize("name", sorted(queries()))

@@ -26,6 +26,8 @@ class FakeSpark:
 def test_cluster_must_name_the_folder():
     with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
         session.shared_dir(FakeSpark("yarn"))
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        session.shared_dir(FakeSpark("local-cluster[3,2,1024]"))
 
 
 def test_named_folder_is_used():
