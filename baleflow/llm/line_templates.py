@@ -18,7 +18,7 @@ Words of the lines are counted by Spark by leaf and place, so no leaf is gathere
 Defined results: a null text is empty and has no lines; empty lines are kept and counted as no
 words; lines that repeat within a document count once and are dropped together; rows that repeat
 count as one document, each with its own result; an empty table gives no rows; columns other than
-doc_id and text are passed on by `cleaned` and not read.
+doc_id and text are passed on by `cleaned`, whatever their names, and not read.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from baleflow.llm.common import mixed, one_array, ragged, ready, slices, string_hashes, to_batches
+from baleflow.llm.common import mixed, one_array, ready, slices, string_hashes, to_batches
 from baleflow.session import broadcast_if_small, written
 
 #: Leading words that lead to a leaf, besides the number of words.
@@ -141,10 +141,14 @@ def word_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """The documents with key, twin and a text that is not null."""
+    """key, twin and text of the documents, and all their columns together as `row`.
+
+    key is the doc_id; twin tells rows of one doc_id apart by their text.
+    """
     text = F.coalesce("text", F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    return docs.withColumns({"text": text, "key": key, "twin": F.hash(text)})
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    return docs.select(key.alias("key"), F.hash(text).alias("twin"), text.alias("text"), whole.alias("row"))
 
 
 def templates(rows: DataFrame, lines: DataFrame) -> DataFrame:
@@ -229,13 +233,11 @@ def without_recurring(text: str, hashes: np.ndarray, sizes: np.ndarray, found: n
     return "\n".join(kept), int(drop.sum())
 
 
-def cleaned(docs: DataFrame) -> DataFrame:
-    """The documents with their columns, the text without recurring lines, and n_lines, n_dropped."""
+def parsed_rows(docs: DataFrame) -> DataFrame:
+    """row (all columns of a document), its text without recurring lines, n_lines and n_dropped."""
     ready(docs.sparkSession)
-    others = [name for name in docs.columns if name not in ("text", "n_lines", "n_dropped")]
     rows = identified(docs)
-    found = recurring(rows)
-    joined = rows.join(found, ["key", "twin"], "left").select(*others, "text", "recurring")
+    joined = rows.join(recurring(rows), ["key", "twin"], "left").select("row", "text", "recurring")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -250,19 +252,33 @@ def cleaned(docs: DataFrame) -> DataFrame:
                 out[place], dropped[place] = without_recurring(
                     out[place], hashes[own], sizes[own], lines
                 )
-            columns = {name: part.column(name) for name in others}
-            columns |= {"text": pa.array(out, pa.string()), "n_lines": counts, "n_dropped": dropped}
+            columns = {
+                "row": part.column("row"),
+                "text": pa.array(out, pa.string()),
+                "n_lines": counts,
+                "n_dropped": dropped,
+            }
             yield from pa.table(columns).to_batches(max_chunksize=256)
 
-    schema = ", ".join(
-        [f"`{name}` {kind}" for name, kind in docs.select(others).dtypes]
-        + ["text string, n_lines long, n_dropped long"]
-    )
+    fields = ", ".join(f"`{name}`: {kind}" for name, kind in docs.dtypes)
+    schema = f"row struct<{fields}>, text string, n_lines long, n_dropped long"
     return joined.mapInArrow(run, schema)
 
 
-def digest(rows: DataFrame) -> DataFrame:
-    """doc_id, n_lines, n_dropped and the sha256 of the text that is left."""
+def cleaned(docs: DataFrame) -> DataFrame:
+    """The documents with their columns, of which `text` is without recurring lines.
+
+    A null text stays null.
+    """
+    kept = F.when(F.col("row.text").isNotNull(), F.col("text"))
+    columns = [
+        (kept if name == "text" else F.col(f"row.`{name}`")).alias(name) for name in docs.columns
+    ]
+    return parsed_rows(docs).select(columns)
+
+
+def digest(docs: DataFrame) -> DataFrame:
+    """doc_id, n_lines, n_dropped and the sha256 of the text that is left, for each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,5 +292,6 @@ def digest(rows: DataFrame) -> DataFrame:
                 }
             )
 
-    chosen = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped", "text")
+    doc_id = F.col("row.doc_id").cast("long").alias("doc_id")
+    chosen = parsed_rows(docs).select(doc_id, "n_lines", "n_dropped", "text")
     return chosen.mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")

@@ -167,6 +167,7 @@ def lists(posted: DataFrame) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """node and sorted shingles of the wanted nodes, read from one document each."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             groups = sets(one_array(part, "text"), width)

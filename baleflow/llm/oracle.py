@@ -6,9 +6,9 @@ TOP_K = """
 WITH whole AS (
     SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
     WHERE embedding IS NOT NULL
-      AND len(list_filter(embedding, c -> c IS NULL OR isnan(c) OR isinf(c))) = 0
+      AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
 ), vectors AS (
-    SELECT vec_id, list_transform(x, c -> floor(256 * c)) AS v FROM whole
+    SELECT vec_id, list_transform(x, lambda c: floor(256 * c)) AS v FROM whole
 ), pairs AS (
     SELECT q.vec_id AS query_id, p.vec_id,
            CAST(list_inner_product(q.v, p.v) AS BIGINT) AS score

@@ -62,7 +62,7 @@ def cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_templates.digest(line_templates.cleaned(documents(spark, sf_dir)))
+    return line_templates.digest(documents(spark, sf_dir))
 
 
 def token_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

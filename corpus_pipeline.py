@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines of templates that recur across documents."""
     ready(spark)
-    cleaned = line_templates.cleaned(docs).select(docs.columns)
+    cleaned = line_templates.cleaned(docs)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         cleaned = cleaned.withColumn("n_chars", length)

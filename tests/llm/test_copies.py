@@ -1,0 +1,192 @@
+"""Near duplicates, repeated bytes, recurring lines and contamination, against brute force."""
+
+import collections
+
+import numpy as np
+import pytest
+from brute import SMALL, components, contamination, documents, table, without_repeats
+from pyspark.sql import functions as F
+
+from baleflow.llm import decontaminate, line_templates, lpf_dedup, near_dup
+
+SIMILAR = [near_dup.Similarity(3, 85), near_dup.Similarity(5, 80)]
+
+
+def edited(text, rng, share):
+    words = text.split(" ")
+    return " ".join(f"w{rng.integers(99)}" if rng.random() < share else word for word in words)
+
+
+@pytest.mark.parametrize("similarity", SIMILAR)
+def test_components(edge_docs, edges, similarity):
+    rows = near_dup.near_duplicates(edge_docs, similarity).collect()
+    with_id = [row for row in rows if row.doc_id is not None]
+    want = sorted(components(edges, similarity.width, similarity.percent))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in with_id) == want
+    assert all(row.kept == (row.doc_id == row.component_id) for row in with_id)
+    rest = [row for row in rows if row.doc_id is None]
+    assert len(rest) == 2 and all(row.kept and row.component_id is None for row in rest)
+
+
+def test_a_large_group_of_near_copies(spark, monkeypatch):
+    """Chains and groups whose members are linked with some of the others only, in many blocks."""
+    monkeypatch.setattr(near_dup, "BLOCK_NODES", 8)
+    rng = np.random.default_rng(1)
+    base = " ".join(f"v{n}" for n in range(120))
+    texts = [edited(base, rng, share) for share in [0.005, 0.01, 0.02, 0.03] * 20]
+    chain = [base]
+    for _ in range(30):
+        chain.append(edited(chain[-1], rng, 0.02))
+    rows = list(enumerate([*texts, *chain, *chain[:4]]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dup.near_duplicates(docs, SIMILAR[0]).collect()
+    want = sorted(components(rows, 3, 85))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == want
+
+
+def test_matches_follow_from_the_chance_of_a_miss():
+    assert near_dup.Similarity(5, 100).matches == near_dup.COORDINATES
+    assert 8 < near_dup.Similarity(5, 80).matches < near_dup.Similarity(5, 85).matches
+
+
+def test_one_of_each(edge_docs, edges):
+    left = near_dup.one_of_each(edge_docs, SIMILAR[1])
+    assert left.columns == edge_docs.columns
+    got = sorted(row.doc_id for row in left.collect() if row.doc_id is not None)
+    assert got == sorted({low for _, _, low in components(edges, 5, 80)})
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+@pytest.mark.parametrize("mark_contexts", [8192, 2])
+def test_repeated_bytes(edge_docs, edges, keep_first, mark_contexts):
+    rows = lpf_dedup.digest(lpf_dedup.removed(edge_docs, 200, keep_first, mark_contexts)).collect()
+    got = sorted(tuple(row) for row in rows if row.doc_id is not None)
+    # Rows of one doc_id stand in the order of their texts' numbers; the only two are equal.
+    texts = [(text or "").encode() for _, text in edges]
+    want = without_repeats(texts, 200, keep_first)
+    if keep_first:
+        # Which of two equal rows is the first is open: both have one result.
+        got = [row for row in got if row[0] != 600]
+        edges_left = [k for k, (doc_id, _) in enumerate(edges) if doc_id != 600]
+        assert got == sorted((edges[k][0], *want[k]) for k in edges_left)
+    else:
+        assert got == sorted((doc_id, *one) for (doc_id, _), one in zip(edges, want))
+
+
+def test_long_texts_are_marked_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(lpf_dedup, "PORTION", 700)
+    rng = np.random.default_rng(2)
+    text = "".join(rng.choice(list("abcd "), 4000))
+    rows = [(1, text), (2, text[500:1800] + "x" + text[2500:3900])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, lpf_dedup.digest(lpf_dedup.removed(docs, 200, False)).collect()))
+    want = without_repeats([text.encode() for _, text in rows], 200, False)
+    assert got == [(doc_id, *one) for (doc_id, _), one in zip(rows, want)]
+
+
+def test_longest_previous_factors():
+    text = b"abracadabra abracadabra banana"
+    n = len(text)
+    order = np.array(sorted(range(n), key=lambda i: text[i:]))
+    common = lambda a, b: next((k for k in range(n) if text[a + k : a + k + 1] != text[b + k : b + k + 1] or a + k >= n or b + k >= n), n)  # noqa: E731, E501
+    prefix = np.array([0] + [common(order[k - 1], order[k]) for k in range(1, n)])
+    got = lpf_dedup.longest_previous_factors(order, prefix)
+    for place, position in enumerate(order):
+        assert got[place] == max([common(position, earlier) for earlier in range(position)], default=0)
+
+
+def test_contamination(spark, edge_docs, edges):
+    items = table(SMALL, "benchmark", "item_id, text")[:12] + [(900, "one two"), (901, None), (902, "One")]
+    planted = [
+        (700, "before " + items[2][1].upper() + " after"),
+        (701, " ".join(items[3][1].split()[1:]) + " more words here"),
+        (702, "one two"),
+    ]
+    docs = edge_docs.select("doc_id", "text", "n").union(
+        spark.createDataFrame([(*row, 1) for row in planted], "doc_id long, text string, n int")
+    )
+    benchmark = spark.createDataFrame([(*item, 1) for item in items], "item_id long, text string, key int")
+    rows = decontaminate.matches(docs, benchmark).collect()
+    got = {(r.doc_id, r.item_id): (r.n_common, -r.start_word, r.n_shingles) for r in rows}
+    want = contamination([*edges, (None, "no id"), *planted], items)
+    assert got == want and (700, items[2][0]) in got and (702, 900) in got
+    left = decontaminate.clean(docs, benchmark)
+    assert left.columns == docs.columns
+    hit = {doc_id for doc_id, _ in want}
+    assert left.where("doc_id IS NOT NULL").count() == sum(d not in hit for d, _ in [*edges, *planted])
+
+
+def test_no_python_in_decontamination(spark):
+    docs = spark.createDataFrame(documents(), "doc_id long, text string")
+    benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    plan = decontaminate.matches(docs, benchmark)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+LICENSE = "Licensed under the terms of version {} of the common license."
+PASSAGE = " ".join(f"passage{n}x" for n in range(60)).replace("0", "o").replace("1", "l")
+
+
+def body(rng, lines):
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "theta"]
+    return [" ".join(rng.choice(words, 12)) for _ in range(lines)]
+
+
+def line_rows():
+    rng = np.random.default_rng(5)
+    rows = []
+    for number in range(8):  # one template with a variable field, in different documents
+        rows.append((number, "\n".join([LICENSE.format(number), *body(rng, 6)])))
+    copied = "\n".join(body(rng, 6))
+    rows += [(20 + k, copied) for k in range(6)]  # copies share all lines
+    rows += [(40 + k, "\n".join([*body(rng, 12), PASSAGE + ".", *body(rng, 3)])) for k in range(4)]
+    rows += [(60, LICENSE.format(3)), (61, None), (62, ""), (63, "\n\n"), (64, "alone")]
+    return rows
+
+
+def test_recurring_lines_go(spark):
+    rows = line_rows()
+    docs = spark.createDataFrame([(*row, 1, 2) for row in rows], "doc_id long, text string, key int, n int")
+    cleaned = line_templates.cleaned(docs)
+    assert cleaned.columns == docs.columns
+    got = {row.doc_id: row.text for row in cleaned.collect()}
+    for doc_id, text in rows:
+        if doc_id < 8:
+            assert got[doc_id] == text.split("\n", 1)[1]
+        elif 40 <= doc_id < 44:
+            assert got[doc_id] == text.replace(PASSAGE + ".\n", "")
+        else:
+            assert got[doc_id] == text
+    digest = {row.doc_id: row for row in line_templates.digest(docs).collect()}
+    assert digest[0].n_dropped == 1 and digest[0].n_lines == 7 and digest[20].n_dropped == 0
+
+
+def test_lines_of_a_leaf_are_generalised(spark):
+    """Lines that differ in a place, with no digit in it, are one template."""
+    rng = np.random.default_rng(6)
+    names = ["anna", "bert", "carl", "dora", "emil", "fred"]
+    rows = [
+        (k, "\n".join([*body(rng, 5), f"this page was last edited by {name} in the office"]))
+        for k, name in enumerate(names)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {row.n_dropped for row in line_templates.digest(docs).collect()} == {1}
+
+
+def test_line_edges(edge_docs, no_docs, edges):
+    rows = line_templates.cleaned(edge_docs).collect()
+    assert len(rows) == len(edges) + 2
+    kept = collections.Counter((row.doc_id, row.text is None) for row in rows)
+    assert kept[(500, True)] == 1 and kept[(None, True)] == 1
+    assert line_templates.cleaned(no_docs).count() == 0
+
+
+def test_nothing(spark, no_docs):
+    benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    nothing = benchmark.where("false")
+    assert near_dup.near_duplicates(no_docs, SIMILAR[0]).count() == 0
+    assert lpf_dedup.digest(lpf_dedup.removed(no_docs)).count() == 0
+    assert decontaminate.matches(no_docs, benchmark).count() == 0
+    docs = spark.createDataFrame(documents()[:9], "doc_id long, text string")
+    assert decontaminate.matches(docs, nothing).count() == 0
+    assert decontaminate.clean(docs, nothing).where(F.col("doc_id") >= 0).count() == 9
