@@ -12,7 +12,7 @@ from baleflow.plans import workflow
 from baleflow.schemas import ORDER_COLUMNS, ORDERS
 from baleflow.session import new_dir, tune
 from baleflow.sources.csv_files import read_csv, write_csv
-from baleflow.sources.staging import ARRIVAL, numbered_lines, order_lines
+from baleflow.sources.staging import ARRIVAL, long_orders, numbered_lines, order_lines
 from baleflow.sources.tables import load_csv
 from baleflow.sources.topics import (
     NUMBERED_VALUES,
@@ -128,6 +128,8 @@ def order_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    if long_orders(spark, sf_dir) is None:
+        return totals.numbered_running_totals(_orders(spark, sf_dir), ARRIVAL)
     return totals.running_totals(_numbered_sales(spark, sf_dir), marked=True)
 
 

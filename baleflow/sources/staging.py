@@ -71,6 +71,11 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(_lines(spark, sf_dir), _headers(spark, sf_dir), *ARRIVAL)
 
 
+def long_orders(spark: SparkSession, sf_dir: str, task_rows: int = TASK_ROWS) -> DataFrame | None:
+    """The orders of more than `task_rows` lines, None if there are none."""
+    return long_keys(_lines(spark, sf_dir), KEY, task_rows)
+
+
 def numbered_lines(spark: SparkSession, sf_dir: str, task_rows: int = TASK_ROWS) -> DataFrame:
     """Raw orders with `seq`; `long` marks lines of orders of more than `task_rows` lines, if any.
 
