@@ -55,38 +55,54 @@ def length() -> Column:
     return F.sqrt(square)
 
 
-def packed(rows: DataFrame, block_rows: int, name: str) -> DataFrame:
-    """The rows of every partition in blocks: numbers and vectors as binary arrays."""
+def block_of(held: list[tuple[int, list[int]]], **columns: int) -> pa.RecordBatch:
+    """Vectors as one row of binary arrays, shorter ones filled up with zeros."""
+    dims = max((len(vector) for _, vector in held), default=0)
+    vectors = np.zeros((len(held), dims), np.int64)
+    for place, (_, vector) in enumerate(held):
+        vectors[place, : len(vector)] = vector
+    ids = np.array([number for number, _ in held], np.int64)
+    row = {
+        "rows": pa.array([len(held)], pa.int32()),
+        "dims": pa.array([dims], pa.int32()),
+        "ids": pa.array([ids.tobytes()], pa.binary()),
+        "vectors": pa.array([vectors.tobytes()], pa.binary()),
+    }
+    return pa.RecordBatch.from_pydict(
+        row | {name: pa.array([value], pa.int64()) for name, value in columns.items()}
+    )
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, list[int]]] = []
 
-        def block() -> pa.RecordBatch:
-            dims = max((len(vector) for _, vector in held), default=0)
-            vectors = np.zeros((len(held), dims), np.int64)
-            for place, (_, vector) in enumerate(held):
-                vectors[place, : len(vector)] = vector
-            ids = np.array([number for number, _ in held], np.int64)
-            return pa.RecordBatch.from_pydict(
-                {
-                    "rows": pa.array([len(held)], pa.int32()),
-                    "dims": pa.array([dims], pa.int32()),
-                    "ids": pa.array([ids.tobytes()], pa.binary()),
-                    "vectors": pa.array([vectors.tobytes()], pa.binary()),
-                }
-            )
+def buckets_of(rows: DataFrame, bucket_rows: int) -> DataFrame:
+    """The rows of every partition, one after another, in buckets."""
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, list[int]]] = []
         for batch in batches:
             for number, vector in zip(batch["vec_id"].to_pylist(), batch["vector"].to_pylist()):
                 held.append((number, vector))
-                if len(held) == block_rows:
-                    yield block()
+                if len(held) == bucket_rows:
+                    yield block_of(held)
                     held = []
         if held:
-            yield block()
+            yield block_of(held)
 
     blocks = rows.select("vec_id", "vector").mapInArrow(pack, BLOCK)
-    return written(blocks.withColumn("block", F.monotonically_increasing_id()), name)
+    return written(blocks.withColumn("block", F.monotonically_increasing_id()), "buckets")
+
+
+def query_blocks(asked: DataFrame, blocks: int) -> DataFrame:
+    """The queries dealt into so many blocks, numbered from 0, of about the same size."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                held = [(one["vec_id"], one["vector"]) for one in row["held"]]
+                yield block_of(held, block=row["block"])
+
+    dealt = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    grouped = dealt.groupBy("block").agg(F.collect_list(F.struct("vec_id", "vector")).alias("held"))
+    return written(grouped.mapInArrow(pack, f"{BLOCK}, block long"), "queries")
 
 
 def matrix(row: dict, prefix: str) -> tuple[np.ndarray, np.ndarray]:
@@ -217,15 +233,15 @@ def top_k(
     vectors = integer_vectors(table, column, scale)
     measured = vectors.withColumn("length", length())
     count = measured.count()
-    buckets = packed(
+    buckets = buckets_of(
         measured.repartitionByRange(
             max(1, -(-count // bucket_rows)), F.desc("length"), F.col("vec_id")
         ).sortWithinPartitions(F.desc("length"), "vec_id"),
         bucket_rows,
-        "buckets",
     )
     asked = vectors.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    queries = packed(asked, query_rows, "queries")
+    blocks = max(1, -(-asked.count() // query_rows))
+    queries = query_blocks(asked, blocks)
 
     # The longest bucket comes first in the order of blocks.
     first = buckets.agg(F.min("block")).first()[0]
@@ -233,11 +249,10 @@ def top_k(
 
     def pairs(some: DataFrame, known: DataFrame) -> DataFrame:
         """Every block of queries with every bucket: the stated queries against all rows."""
-        numbers = queries.agg(F.collect_list("block").alias("asked"))
-        spread = named(some, "p").join(F.broadcast(numbers)).select(
-            "*", F.explode("asked").alias("q_block")
+        spread = named(some, "p").withColumn(
+            "q_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
         )
-        return spread.drop("asked").join(named(queries, "q"), "q_block").join(known, "q_block", "left")
+        return spread.join(named(queries, "q"), "q_block").join(known, "q_block", "left")
 
     nothing = queries.select(F.col("block").alias("q_block")).select(
         "q_block", none.alias("known_ids"), none.alias("known_scores")
