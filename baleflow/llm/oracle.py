@@ -71,7 +71,110 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_tokens,
 FROM docs LEFT JOIN summed USING (r)
 """
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, s FROM (
+        SELECT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 1, 2)),
+                       lambda i: array_to_string(ws[i:i + 2], ' '))) AS s
+        FROM words WHERE len(ws) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * common.n >= 85 * (p.n + q.n - common.n)
+), reach AS (
+    SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), lowest AS (
+    SELECT x AS doc_id, min(y) AS low FROM reach GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+       doc_id <= coalesce(low, doc_id) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
+"""
+
+CONTAMINATION = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN]+') AS ws FROM documents
+), item_words AS (
+    SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN]+') AS ws FROM benchmark
+), bags AS (
+    SELECT item_id, g, g_size AS m, s, count(*) AS c FROM (
+        SELECT item_id, least(5, len(ws)) AS g, len(ws) - least(5, len(ws)) + 1 AS g_size,
+               unnest(list_transform(range(1, len(ws) - least(5, len(ws)) + 2),
+                      lambda i: array_to_string(ws[i:i + least(5, len(ws)) - 1], ' '))) AS s
+        FROM item_words WHERE len(ws) > 0) GROUP BY ALL
+), widths AS (SELECT DISTINCT g FROM bags),
+runs AS (
+    SELECT doc_id, g, len(ws) - g + 1 AS total, unnest(range(0, len(ws) - g + 1)) AS place,
+           unnest(list_transform(range(1, len(ws) - g + 2),
+                  lambda i: array_to_string(ws[i:i + g - 1], ' '))) AS s
+    FROM words, widths WHERE len(ws) >= g
+), hits AS (
+    SELECT doc_id, item_id, m, total, place, s, c FROM runs JOIN bags USING (g, s)
+), starts AS (
+    SELECT DISTINCT doc_id, item_id, m, unnest(range(greatest(place - m + 1, 0),
+                                                    least(place, total - m) + 1)) AS start
+    FROM hits
+), counted AS (
+    SELECT doc_id, item_id, m, start, s, least(count(*), min(c)) AS n
+    FROM starts JOIN hits USING (doc_id, item_id, m)
+    WHERE place BETWEEN start AND start + m - 1 GROUP BY ALL
+), windows AS (
+    SELECT doc_id, item_id, m, start, sum(n) AS common FROM counted GROUP BY ALL
+    HAVING 180 * sum(n) >= 160 * m
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY common DESC, start) AS r
+    FROM windows
+)
+SELECT doc_id, item_id, CAST(common AS INTEGER) AS n_common, CAST(m AS INTEGER) AS n_shingles,
+       CAST(start AS INTEGER) AS start_word
+FROM ranked WHERE r = 1
+"""
+
+REPEATED_BYTES = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h,
+           octet_length(encode(coalesce(text, ''))) AS n
+    FROM documents
+), windows AS (
+    SELECT r, place, md5(substr(h, 2 * place + 1, 400)) AS k
+    FROM (SELECT r, h, unnest(range(0, n - 199)) AS place FROM texts)
+), repeated AS (
+    SELECT r, place FROM windows
+    WHERE k IN (SELECT k FROM windows GROUP BY k HAVING count(*) > 1)
+), breaks AS (
+    SELECT r, place, coalesce(place - lag(place) OVER w > 200, true) AS new
+    FROM repeated WINDOW w AS (PARTITION BY r ORDER BY place)
+), numbered AS (
+    SELECT r, place, sum(new::INT) OVER (PARTITION BY r ORDER BY place) AS span FROM breaks
+), spans AS (
+    SELECT r, span, min(place) AS a, max(place) + 200 AS b FROM numbered GROUP BY ALL
+), pieces AS (
+    SELECT r, b AS a, lead(a, 1, NULL) OVER (PARTITION BY r ORDER BY a) AS b FROM spans
+    UNION ALL SELECT r, 0, min(a) FROM spans GROUP BY r
+), kept AS (
+    SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS h
+    FROM pieces JOIN texts USING (r) GROUP BY r
+), totals AS (
+    SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, texts.h))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r) LEFT JOIN totals USING (r)
+"""
+
 SQL: dict[str, str] = {
+    "op3_lpf_removal": REPEATED_BYTES,
+    "op4_simhash_decontamination": CONTAMINATION,
     "op6_norm_bucketed_top_k": TOP_K,
     "op7_cross_entropy_difference": LM_SCORE,
+    "op9_coordinate_join": NEAR_DUPLICATES,
 }
