@@ -28,7 +28,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -269,24 +268,22 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def pairs_of_blocks(group: pd.DataFrame, similarity: Similarity) -> pd.DataFrame:
-    """Links between components among the nodes of one pair of blocks of one list."""
-    token = int(group["token"].iloc[0])
-    first, second = int(group["i"].iloc[0]), int(group["j"].iloc[0])
-    group = group.sort_values("node", ignore_index=True)
-    signature = np.frombuffer(b"".join(group["signature"]), np.uint64).reshape(-1, COORDINATES)
-    labels = np.unique(group["label"].to_numpy(), return_inverse=True)[1]
-    block = group["block"].to_numpy()
-    shingles = [np.frombuffer(one, np.uint64) for one in group["shingles"]]
+def links_of_group(rows: pa.Table, similarity: Similarity) -> list[tuple[bytes, bytes]]:
+    """Links between components among the nodes of one pair of blocks of one list, by node."""
+    names = rows["label"].to_pylist()
+    numbers = {name: number for number, name in enumerate(dict.fromkeys(names))}
+    if len(numbers) == 1:
+        return []
+    token, first, second = (rows[name][0].as_py() for name in ("token", "i", "j"))
+    labels = np.array([numbers[name] for name in names])
+    block = rows["block"].to_numpy()
+    nodes = rows["node"].to_pylist()
+    signature = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint64)
+    signature = signature.reshape(-1, COORDINATES)
+    shingles = rows["shingles"]
     # Of the lists two nodes share, only that of the smallest token compares them.
-    smaller = np.zeros((len(group), max(map(len, group["tokens"]))), np.int64)
-    filled = np.zeros(smaller.shape, bool)
-    for place, tokens in enumerate(group["tokens"]):
-        own = np.array(tokens, np.int64)
-        own = own[own < token]
-        smaller[place, : len(own)] = own
-        filled[place, : len(own)] = True
-    parent = list(range(len(np.unique(labels))))
+    earlier = [{one for one in tokens if one < token} for tokens in rows["tokens"].to_pylist()]
+    parent = list(range(len(numbers)))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -294,26 +291,60 @@ def pairs_of_blocks(group: pd.DataFrame, similarity: Similarity) -> pd.DataFrame
             x = parent[x]
         return x
 
+    def own_set(place: int) -> np.ndarray:
+        return np.frombuffer(shingles[place].as_py(), np.uint64)
+
     left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
     found = []
     for x in left.tolist():
         others = right[right > x] if first == second else right
         others = others[labels[others] != labels[x]]
-        others = others[
-            (signature[others] == signature[x]).sum(1) >= similarity.matches
-        ]
-        if not len(others):
-            continue
-        mine = smaller[x][filled[x]]
-        elsewhere = (np.isin(smaller[others], mine) & filled[others]).any(1)
-        for y in others[~elsewhere].tolist():
+        others = others[(signature[others] == signature[x]).sum(1) >= similarity.matches]
+        mine = own_set(x) if len(others) else None
+        for y in others.tolist():
             a, b = root(int(labels[x])), root(int(labels[y]))
-            if a != b and similarity.linked(
-                common_count(shingles[x], shingles[y]), len(shingles[x]), len(shingles[y])
-            ):
+            if a == b or not earlier[x].isdisjoint(earlier[y]):
+                continue
+            other = own_set(y)
+            if similarity.linked(common_count(mine, other), len(mine), len(other)):
                 parent[max(a, b)] = min(a, b)
-                found.append((group["node"].iat[x], group["node"].iat[y]))
-    return pd.DataFrame(found, columns=["node", "other"])
+                found.append((nodes[x], nodes[y]))
+    return found
+
+
+def links_of_groups(
+    batches: Iterator[pa.RecordBatch], similarity: Similarity
+) -> Iterator[pa.RecordBatch]:
+    """The links of all groups of a partition, whose rows come group by group."""
+    held: list[pa.RecordBatch] = []
+
+    def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        found = links_of_group(pa.Table.from_batches(parts).combine_chunks(), similarity)
+        return pa.RecordBatch.from_pydict(
+            {
+                "node": pa.array([one for one, _ in found], pa.binary()),
+                "other": pa.array([two for _, two in found], pa.binary()),
+            }
+        )
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.column_stack([batch[name].to_numpy() for name in ("token", "i", "j")])
+        if held:
+            last = [held[-1][name][-1].as_py() for name in ("token", "i", "j")]
+            if (keys[0] != last).any():
+                yield links(held)
+                held = []
+        starts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+        borders = [0, *starts.tolist(), batch.num_rows]
+        for begin, end in zip(borders, borders[1:]):
+            if begin and held:
+                yield links(held)
+                held = []
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield links(held)
 
 
 def between_components(
@@ -357,8 +388,10 @@ def between_components(
     complete = sides.join(posted.select("node", "tokens"), "node").join(
         full.select("node", "signature", "shingles"), "node"
     )
-    return complete.groupBy("token", "i", "j").applyInPandas(
-        lambda group: pairs_of_blocks(group, similarity), "node binary, other binary"
+    # Group by group, one after another: most lists are of a few nodes.
+    grouped = complete.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "node")
+    return grouped.mapInArrow(
+        lambda batches: links_of_groups(batches, similarity), "node binary, other binary"
     )
 
 
