@@ -40,7 +40,7 @@ BASE_BYTES, TOXIC_BYTES = 8192, 3072
 BEGINNING = 6
 SHARE, AT_LEAST, LIFT = 0.01, 3, 20
 #: Texts are cut into windows in portions of so many bytes.
-PORTION = 1_500_000
+PORTION = 500_000
 #: A score from which on a document counts as toxic.
 THRESHOLD = 0.7
 #: Distances that are counted apart.
@@ -199,13 +199,49 @@ def unlike(texts: list[str]) -> list[str]:
 
 def shares(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Beginnings of words, and the number of texts that have each."""
-    data, begins = text_bytes(pa.array(texts, pa.string()))
-    number, text = beginnings(data, begins)
-    # One row for each beginning and text.
-    order = np.lexsort((text, number))
-    number, text = number[order], text[order]
-    new = np.r_[True, (np.diff(number) != 0) | (np.diff(text) != 0)] if len(number) else number > 0
-    return np.unique(number[new], return_counts=True)
+    found, held = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for portion in portions(pa.array(texts, pa.string())):
+        number, text = beginnings(*text_bytes(portion))
+        # One row for each beginning and text.
+        order = np.lexsort((text, number))
+        number, text = number[order], text[order]
+        new = np.ones(len(number), bool)
+        new[1:] = (number[1:] != number[:-1]) | (text[1:] != text[:-1])
+        own, counts = np.unique(number[new], return_counts=True)
+        found.append(own)
+        held.append(counts)
+    numbers, places = np.unique(np.concatenate(found), return_inverse=True)
+    return numbers, np.bincount(places, np.concatenate(held), len(numbers)).astype(np.int64)
+
+
+def telling_words(texts: list[str], telling: np.ndarray, most: int) -> list[bytes]:
+    """Words, with the blanks around them, whose beginning is a telling one; the first ones."""
+    out: list[bytes] = []
+    for portion in portions(pa.array(texts, pa.string())):
+        data, begins = text_bytes(portion)
+        number, _ = beginnings(data, begins)
+        starts = word_starts(data, begins)[0][: len(number)]
+        blanks = np.flatnonzero(data == 32)
+        held = data.tobytes()
+        for start in starts[np.isin(number, telling)].tolist():
+            end = int(blanks[np.searchsorted(blanks, start)]) + 1
+            out.append(held[start - 1 : min(end, start + 31)])
+        if len(out) >= most:
+            break
+    return out[:most]
+
+
+def plain_windows(texts: list[str], most: int) -> list[bytes]:
+    """Distinct windows of eight words; the first ones."""
+    out: dict[bytes, None] = {}
+    for portion in portions(pa.array(texts, pa.string())):
+        data, begins = text_bytes(portion)
+        starts, lengths, _ = windows(data, begins, 8)
+        held = data.tobytes()
+        out.update(dict.fromkeys(held[a : a + n] for a, n in zip(starts.tolist(), lengths.tolist())))
+        if len(out) >= most:
+            break
+    return list(out)[:most]
 
 
 def trained(samples: list[bytes], size: int, **options) -> bytes:
@@ -227,23 +263,10 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     telling = numbers[
         (counts >= max(AT_LEAST, SHARE * len(toxic))) & (lift >= LIFT)
     ]
-    data, begins = text_bytes(pa.array(toxic, pa.string()))
-    starts, _ = word_starts(data, begins)
-    number, _ = beginnings(data, begins)
-    starts = starts[: len(number)]
-    blanks = np.flatnonzero(data == 32)
-    ends = blanks[np.searchsorted(blanks, starts)] + 1
-    held = data.tobytes()
-    hits = np.flatnonzero(np.isin(number, telling))
-    words = [held[starts[i] - 1 : min(ends[i], starts[i] + 31)] for i in hits.tolist()]
-    # The most frequent ones are enough for a dictionary, and the trainer asks for longer samples.
-    words = words[:8000]
+    # So many samples are enough for a dictionary; the trainer asks for longer ones than a word.
+    words = telling_words(toxic, telling, 8000)
     pairs = [a + b for a, b in zip(words[::2], words[1::2])]
-    data, begins = text_bytes(pa.array(ordinary, pa.string()))
-    ws, wl, _ = windows(data, begins, 8)
-    held = data.tobytes()
-    plain = list(dict.fromkeys(held[a : a + n] for a, n in zip(ws.tolist(), wl.tolist())))[:20000]
-    base = trained(plain, BASE_BYTES, k=32, d=6)
+    base = trained(plain_windows(ordinary, 20_000), BASE_BYTES, k=32, d=6)
     added = trained(pairs, TOXIC_BYTES, k=16, d=6) if pairs else b""
     return base, added
 
