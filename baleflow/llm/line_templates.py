@@ -141,14 +141,17 @@ def word_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """key, twin and text of the documents, and all their columns together as `row`.
+    """key, twin and text of the documents, whether it was null, and their other columns as `row`.
 
     key is the doc_id; twin tells rows of one doc_id apart by their text.
     """
     text = F.coalesce("text", F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    return docs.select(key.alias("key"), F.hash(text).alias("twin"), text.alias("text"), whole.alias("row"))
+    others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"])
+    return docs.select(
+        key.alias("key"), F.hash(text).alias("twin"), text.alias("text"),
+        F.col("text").isNull().alias("missing"), others.alias("row"),
+    )
 
 
 def templates(rows: DataFrame, lines: DataFrame) -> DataFrame:
@@ -179,10 +182,11 @@ def templates(rows: DataFrame, lines: DataFrame) -> DataFrame:
         .where(2 * F.col("n") > F.col("total"))
         .select("leaf", "place", "word")
     )
+    kept = written(kept, "kept-words")
     agreeing = placed.join(kept, ["leaf", "place", "word"]).groupBy("leaf", "line").agg(
         F.count("*").alias("common")
     )
-    fixed = kept.groupBy("leaf").agg(F.count("*").alias("fixed"))
+    fixed = written(kept.groupBy("leaf").agg(F.count("*").alias("fixed")), "fixed-places")
     sizes = words.select("leaf", "line", F.size("words").alias("size"))
     # Template hashes must not meet those of lines; a leaf's own number serves.
     return (
@@ -202,8 +206,10 @@ def recurring(rows: DataFrame) -> DataFrame:
         F.max(F.struct("key", "twin")).alias("high"),
     )
     busy = busy.where((F.col("n") >= MIN_DOCS) & (F.col("low") != F.col("high"))).select("leaf")
+    # Written, so that the lines of a frequent leaf are split over tasks when they are joined.
+    busy = written(busy, "busy-leaves")
     lines = written(lines.join(busy, "leaf"), "busy-lines")
-    general = templates(rows, lines)
+    general = written(templates(rows, lines), "general-templates")
     named = lines.join(general, ["leaf", "line"], "left").withColumn(
         "template", F.coalesce("template", "line")
     )
@@ -219,6 +225,7 @@ def recurring(rows: DataFrame) -> DataFrame:
     )
     enough = (F.col("docs") >= MIN_DOCS) & (F.col("homes") >= MIN_DOCS)
     often = spread.where(enough & (F.col("homes") >= SURROUNDINGS * F.col("docs"))).select("template")
+    often = written(often, "recurring-templates")
     return named.join(often, "template").groupBy("key", "twin").agg(
         F.collect_set("line").alias("recurring")
     )
@@ -234,10 +241,11 @@ def without_recurring(text: str, hashes: np.ndarray, sizes: np.ndarray, found: n
 
 
 def parsed_rows(docs: DataFrame) -> DataFrame:
-    """row (all columns of a document), its text without recurring lines, n_lines and n_dropped."""
+    """row and missing (see `identified`), the text without recurring lines, n_lines and n_dropped."""
     ready(docs.sparkSession)
     rows = identified(docs)
-    joined = rows.join(recurring(rows), ["key", "twin"], "left").select("row", "text", "recurring")
+    found = recurring(rows)
+    joined = rows.join(found, ["key", "twin"], "left").select("row", "missing", "text", "recurring")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -254,14 +262,15 @@ def parsed_rows(docs: DataFrame) -> DataFrame:
                 )
             columns = {
                 "row": part.column("row"),
+                "missing": part.column("missing"),
                 "text": pa.array(out, pa.string()),
                 "n_lines": counts,
                 "n_dropped": dropped,
             }
             yield from pa.table(columns).to_batches(max_chunksize=256)
 
-    fields = ", ".join(f"`{name}`: {kind}" for name, kind in docs.dtypes)
-    schema = f"row struct<{fields}>, text string, n_lines long, n_dropped long"
+    fields = ", ".join(f"`{name}`: {kind}" for name, kind in docs.dtypes if name != "text")
+    schema = f"row struct<{fields}>, missing boolean, text string, n_lines long, n_dropped long"
     return joined.mapInArrow(run, schema)
 
 
@@ -270,7 +279,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
     A null text stays null.
     """
-    kept = F.when(F.col("row.text").isNotNull(), F.col("text"))
+    kept = F.when(~F.col("missing"), F.col("text"))
     columns = [
         (kept if name == "text" else F.col(f"row.`{name}`")).alias(name) for name in docs.columns
     ]
