@@ -429,6 +429,9 @@ def spans_to_remove(
     """key, twin, first byte and end of bytes that a copied window covers; spans may overlap."""
     marks = texts.select("text").mapInArrow(lambda batches: marked(batches, length), "mark long, n long")
     repeated = marks.groupBy("mark").agg(F.sum("n").alias("n")).where("n > 1").select("mark")
+    # Written, as are other sums that are joined with what they sum: the rows of a frequent mark are
+    # then split over tasks, which they are not where the sum shares their exchange.
+    repeated = written(repeated, "marks")
     runs = texts.select("key", "twin", "text").mapInArrow(
         lambda batches: all_runs(batches, length), RUNS
     )
@@ -456,6 +459,7 @@ def spans_to_remove(
     open_marks = by_mark.where(
         (F.col("contexts") > 1) & (F.lit(keep_first) | (F.col("least") == 1))
     ).select("mark", "contexts")
+    open_marks = written(open_marks, "open-marks")
     n = F.lit(1).cast("long") if keep_first else F.col("n")
     chosen = contexts.join(open_marks, "mark").select(
         "mark", "one.key", "one.twin", "one.start", "one.windows", n.alias("n"), "contexts"
@@ -473,7 +477,8 @@ def spans_to_remove(
         "mark long, hash long, key long, twin int, at long, single boolean",
     )
     at = F.struct("key", "twin", "at")
-    equal = windows.groupBy("mark", "hash").agg(F.count("*").alias("n"), F.min(at).alias("one")).where("n > 1")
+    equal = windows.groupBy("mark", "hash").agg(F.count("*").alias("n"), F.min(at).alias("one"))
+    equal = written(equal.where("n > 1").select("mark", "hash", "one"), "equal-windows")
     counted = windows.join(equal, ["mark", "hash"]).where("single")
     if keep_first:
         counted = counted.where(at != F.col("one"))
