@@ -138,7 +138,8 @@ def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def postings(nodes: DataFrame, matches: int) -> DataFrame:
     """node, posted tokens and popularity of the nodes that may have a partner."""
     tokens = nodes.select("node", "signature").mapInArrow(exploded, "node binary, token long")
-    shared = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    # Written, so that the nodes of a frequent pair are split over tasks when they are joined.
+    shared = written(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     per_node = (
         tokens.join(shared, "token")
         .groupBy("node")
@@ -161,6 +162,7 @@ def lists(posted: DataFrame) -> DataFrame:
         .where("n > 1")
         .select("token", F.col("hub.node").alias("hub"))
     )
+    hubs = written(hubs, "hubs")
     return flat.join(hubs, "token").select("token", "node", "hub")
 
 
@@ -374,6 +376,7 @@ def between_components(
             ).cast("int").alias("blocks"),
         )
     )
+    open_lists = written(open_lists, "open-lists")
     dealt = marked.join(open_lists, "token").withColumn(
         "block", F.pmod(F.xxhash64("node", "token"), F.col("blocks")).cast("int")
     )
