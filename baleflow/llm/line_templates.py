@@ -6,10 +6,9 @@ a place keeps the word that more than half of the lines have there, other places
 line that agrees with at least SIMILAR of all places, variable ones aside, is of that template; other
 lines of the leaf are templates of their own.
 
-A template recurs when it is in MIN_DOCS documents and in MIN_DOCS different surroundings, which must
-be a quarter of the documents at least. The surrounding of a line is the line of smallest hash among
-the others of its document, so copies of a document are one surrounding: what copies share is no
-boilerplate, and removing them is left to document dedup. For the same reason a document most of
+A template recurs when it is in MIN_DOCS documents of different sets of lines. Copies of a document have
+one set and count once, however many they are: what copies share is no boilerplate, and removing them
+is left to document dedup. For the same reason a document most of
 whose words are in recurring lines is taken for a copy and keeps them; from all others the lines of
 recurring templates are dropped.
 
@@ -40,12 +39,10 @@ DEPTH = 3
 #: Share of places that a line must have in common with its leaf's template.
 SIMILAR = 0.7
 MIN_DOCS = 3
-#: Different surroundings of a recurring template, as a share of its documents.
-SURROUNDINGS = 0.25
 #: A document with a larger share of its words in recurring lines is a copy.
 COPY_SHARE = 0.5
 
-PARSED = "key long, twin int, leaf long, line long, home long"
+PARSED = "key long, twin int, leaf long, line long, whole long"
 
 
 def lines_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -88,19 +85,15 @@ def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = np.repeat(np.arange(len(counts)), counts)
         full = sizes > 0
         hashes, leaves, text = hashes[full], leaves[full], text[full]
-        # By text, then by mixed hash: the first line of a text is the home of all others.
-        ranked = mixed(hashes)
-        order = np.lexsort((ranked, text))
+        order = np.lexsort((hashes, text))
         hashes, leaves, text = hashes[order], leaves[order], text[order]
         new = np.ones(len(text), bool)
         new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
         hashes, leaves, text = hashes[new], leaves[new], text[new]
-        first = np.searchsorted(text, text, side="left")
-        alone = np.searchsorted(text, text, side="right") - first == 1
-        own = np.arange(len(text)) == first
-        second = np.minimum(first + 1, max(len(text) - 1, 0))
-        home = np.where(own, hashes[second] if len(text) else hashes, hashes[first] if len(text) else hashes)
-        home = np.where(alone, np.uint64(0), home)
+        # The set of a text's lines, as the sum of their mixed hashes.
+        sums = np.zeros(len(counts), np.uint64)
+        np.add.at(sums, text, mixed(hashes))
+        whole = sums[text]
         places = pa.array(text)
         yield from to_batches(
             {
@@ -108,7 +101,7 @@ def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "twin": one_array(part, "twin").take(places),
                 "leaf": leaves.view(np.int64),
                 "line": hashes.view(np.int64),
-                "home": home.view(np.int64),
+                "whole": whole.view(np.int64),
             }
         )
 
@@ -213,18 +206,10 @@ def recurring(rows: DataFrame) -> DataFrame:
     named = lines.join(general, ["leaf", "line"], "left").withColumn(
         "template", F.coalesce("template", "line")
     )
-    named = written(named.select("key", "twin", "line", "home", "template"), "named-lines")
-    # Documents and surroundings of each template, a document counted once.
-    spread = (
-        named.groupBy("template", "key", "twin")
-        .agg(F.min("home").alias("home"))
-        .groupBy("template", "home")
-        .agg(F.count("*").alias("docs"))
-        .groupBy("template")
-        .agg(F.sum("docs").alias("docs"), F.count("*").alias("homes"))
-    )
-    enough = (F.col("docs") >= MIN_DOCS) & (F.col("homes") >= MIN_DOCS)
-    often = spread.where(enough & (F.col("homes") >= SURROUNDINGS * F.col("docs"))).select("template")
+    named = written(named.select("key", "twin", "line", "whole", "template"), "named-lines")
+    # Different documents of each template: copies have one set of lines.
+    spread = named.select("template", "whole").distinct().groupBy("template").agg(F.count("*").alias("n"))
+    often = spread.where(F.col("n") >= MIN_DOCS).select("template")
     often = written(often, "recurring-templates")
     return named.join(often, "template").groupBy("key", "twin").agg(
         F.collect_set("line").alias("recurring")

@@ -173,6 +173,20 @@ def test_lines_of_a_leaf_are_generalised(spark):
     assert {row.n_dropped for row in line_templates.digest(docs).collect()} == {1}
 
 
+def test_many_copies_hide_no_template(spark):
+    """A line in many copies of one document and in a few other documents goes, also between others."""
+    rng = np.random.default_rng(7)
+    header, footer = "the header of every page", "the footer of every page"
+    copied = "\n".join([header, *body(rng, 6)])
+    rows = [(k, copied) for k in range(60)]
+    rows += [(100 + k, "\n".join([header, *body(rng, 6), footer])) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {row.doc_id: row.text for row in line_templates.cleaned(docs).collect()}
+    for doc_id, text in rows[60:]:
+        assert got[doc_id] == "\n".join(text.split("\n")[1:-1])
+    assert {got[k] for k in range(60)} == {copied.split("\n", 1)[1]}
+
+
 def test_line_edges(edge_docs, no_docs, edges):
     rows = line_templates.cleaned(edge_docs).collect()
     assert len(rows) == len(edges) + 2
