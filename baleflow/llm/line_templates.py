@@ -8,9 +8,9 @@ lines of the leaf are templates of their own.
 
 A template recurs when it is in MIN_DOCS documents of different sets of lines. Copies of a document have
 one set and count once, however many they are: what copies share is no boilerplate, and removing them
-is left to document dedup. For the same reason a document most of
-whose words are in recurring lines is taken for a copy and keeps them; from all others the lines of
-recurring templates are dropped.
+is left to document dedup. For the same reason a document that has no other lines, so that other
+documents hold the whole of it, keeps its lines; from all others the lines of recurring templates are
+dropped, whatever their share of the words.
 
 Words of the lines are counted by Spark by leaf and place, so no leaf is gathered in one task.
 
@@ -39,8 +39,6 @@ DEPTH = 3
 #: Share of places that a line must have in common with its leaf's template.
 SIMILAR = 0.7
 MIN_DOCS = 3
-#: A document with a larger share of its words in recurring lines is a copy.
-COPY_SHARE = 0.5
 
 PARSED = "key long, twin int, leaf long, line long, whole long"
 
@@ -217,9 +215,10 @@ def recurring(rows: DataFrame) -> DataFrame:
 
 
 def without_recurring(text: str, hashes: np.ndarray, sizes: np.ndarray, found: np.ndarray):
-    """The text without its recurring lines, and their number; a copy keeps them."""
-    drop = np.isin(hashes, found) & (sizes > 0)
-    if not drop.any() or sizes[drop].sum() > COPY_SHARE * sizes.sum():
+    """The text without its recurring lines, and their number; one of no other lines keeps them."""
+    full = sizes > 0
+    drop = np.isin(hashes, found) & full
+    if not drop.any() or drop.sum() == full.sum():
         return text, 0
     kept = [line for line, gone in zip(text.split("\n"), drop.tolist()) if not gone]
     return "\n".join(kept), int(drop.sum())

@@ -187,6 +187,19 @@ def test_many_copies_hide_no_template(spark):
     assert {got[k] for k in range(60)} == {copied.split("\n", 1)[1]}
 
 
+def test_short_pages_lose_their_templates(spark):
+    """Recurring lines go where they are most of the words; a page of nothing else keeps them."""
+    rng = np.random.default_rng(8)
+    header, footer = "the header of every page", "the footer of every page"
+    rows = [(k, "\n".join([header, PASSAGE, *body(rng, 1), footer])) for k in range(5)]
+    rows += [(10, "\n".join([header, PASSAGE, footer])), (11, PASSAGE)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {row.doc_id: row.text for row in line_templates.cleaned(docs).collect()}
+    for doc_id, text in rows[:5]:
+        assert got[doc_id] == text.split("\n")[2]
+    assert got[10] == rows[5][1] and got[11] == PASSAGE
+
+
 def test_line_edges(edge_docs, no_docs, edges):
     rows = line_templates.cleaned(edge_docs).collect()
     assert len(rows) == len(edges) + 2
