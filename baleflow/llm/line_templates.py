@@ -1,10 +1,13 @@
 """Line dedup by a log-template tree of fixed depth.
 
 A line is parsed as a log message is: words with a digit become a variable field, then the number of
-words and the first DEPTH words lead to a leaf. The lines of a leaf are generalised to its template:
-a place keeps the word that more than half of the lines have there, other places are variable. A
-line that agrees with at least SIMILAR of all places, variable ones aside, is of that template; other
-lines of the leaf are templates of their own.
+words and the first DEPTH words lead to a leaf, which holds any number of templates. The word at a
+place counts the different lines of the leaf that have it there, so a line that is frequent weighs no
+more than others. A line keeps the words of the largest counts, at least SIMILAR of its places and all
+that count as many, and its other places are variable; lines that keep the same words at the same
+places are of one template. A line with a variable word that is frequent in other templates of the leaf
+keeps that too; a line is therefore also of the templates that keep all but one of its kept words. With
+two such words in a line it is not found to be of the template.
 
 A template recurs when it is in MIN_DOCS documents of different sets of lines. Copies of a document have
 one set and count once, however many they are: what copies share is no boilerplate, and removing them
@@ -146,17 +149,14 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def templates(rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """leaf, line and template of the lines that are generalised to their leaf's template."""
-    counted = lines.groupBy("leaf", "line").agg(
-        F.count("*").alias("n"), F.min(F.struct("key", "twin")).alias("one")
-    )
-    several = counted.groupBy("leaf").agg(F.count("*").alias("lines"), F.sum("n").alias("total"))
-    several = written(several.where("lines > 1").select("leaf", "total"), "leaves")
-    open_lines = written(
-        counted.join(several, "leaf").select("leaf", "line", "n", "total", "one"), "open-lines"
-    )
+    """leaf, line and all templates of the lines that share enough words with others of their leaf."""
+    counted = lines.groupBy("leaf", "line").agg(F.min(F.struct("key", "twin")).alias("one"))
+    counted = written(counted, "leaf-lines")
+    several = counted.groupBy("leaf").agg(F.count("*").alias("lines")).where("lines > 1")
+    several = written(several.select("leaf"), "leaves")
     asked = written(
-        open_lines.groupBy("one.key", "one.twin").agg(F.collect_set("line").alias("asked")), "asked"
+        counted.join(several, "leaf").groupBy("one.key", "one.twin").agg(F.collect_set("line").alias("asked")),
+        "asked",
     )
     ids = broadcast_if_small(asked.select("key", "twin"))
     some = rows.select("key", "twin", "text").join(ids, ["key", "twin"], "left_semi")
@@ -165,27 +165,31 @@ def templates(rows: DataFrame, lines: DataFrame) -> DataFrame:
     )
     # Rows that repeat give the same line twice.
     words = written(read.dropDuplicates(["leaf", "line"]), "line-words")
-    weighted = words.join(open_lines.select("leaf", "line", "n", "total"), ["leaf", "line"])
-    placed = weighted.select("leaf", "line", "n", "total", F.posexplode("words").alias("place", "word"))
-    kept = (
-        placed.groupBy("leaf", "place", "word")
-        .agg(F.sum("n").alias("n"), F.max("total").alias("total"))
-        .where(2 * F.col("n") > F.col("total"))
-        .select("leaf", "place", "word")
+    placed = words.select(
+        "leaf", "line", F.size("words").alias("size"), F.posexplode("words").alias("place", "word")
     )
-    kept = written(kept, "kept-words")
-    agreeing = placed.join(kept, ["leaf", "place", "word"]).groupBy("leaf", "line").agg(
-        F.count("*").alias("common")
+    shared = placed.groupBy("leaf", "place", "word").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(shared, "shared-words")
+    found = F.sort_array(F.collect_list(F.struct("n", F.xxhash64("place", "word").alias("at"))), asc=False)
+    by_line = placed.join(shared, ["leaf", "place", "word"]).groupBy("leaf", "line").agg(
+        F.max("size").alias("size"), found.alias("found")
     )
-    fixed = written(kept.groupBy("leaf").agg(F.count("*").alias("fixed")), "fixed-places")
-    sizes = words.select("leaf", "line", F.size("words").alias("size"))
-    # Template hashes must not meet those of lines; a leaf's own number serves.
-    return (
-        agreeing.join(sizes, ["leaf", "line"])
-        .join(fixed, "leaf")
-        .where((F.col("common") >= SIMILAR * F.col("size")) & (F.col("common") * 10 >= F.col("fixed") * 7))
-        .select("leaf", "line", F.col("leaf").alias("template"))
+    # In SQL the share is a decimal, whose product is exact.
+    needed = F.expr(f"cast(ceil({SIMILAR} * size) AS int)")
+    general = by_line.where(F.size("found") >= needed).withColumn("least", F.get("found", needed - 1))
+    kept = F.expr("transform(filter(found, x -> x.n >= least.n), x -> x.at)")
+    general = general.select("leaf", "line", kept.alias("kept"), needed.alias("needed"))
+    # The number of a template is that of its leaf and the hashes of its words, by exclusive or.
+    number = F.expr("aggregate(kept, leaf, (number, at) -> number ^ at)")
+    general = written(general.withColumn("template", number), "general-lines")
+    own = general.select("leaf", "line", "template")
+    known = written(own.select("template").distinct(), "known-templates")
+    others = general.where(F.size("kept") > F.col("needed")).select(
+        "leaf", "line", "template", F.explode("kept").alias("at")
     )
+    fewer = others.select("leaf", "line", F.col("template").bitwiseXOR(F.col("at")).alias("template"))
+    also = fewer.join(broadcast_if_small(known), "template", "left_semi")
+    return own.union(also.select("leaf", "line", "template"))
 
 
 def recurring(rows: DataFrame) -> DataFrame:

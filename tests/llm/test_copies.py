@@ -200,6 +200,24 @@ def test_short_pages_lose_their_templates(spark):
     assert got[10] == rows[5][1] and got[11] == PASSAGE
 
 
+def test_a_leaf_of_several_templates(spark):
+    """Templates of one length and first words, none with a majority, beside a frequent exact line."""
+    rng = np.random.default_rng(9)
+    names = ["anna", "bert", "carl", "dora", "emil", "fred"]
+    recurring = [f"this page was last edited by {name} in the office" for name in names]
+    recurring += [f"this page was last printed for {name} at our desk" for name in names]
+    recurring += [f"this page was once in {name} and hers too there" for name in names[:3]]
+    recurring += ["this page was never seen by anyone on the street"] * 20
+    recurring += [f"this page was once given to anna {k} {k} {k}" for k in ["x", "y", "z"]]
+    # Its variable word is frequent elsewhere in the leaf.
+    recurring += [f"this page was meant as for {name} by your friend" for name in ["anna", "gina", "hans"]]
+    own = "this page was all that she had to say there"
+    rows = [(k, "\n".join([line, *body(rng, 5)])) for k, line in enumerate([*recurring, own])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {row.doc_id: row.n_dropped for row in line_templates.digest(docs).collect()}
+    assert got == {k: int(k < len(recurring)) for k in got} and len(got) == len(rows)
+
+
 def test_line_edges(edge_docs, no_docs, edges):
     rows = line_templates.cleaned(edge_docs).collect()
     assert len(rows) == len(edges) + 2
