@@ -13,6 +13,10 @@ of the smaller weights over the sum of the larger ones.
    within RADIUS bits meets.
 3. The pairs within RADIUS are verified by their exact weighted similarity.
 
+A document of fewer shingles than the item has no such window. `clean` takes the whole of it for one, of
+its own size, and compares it exactly; `matches` does so with `short`, and without it is what the SQL
+of its query defines.
+
 Two bags of similarity 0.8 differ in 10 of 64 bits on average; more than RADIUS bits differ in less
 than one of a thousand such pairs, and in fewer of pairs that are more alike.
 
@@ -32,6 +36,8 @@ from baleflow.session import broadcast_if_small, written
 WIDTH = 5
 BITS = 64
 RADIUS = 19
+#: Stands for the doc_id of rows that have none.
+NO_KEY = -(1 << 63)
 
 
 def words(text: str) -> Column:
@@ -101,27 +107,58 @@ def items(benchmark: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def hits(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """Places in the documents of shingles that some item has."""
+    """Places in the documents of shingles that some item has, and the documents' number of shingles."""
     placed = rows.where(F.size("words") >= width).select(
         "key", "twin", "words", F.explode(F.expr(f"sequence(0, size(words) - {width})")).alias("place")
     )
-    hashed = placed.select("key", "twin", "place", shingle("words", "place", width).alias("hash"))
+    total = (F.size("words") - (width - 1)).alias("total")
+    hashed = placed.select("key", "twin", total, "place", shingle("words", "place", width).alias("hash"))
     return hashed.join(wanted, "hash", "left_semi").distinct()
 
 
-def windows(found: DataFrame, bags: DataFrame) -> DataFrame:
-    """key, twin, size and start of all windows with as many hits as an alike one must have."""
+def counted_shingles(bags: DataFrame) -> DataFrame:
+    """The distinct shingles of each item, and how often it has them."""
     of_item = bags.select("item_id", "size", "needed", F.explode("bag").alias("hash"))
-    counted = of_item.groupBy("item_id", "size", "needed", "hash").agg(F.count("*").alias("n"))
+    return of_item.groupBy("item_id", "size", "needed", "hash").agg(F.count("*").alias("n"))
+
+
+def first_shingles(counted: DataFrame) -> DataFrame:
+    """The rarest shingles of each item: with none of them, fewer than `needed` of all are left."""
     spread = counted.groupBy("hash").agg(F.count("*").alias("items"))
     order = Window.partitionBy("item_id").orderBy("items", "hash")
     before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    prefix = (
+    return (
         counted.join(spread, "hash")
         .withColumn("before", F.coalesce(before, F.lit(0)))
         .where(F.col("before") <= F.col("size") - F.col("needed"))
-        .select("item_id", "hash")
+        .select("item_id", "size", "hash")
+    )
+
+
+def short_documents(found: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
+    """Documents of fewer shingles than an item that are alike to it as a whole, as `verified` has them."""
+    # Of n < m shingles at most n are common, so at least `percent` of the item's are.
+    least = F.expr(f"cast(ceil({percent} * size / 100) AS int)")
+    counted = counted_shingles(bags.withColumn("needed", least))
+    fits = (F.col("total") < F.col("size")) & (100 * F.col("total") >= percent * F.col("size"))
+    pairs = found.join(first_shingles(counted), "hash").where(fits)
+    pairs = pairs.select("key", "twin", "item_id").distinct()
+    own = found.groupBy("key", "twin", "total", "hash").agg(F.count("*").alias("times"))
+    common = (
+        pairs.join(counted, "item_id")
+        .join(own, ["key", "twin", "hash"])
+        .groupBy("key", "twin", "item_id", "size", "total")
+        .agg(F.sum(F.least("n", "times")).cast("int").alias("common"))
     )
+    return common.where(
+        (100 + percent) * F.col("common") >= percent * (F.col("total") + F.col("size"))
+    ).select("key", "twin", "item_id", "common", F.lit(0).alias("start"), "size")
+
+
+def windows(found: DataFrame, bags: DataFrame) -> DataFrame:
+    """key, twin, size and start of all windows with as many hits as an alike one must have."""
+    counted = counted_shingles(bags)
+    prefix = first_shingles(counted)
     pairs = found.join(prefix, "hash").select("key", "twin", "item_id").distinct()
     listed = (
         pairs.join(counted, "item_id")
@@ -140,18 +177,16 @@ def windows(found: DataFrame, bags: DataFrame) -> DataFrame:
     return listed.select("key", "twin", "size", F.explode(starts).alias("start")).distinct()
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id, item_id, n_common, n_shingles and start_word of each item's best window in a document.
-
-    One row for each document and item that contaminates it.
-    """
-    spark = ready(docs.sparkSession)
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, percent: int, short: bool
+) -> DataFrame | None:
+    """key (of rows without doc_id: NO_KEY), twin, item_id, common, start and size of alike windows."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("key"), F.hash(text).alias("twin"), words("text").alias("words")
-    ).withColumn("key", F.coalesce("key", F.lit(-(1 << 63))))
-    short = F.least(F.size("words"), F.lit(WIDTH))
-    widths = benchmark.select(words("text").alias("words")).select(short.alias("width")).distinct()
+        F.col("doc_id").cast("long").alias("key"), F.xxhash64(text).alias("twin"), words("text").alias("words")
+    ).withColumn("key", F.coalesce("key", F.lit(NO_KEY)))
+    least = F.least(F.size("words"), F.lit(WIDTH))
+    widths = benchmark.select(words("text").alias("words")).select(least.alias("width")).distinct()
     out = None
     for width in sorted(row["width"] for row in widths.collect() if row["width"]):
         bags = written(items(benchmark, width, percent), "items")
@@ -159,12 +194,27 @@ def matches(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFra
         found = written(hits(rows, broadcast_if_small(wanted), width), "hits")
         chosen = written(windows(found, bags), "windows")
         alike = verified(rows, chosen, bags, width, percent)
+        # Items of fewer words than WIDTH are one shingle: no document has fewer.
+        if short and width == WIDTH:
+            alike = alike.union(short_documents(found, bags, percent))
         out = alike if out is None else out.union(alike)
+    return out
+
+
+def matches(
+    docs: DataFrame, benchmark: DataFrame, percent: int = 80, short: bool = False
+) -> DataFrame:
+    """doc_id, item_id, n_common, n_shingles and start_word of each item's best window in a document.
+
+    One row for each document and item that contaminates it; `short` adds those of fewer shingles.
+    """
+    spark = ready(docs.sparkSession)
+    out = contaminated(docs, benchmark, percent, short)
     if out is None:
         schema = "doc_id long, item_id long, n_common int, n_shingles int, start_word int"
         return spark.createDataFrame([], schema)
     best = F.max(F.struct("common", -F.col("start"), "size"))
-    key = F.when(F.col("key") != F.lit(-(1 << 63)), F.col("key"))
+    key = F.when(F.col("key") != F.lit(NO_KEY), F.col("key"))
     return out.groupBy("key", "item_id").agg(best.alias("best")).select(
         key.alias("doc_id"), "item_id", F.col("best.common").alias("n_common"),
         F.col("best.size").alias("n_shingles"), (-F.col("best.col2")).alias("start_word"),
@@ -207,7 +257,19 @@ def verified(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
-    """The documents that no item contaminates, with all their columns."""
-    found = written(matches(docs, benchmark, percent).select("doc_id").distinct(), "contaminated")
-    with_id = docs.join(broadcast_if_small(found.where("doc_id IS NOT NULL")), "doc_id", "left_anti")
-    return with_id.select(docs.columns)
+    """The documents that no item contaminates, also not a short one as a whole, with all their columns.
+
+    Rows without doc_id are dropped each by its text.
+    """
+    ready(docs.sparkSession)
+    out = contaminated(docs, benchmark, percent, True)
+    if out is None:
+        return docs
+    found = written(out.select("key", "twin").distinct(), "contaminated")
+    ids = found.where(F.col("key") != NO_KEY).select(F.col("key").alias("doc_id")).distinct()
+    left = docs.join(broadcast_if_small(written(ids, "contaminated-ids")), "doc_id", "left_anti")
+    texts = written(found.where(F.col("key") == NO_KEY).select("twin"), "contaminated-texts")
+    # Of null for rows with a doc_id, which so meet none.
+    twin = F.when(docs["doc_id"].isNull(), F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    left = left.join(broadcast_if_small(texts), twin == texts["twin"], "left_anti")
+    return left.select(docs.columns)

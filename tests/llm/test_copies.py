@@ -116,6 +116,32 @@ def test_contamination(spark, edge_docs, edges):
     assert left.where("doc_id IS NOT NULL").count() == sum(d not in hit for d, _ in [*edges, *planted])
 
 
+def test_short_and_nameless_documents_are_contaminated(spark):
+    """A document shorter than the item, as a whole, and rows without doc_id, each by its text."""
+    item = [f"w{n}" for n in range(100)]
+    rows = [
+        (1, " ".join(item[1:])),
+        (2, " ".join(item[:30] + item[34:])),
+        (3, " ".join(item[:70])),  # 66 of 96 shingles
+        (4, "something else of five words"),
+        (None, "before " + " ".join(item) + " after"),
+        (None, " ".join(item[5:])),
+        (None, "no such words in here"),
+        (None, None),
+    ]
+    docs = spark.createDataFrame([(*row, 7) for row in rows], "doc_id long, text string, twin int")
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    left = decontaminate.clean(docs, benchmark)
+    assert left.columns == docs.columns
+    want = [(k, text) for k, text in rows if k in (3, 4) or text in (None, "no such words in here")]
+    assert sorted(map(str, left.select("doc_id", "text").toLocalIterator())) == sorted(
+        f"Row(doc_id={k!r}, text={text!r})" for k, text in want
+    )
+    found = decontaminate.matches(docs.where("doc_id = 1"), benchmark, short=True).collect()
+    assert [tuple(row) for row in found] == [(1, 1, 95, 96, 0)]
+    assert decontaminate.matches(docs.where("doc_id = 1"), benchmark).count() == 0
+
+
 def test_no_python_in_decontamination(spark):
     docs = spark.createDataFrame(documents(), "doc_id long, text string")
     benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
