@@ -171,10 +171,80 @@ SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
 FROM texts LEFT JOIN kept USING (r) LEFT JOIN totals USING (r)
 """
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(CAST(embedding AS DOUBLE[]), lambda c: floor(256 * c)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+    FROM positives JOIN pairs USING (anchor_id)
+    WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3
+"""
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), grams AS (
+    SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2),
+                           lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS g
+    FROM split, (VALUES (1), (2), (3)) lengths(m)
+), counted AS (
+    SELECT lang, m, g, count(*) AS n FROM grams GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(n) AS n FROM counted WHERE m = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, m, g, n AS a, string_split(g, ' ') AS ws FROM counted WHERE m > 1 AND n >= 10
+), parts AS (
+    SELECT lang, m, g, a, k, array_to_string(ws[:k], ' ') AS first, array_to_string(ws[k + 1:], ' ') AS rest
+    FROM candidates, (VALUES (1), (2)) cuts(k) WHERE k < m
+), scored AS (
+    SELECT p.lang, p.m, p.g, a, k, f.n AS l, s.n AS r,
+           CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(f.n AS HUGEINT) * s.n) AS BIGINT) AS score
+    FROM parts p
+    JOIN counted f ON f.lang = p.lang AND f.m = k AND f.g = first
+    JOIN counted s ON s.lang = p.lang AND s.m = p.m - k AND s.g = rest
+), lowest AS (
+    SELECT * FROM scored
+    QUALIFY row_number() OVER (PARTITION BY lang, m, g ORDER BY score, k) = 1
+), within AS (
+    SELECT lang, g, max(a) AS around FROM (
+        SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS g
+        FROM candidates WHERE m = 3) GROUP BY ALL
+), ranked AS (
+    SELECT lang, g AS phrase, a, l, r, score,
+           row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank
+    FROM lowest LEFT JOIN within USING (lang, g)
+    WHERE m = 3 OR coalesce(100 * around < 50 * a, true)
+)
+SELECT lang, rank, phrase, a, l, r, CAST(totals.n AS BIGINT) AS n, score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 SQL: dict[str, str] = {
     "op3_lpf_removal": REPEATED_BYTES,
     "op4_simhash_decontamination": CONTAMINATION,
     "op6_norm_bucketed_top_k": TOP_K,
     "op7_cross_entropy_difference": LM_SCORE,
     "op9_coordinate_join": NEAR_DUPLICATES,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_rollup_collocations": COLLOCATIONS,
 }

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from baleflow.llm import (
+    collocations,
     decontaminate,
+    hard_negatives,
     line_templates,
     lm_score,
     lpf_dedup,
+    mixture,
     near_dup,
     packing,
     pii,
@@ -71,6 +74,20 @@ def token_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path)
 
 
+def threshold_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = ready(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(embeddings, F.col("vec_id") % 50 == 0, moved)
+
+
+def rollup_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def entropy_balanced_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.digest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_spans": pii_spans,
     "op2_toxicity": toxicity_scores,
@@ -82,4 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": token_file_round_trip,
     "op9_coordinate_join": coordinate_join_near_duplicates,
     "op10_line_templates": line_template_dedup,
+    "op11_hard_negatives": threshold_hard_negatives,
+    "op12_rollup_collocations": rollup_collocations,
+    "op13_entropy_balancing": entropy_balanced_mixture,
 }
