@@ -2,10 +2,11 @@
 
 Texts are cut into pieces and these into words. Only the longest windows of words are counted, one at
 each word, filled up at the end of a piece; ROLLUP adds them up over successively shorter prefixes,
-which gives the counts of all shorter phrases. A first pass counts single words: a word that is too
-rare for any phrase ends a window before it, which changes no count of a candidate. Which words are
-frequent goes to the tasks as a bitmap of a fixed size; where two words share a bit, windows are
-longer than they need to be, and counts are the same.
+which gives the counts of all shorter phrases. A phrase is no more frequent than its words and its
+pairs of neighbours, so two passes go before: a word, or a pair, that is too rare for any phrase ends a
+window before it, which changes no count of a candidate and leaves a small part of the windows. Which
+words and pairs are frequent goes to the tasks as bitmaps of a fixed size; where two share a bit,
+windows are longer than they need to be, and counts are the same.
 
 Words go by 64-bit keys of language and word. The table of all words tells whether two of them share
 a key; then keys of another seed are taken, so counts are exact.
@@ -36,7 +37,7 @@ from baleflow.llm.common import (
 )
 from baleflow.session import broadcast_if_small, written
 
-#: Bits of the bitmap of frequent words, 16 MB whatever the input holds.
+#: Bits of the bitmaps of frequent words and of frequent pairs, 16 MB each whatever the input holds.
 BITS = 1 << 27
 #: Bytes and bits of one row of it.
 BITMAP_ROW = 4096
@@ -128,37 +129,71 @@ def vocabulary(rows: DataFrame) -> tuple[DataFrame, int]:
             return words, seed
 
 
-def bitmap(words: DataFrame) -> np.ndarray:
-    """One bit for each place that a key of these words has; at most BITS bits reach the driver."""
-    place = F.col("key").bitwiseAND(F.lit(BITS - 1)) + 1
-    rows = words.groupBy(F.bitmap_bucket_number(place).alias("row")).agg(
+def bitmap(places: DataFrame, bits: int) -> np.ndarray:
+    """The bits of these places (from 0); at most `bits` bits reach the driver."""
+    place = F.col("place") + 1
+    rows = places.groupBy(F.bitmap_bucket_number(place).alias("row")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )
-    out = np.zeros((BITS // 8 // BITMAP_ROW, BITMAP_ROW), np.uint8)
+    out = np.zeros((bits // 8 // BITMAP_ROW, BITMAP_ROW), np.uint8)
     for row in rows.toLocalIterator():
         out[row["row"] - 1] = np.frombuffer(row["bits"], np.uint8)
     return out.reshape(-1)
 
 
-def count_windows(frequent, seed: int, longest: int):
+def is_set(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
+
+
+def keyed(part: pa.Table, words: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of all words of a slice, which are frequent, and the words left in the piece."""
+    found, text, left = words_of(one_array(part, "text"))
+    langs = one_array(part, "lang").dictionary_encode()
+    by_word, by_lang = keys_of(found.dictionary, langs.dictionary, seed)
+    own = key(by_word[found.indices.to_numpy()], by_lang[langs.indices.to_numpy()[text]])
+    return own, is_set(words, own & (8 * len(words) - 1)), left
+
+
+def pair_places(own: np.ndarray, bits: int) -> np.ndarray:
+    """The bit, of so many, of each word and the one behind it."""
+    pair = own[:-1].view(np.uint64) * GOLDEN + own[1:].view(np.uint64)
+    return (mixed(pair) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def frequent_pairs(rows: DataFrame, words, seed: int, least: int) -> DataFrame:
+    """The bits on which pairs of neighbours fall `least` times or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            own, known, left = keyed(part, words.value, seed)
+            if len(own) > 1:
+                places = pair_places(own, 8 * len(words.value))[known[:-1] & known[1:] & (left[:-1] > 1)]
+                place, n = np.unique(places, return_counts=True)
+                yield from to_batches({"place": place, "n": n})
+
+    counted = rows.mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= least).select("place")
+
+
+def count_windows(words, pairs, seed: int, longest: int):
     """Counts of windows of `longest` keys, those behind the end of a window zero."""
     names = [f"w{k}" for k in range(1, longest + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = frequent.value
         for part in slices(batches):
-            words, text, left = words_of(one_array(part, "text"))
-            langs = one_array(part, "lang").dictionary_encode()
-            by_word, by_lang = keys_of(words.dictionary, langs.dictionary, seed)
-            own = key(by_word[words.indices.to_numpy()], by_lang[langs.indices.to_numpy()[text]])
-            place = own & (BITS - 1)
-            known = (bits[place >> 3] >> (place & 7)) & 1 == 1
+            own, known, left = keyed(part, words.value, seed)
+            joined = np.zeros(len(own), bool)  # to the word behind it, by a frequent pair
+            if len(own) > 1:
+                joined[:-1] = is_set(pairs.value, pair_places(own, 8 * len(pairs.value)))
+                joined[:-1] &= known[:-1] & known[1:]
+                joined &= left > 1
             columns, go_on = [own], known
             for k in range(1, longest):
                 # The column k words ahead, as long as the window has not ended.
-                ahead, ahead_known = np.zeros_like(own), np.zeros(len(own), bool)
-                ahead[:-k], ahead_known[:-k] = own[k:], known[k:]
-                go_on = go_on & ahead_known & (left > k)
+                ahead, link = np.zeros_like(own), np.zeros(len(own), bool)
+                m = max(len(own) - k, 0)
+                ahead[:m], link[:m] = own[k:], joined[k - 1 :][:m]
+                go_on = go_on & link
                 columns.append(np.where(go_on, ahead, 0))
             table = pa.table({name: column[known] for name, column in zip(names, columns)})
             counted = table.group_by(names).aggregate([([], "count_all")])
@@ -242,17 +277,27 @@ def candidates(counts: DataFrame, longest: int, cover: int) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, first: int = 2000, longest: int = 3, least: int = 10, cover: int = 50
+    docs: DataFrame,
+    first: int = 2000,
+    longest: int = 3,
+    least: int = 10,
+    cover: int = 50,
+    bits: int = BITS,
 ) -> DataFrame:
-    """The `first` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
+    """The `first` phrases of each language: lang, rank, phrase, a, l, r, n, score.
+
+    `bits` (a power of two, 2^15 at least) is the size of a bitmap and does not change the result.
+    """
     spark = ready(docs.sparkSession)
     rows = texts_by_language(docs)
     words, seed = vocabulary(rows)
     frequent = words.where(F.col("n") >= least)
-    held = spark.sparkContext.broadcast(bitmap(frequent))
+    places = frequent.select(F.col("key").bitwiseAND(F.lit(bits - 1)).alias("place"))
+    known = spark.sparkContext.broadcast(bitmap(places, bits))
+    joined = spark.sparkContext.broadcast(bitmap(frequent_pairs(rows, known, seed, least), bits))
     names = [f"w{k}" for k in range(1, longest + 1)]
     schema = ", ".join(f"{name} long" for name in [*names, "n"])
-    windows = rows.mapInArrow(count_windows(held, seed, longest), schema)
+    windows = rows.mapInArrow(count_windows(known, joined, seed, longest), schema)
     found = candidates(phrase_counts(windows, longest, least), longest, cover)
 
     # At most `first` of each language and task stay before its phrases come together.

@@ -161,11 +161,10 @@ def test_collocations(spark, longest):
     assert sorted(map(tuple, found)) == plain_collocations(rows, 25, longest, 3, 50)
 
 
-def test_windows_may_be_longer_where_bits_are_shared(spark, monkeypatch):
-    rows = texts(6)
-    monkeypatch.setattr(collocations, "BITS", 1 << 15)
+def test_windows_may_be_longer_where_bits_are_shared(spark):
+    rows = texts(6) + [("en", " ".join(f"w{k * k % 9973}" for k in range(9000)))] * 4
     docs = spark.createDataFrame(rows, "lang string, text string")
-    found = collocations.collocations(docs, 25, 3, 3, 50).collect()
+    found = collocations.collocations(docs, 25, 3, 3, 50, 1 << 15).collect()
     assert sorted(map(tuple, found)) == plain_collocations(rows, 25, 3, 3, 50)
 
 
