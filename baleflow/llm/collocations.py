@@ -2,11 +2,11 @@
 
 Texts are cut into pieces and these into words. Only the longest windows of words are counted, one at
 each word, filled up at the end of a piece; ROLLUP adds them up over successively shorter prefixes,
-which gives the counts of all shorter phrases. A phrase is no more frequent than its words and its
-pairs of neighbours, so two passes go before: a word, or a pair, that is too rare for any phrase ends a
-window before it, which changes no count of a candidate and leaves a small part of the windows. Which
-words and pairs are frequent goes to the tasks as bitmaps of a fixed size; where two share a bit,
-windows are longer than they need to be, and counts are the same.
+which gives the counts of all shorter phrases. A phrase is no more frequent than any run of words in it,
+so a pass for each length goes before: a run that is too rare for a candidate ends a window before its
+last word, which changes no count of a candidate and leaves a small part of the windows. Which runs may
+be frequent goes to the tasks as bitmaps of a fixed size; where two share a bit, windows are longer than
+they need to be, and counts are the same.
 
 Words go by 64-bit keys of language and word. The table of all words tells whether two of them share
 a key; then keys of another seed are taken, so counts are exact.
@@ -37,7 +37,7 @@ from baleflow.llm.common import (
 )
 from baleflow.session import broadcast_if_small, written
 
-#: Bits of the bitmaps of frequent words and of frequent pairs, 16 MB each whatever the input holds.
+#: Bits of the bitmap of the frequent runs of each length, 16 MB whatever the input holds.
 BITS = 1 << 27
 #: Bytes and bits of one row of it.
 BITMAP_ROW = 4096
@@ -145,58 +145,64 @@ def is_set(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
 
 
-def keyed(part: pa.Table, words: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The keys of all words of a slice, which are frequent, and the words left in the piece."""
+def shifted(values: np.ndarray, by: int) -> np.ndarray:
+    """The values so many places ahead, zeros behind the end."""
+    out = np.zeros_like(values)
+    out[: max(len(values) - by, 0)] = values[by:]
+    return out
+
+
+def frequent_starts(part: pa.Table, seed: int, bitmaps: list[np.ndarray]):
+    """Keys of the words of a slice, the words left in their pieces, and for 1, 2, ... words, as many as
+    there are bitmaps, whether a run of so many that starts here may be frequent."""
     found, text, left = words_of(one_array(part, "text"))
     langs = one_array(part, "lang").dictionary_encode()
     by_word, by_lang = keys_of(found.dictionary, langs.dictionary, seed)
     own = key(by_word[found.indices.to_numpy()], by_lang[langs.indices.to_numpy()[text]])
-    return own, is_set(words, own & (8 * len(words) - 1)), left
+    starts = [np.ones(len(own), bool)]
+    for length, bits in enumerate(bitmaps, 1):
+        starts.append(possible(starts[-1], left, length) & is_set(bits, run_places(own, length, 8 * len(bits))))
+    return own, left, starts[1:]
+
 
+def possible(shorter: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
+    """Where a run of `length` words lies in one piece, and both runs of one word less may be frequent."""
+    return shorter & (left >= length) & (shifted(shorter, 1) if length > 1 else True)
 
-def pair_places(own: np.ndarray, bits: int) -> np.ndarray:
-    """The bit, of so many, of each word and the one behind it."""
-    pair = own[:-1].view(np.uint64) * GOLDEN + own[1:].view(np.uint64)
-    return (mixed(pair) & np.uint64(bits - 1)).astype(np.int64)
 
+def run_places(own: np.ndarray, length: int, bits: int) -> np.ndarray:
+    """The bit, of so many, of the run of `length` words at each word."""
+    hashed = own.view(np.uint64)
+    for ahead in range(1, length):
+        hashed = mixed(hashed * GOLDEN + shifted(own, ahead).view(np.uint64))
+    return (hashed & np.uint64(bits - 1)).astype(np.int64)
 
-def frequent_pairs(rows: DataFrame, words, seed: int, least: int) -> DataFrame:
-    """The bits on which pairs of neighbours fall `least` times or more."""
+
+def frequent_runs(rows: DataFrame, bitmaps: list, seed: int, least: int, bits: int) -> DataFrame:
+    """The bits on which runs, one word longer than the last bitmap's, fall `least` times or more."""
+    length = len(bitmaps) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            own, known, left = keyed(part, words.value, seed)
-            if len(own) > 1:
-                places = pair_places(own, 8 * len(words.value))[known[:-1] & known[1:] & (left[:-1] > 1)]
-                place, n = np.unique(places, return_counts=True)
-                yield from to_batches({"place": place, "n": n})
+            own, left, starts = frequent_starts(part, seed, [held.value for held in bitmaps])
+            places = run_places(own, length, bits)[possible(starts[-1], left, length)]
+            place, n = np.unique(places, return_counts=True)
+            yield from to_batches({"place": place, "n": n})
 
     counted = rows.mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
     return counted.where(F.col("n") >= least).select("place")
 
 
-def count_windows(words, pairs, seed: int, longest: int):
-    """Counts of windows of `longest` keys, those behind the end of a window zero."""
-    names = [f"w{k}" for k in range(1, longest + 1)]
+def count_windows(bitmaps: list, seed: int):
+    """Counts of windows of as many keys as there are bitmaps, those behind the end of a window zero."""
+    names = [f"w{k}" for k in range(1, len(bitmaps) + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            own, known, left = keyed(part, words.value, seed)
-            joined = np.zeros(len(own), bool)  # to the word behind it, by a frequent pair
-            if len(own) > 1:
-                joined[:-1] = is_set(pairs.value, pair_places(own, 8 * len(pairs.value)))
-                joined[:-1] &= known[:-1] & known[1:]
-                joined &= left > 1
-            columns, go_on = [own], known
-            for k in range(1, longest):
-                # The column k words ahead, as long as the window has not ended.
-                ahead, link = np.zeros_like(own), np.zeros(len(own), bool)
-                m = max(len(own) - k, 0)
-                ahead[:m], link[:m] = own[k:], joined[k - 1 :][:m]
-                go_on = go_on & link
-                columns.append(np.where(go_on, ahead, 0))
-            table = pa.table({name: column[known] for name, column in zip(names, columns)})
-            counted = table.group_by(names).aggregate([([], "count_all")])
+            own, _, starts = frequent_starts(part, seed, [held.value for held in bitmaps])
+            known = starts[0]
+            columns = [np.where(go_on, shifted(own, k), 0)[known] for k, go_on in enumerate(starts)]
+            counted = pa.table(dict(zip(names, columns))).group_by(names).aggregate([([], "count_all")])
             yield from to_batches({name: one_array(counted, name) for name in names}
                                   | {"n": one_array(counted, "count_all")})
 
@@ -293,11 +299,14 @@ def collocations(
     words, seed = vocabulary(rows)
     frequent = words.where(F.col("n") >= least)
     places = frequent.select(F.col("key").bitwiseAND(F.lit(bits - 1)).alias("place"))
-    known = spark.sparkContext.broadcast(bitmap(places, bits))
-    joined = spark.sparkContext.broadcast(bitmap(frequent_pairs(rows, known, seed, least), bits))
+    bitmaps = []
+    for _ in range(longest):
+        bitmaps.append(spark.sparkContext.broadcast(bitmap(places, bits)))
+        if len(bitmaps) < longest:
+            places = frequent_runs(rows, bitmaps, seed, least, bits)
     names = [f"w{k}" for k in range(1, longest + 1)]
     schema = ", ".join(f"{name} long" for name in [*names, "n"])
-    windows = rows.mapInArrow(count_windows(known, joined, seed, longest), schema)
+    windows = rows.mapInArrow(count_windows(bitmaps, seed), schema)
     found = candidates(phrase_counts(windows, longest, least), longest, cover)
 
     # At most `first` of each language and task stay before its phrases come together.
