@@ -8,8 +8,9 @@ last word, which changes no count of a candidate and leaves a small part of the
 be frequent goes to the tasks as bitmaps of a fixed size; where two share a bit, windows are longer than
 they need to be, and counts are the same.
 
-Words go by 64-bit keys of language and word. The table of all words tells whether two of them share
-a key; then keys of another seed are taken, so counts are exact.
+Words go by keys of language and word, as short as the number of words allows. The table of all words
+tells whether a word that may be counted shares its key with another; then keys of another seed are
+taken, so counts are exact.
 
 A phrase of at least `least` occurrences is a candidate. Cut after its first k words it has the score
 floor(10^6 a^2 / (l r)) with a, l and r the occurrences of phrase, first part and rest; its lowest cut
@@ -23,13 +24,14 @@ candidates, gives no rows; columns other than text and lang are not read.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Iterator
 from functools import reduce
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from baleflow.llm.common import (
@@ -49,7 +51,8 @@ KINDS[list(b".,;:!?\x0a\x0b\x0c\x0d")] = BREAK
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-WORDS = "lang string, word string, key long, n long"
+WORDS = "lang string, word string, n long"
+KEYED = "lang string, word string, key long"
 
 
 def texts_by_language(docs: DataFrame) -> DataFrame:
@@ -86,47 +89,73 @@ def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarra
     return found.dictionary_encode(), text, left
 
 
-def keys_of(words: pa.Array, langs: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Parts of keys: of distinct words, and of distinct languages."""
-    by_word = mixed(string_hashes(words) + np.uint64(seed))
-    return by_word, mixed(string_hashes(langs) ^ GOLDEN)
+@dataclasses.dataclass
+class Keys:
+    """Keys of words: of so many bits, by a seed."""
 
+    bits: int
+    seed: int = 0
 
-def key(by_word: np.ndarray, by_lang: np.ndarray) -> np.ndarray:
-    return mixed(by_word + by_lang).view(np.int64)
+    def parts(self, words: pa.Array, langs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Parts of keys: of distinct words, and of distinct languages."""
+        by_word = mixed(string_hashes(words) + np.uint64(self.seed))
+        return by_word, mixed(string_hashes(langs) ^ GOLDEN)
 
+    def key(self, by_word: np.ndarray, by_lang: np.ndarray) -> np.ndarray:
+        return (mixed(by_word + by_lang) >> np.uint64(64 - self.bits)).view(np.int64)
 
-def count_words(seed: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            words, text, _ = words_of(one_array(part, "text"))
-            langs = one_array(part, "lang").dictionary_encode()
-            lang = langs.indices.to_numpy()[text]
-            counted = pa.table({"lang": lang, "word": words.indices}).group_by(["lang", "word"])
-            counted = counted.aggregate([([], "count_all")])
-            lang, word = counted["lang"].to_numpy(), counted["word"].to_numpy()
-            by_word, by_lang = keys_of(words.dictionary, langs.dictionary, seed)
-            yield from to_batches(
-                {
-                    "lang": langs.dictionary.take(pa.array(lang)),
-                    "word": words.dictionary.take(pa.array(word)),
-                    "key": key(by_word[word], by_lang[lang]),
-                    "n": counted["count_all"].to_numpy(),
-                }
-            )
 
-    return run
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        words, text, _ = words_of(one_array(part, "text"))
+        langs = one_array(part, "lang").dictionary_encode()
+        lang = langs.indices.to_numpy()[text]
+        counted = pa.table({"lang": lang, "word": words.indices}).group_by(["lang", "word"])
+        counted = counted.aggregate([([], "count_all")])
+        yield from to_batches(
+            {
+                "lang": langs.dictionary.take(one_array(counted, "lang")),
+                "word": words.dictionary.take(one_array(counted, "word")),
+                "n": one_array(counted, "count_all"),
+            }
+        )
+
 
+def with_keys(words: DataFrame, keys: Keys, frequent=None) -> DataFrame:
+    """lang, word, key; with the bitmap `frequent` only words that have a bit there."""
 
-def vocabulary(rows: DataFrame) -> tuple[DataFrame, int]:
-    """All words of all languages with their occurrences and a key of their own, and its seed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch["lang"].dictionary_encode()
+            by_word, by_lang = keys.parts(batch["word"], langs.dictionary)
+            own = keys.key(by_word, by_lang[langs.indices.to_numpy()])
+            rows = pa.table({"lang": batch["lang"], "word": batch["word"], "key": own})
+            if frequent is not None:
+                bits = frequent.value
+                rows = rows.filter(pa.array(is_set(bits, own & (8 * len(bits) - 1))))
+            yield from rows.to_batches()
+
+    return words.select("lang", "word").mapInArrow(run, KEYED)
+
+
+def vocabulary(rows: DataFrame, least: int, bits: int, width: int | None = None):
+    """All words of all languages with their occurrences; the frequent ones with keys of their own; the
+    keys; and the bitmap of the frequent ones."""
+    totals = rows.mapInArrow(count_words, WORDS).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = written(totals, "words")
+    row = words.agg(F.count("*").alias("words"), F.sum((F.col("n") >= least).cast("long")).alias("frequent")).first()
+    often = row["frequent"] or 0
+    # Words that meet the bitmap; keys of twice their bits, and ten more, are rarely shared.
+    met = often + row["words"] * often // bits + 2
+    width = width or min(64, -(-(2 * met.bit_length() + 10) // 8) * 8)
     for seed in count():
-        counted = rows.mapInArrow(count_words(seed), WORDS)
-        totals = counted.groupBy("lang", "word").agg(F.first("key").alias("key"), F.sum("n").alias("n"))
-        words = written(totals, "words")
-        shared = words.groupBy("key").count().where("count > 1 OR key = 0")
+        keys = Keys(width, seed)
+        frequent = written(with_keys(words.where(F.col("n") >= least), keys), "frequent")
+        places = frequent.select(F.col("key").bitwiseAND(F.lit(bits - 1)).alias("place"))
+        held = rows.sparkSession.sparkContext.broadcast(bitmap(places, bits))
+        shared = with_keys(words, keys, held).groupBy("key").count().where("count > 1 OR key = 0")
         if shared.isEmpty():
-            return words, seed
+            return words, frequent, keys, held
 
 
 def bitmap(places: DataFrame, bits: int) -> np.ndarray:
@@ -152,13 +181,13 @@ def shifted(values: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
-def frequent_starts(part: pa.Table, seed: int, bitmaps: list[np.ndarray]):
+def frequent_starts(part: pa.Table, keys: Keys, bitmaps: list[np.ndarray]):
     """Keys of the words of a slice, the words left in their pieces, and for 1, 2, ... words, as many as
     there are bitmaps, whether a run of so many that starts here may be frequent."""
     found, text, left = words_of(one_array(part, "text"))
     langs = one_array(part, "lang").dictionary_encode()
-    by_word, by_lang = keys_of(found.dictionary, langs.dictionary, seed)
-    own = key(by_word[found.indices.to_numpy()], by_lang[langs.indices.to_numpy()[text]])
+    by_word, by_lang = keys.parts(found.dictionary, langs.dictionary)
+    own = keys.key(by_word[found.indices.to_numpy()], by_lang[langs.indices.to_numpy()[text]])
     starts = [np.ones(len(own), bool)]
     for length, bits in enumerate(bitmaps, 1):
         starts.append(possible(starts[-1], left, length) & is_set(bits, run_places(own, length, 8 * len(bits))))
@@ -178,13 +207,13 @@ def run_places(own: np.ndarray, length: int, bits: int) -> np.ndarray:
     return (hashed & np.uint64(bits - 1)).astype(np.int64)
 
 
-def frequent_runs(rows: DataFrame, bitmaps: list, seed: int, least: int, bits: int) -> DataFrame:
+def frequent_runs(rows: DataFrame, bitmaps: list, keys: Keys, least: int, bits: int) -> DataFrame:
     """The bits on which runs, one word longer than the last bitmap's, fall `least` times or more."""
     length = len(bitmaps) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            own, left, starts = frequent_starts(part, seed, [held.value for held in bitmaps])
+            own, left, starts = frequent_starts(part, keys, [held.value for held in bitmaps])
             places = run_places(own, length, bits)[possible(starts[-1], left, length)]
             place, n = np.unique(places, return_counts=True)
             yield from to_batches({"place": place, "n": n})
@@ -193,13 +222,13 @@ def frequent_runs(rows: DataFrame, bitmaps: list, seed: int, least: int, bits: i
     return counted.where(F.col("n") >= least).select("place")
 
 
-def count_windows(bitmaps: list, seed: int):
+def count_windows(bitmaps: list, keys: Keys):
     """Counts of windows of as many keys as there are bitmaps, those behind the end of a window zero."""
     names = [f"w{k}" for k in range(1, len(bitmaps) + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            own, _, starts = frequent_starts(part, seed, [held.value for held in bitmaps])
+            own, _, starts = frequent_starts(part, keys, [held.value for held in bitmaps])
             known = starts[0]
             columns = [np.where(go_on, shifted(own, k), 0)[known] for k, go_on in enumerate(starts)]
             counted = pa.table(dict(zip(names, columns))).group_by(names).aggregate([([], "count_all")])
@@ -296,21 +325,18 @@ def collocations(
     """
     spark = ready(docs.sparkSession)
     rows = texts_by_language(docs)
-    words, seed = vocabulary(rows)
-    frequent = words.where(F.col("n") >= least)
-    places = frequent.select(F.col("key").bitwiseAND(F.lit(bits - 1)).alias("place"))
-    bitmaps = []
-    for _ in range(longest):
+    words, frequent, keys, held = vocabulary(rows, least, bits)
+    bitmaps = [held]
+    for _ in range(longest - 1):
+        places = frequent_runs(rows, bitmaps, keys, least, bits)
         bitmaps.append(spark.sparkContext.broadcast(bitmap(places, bits)))
-        if len(bitmaps) < longest:
-            places = frequent_runs(rows, bitmaps, seed, least, bits)
     names = [f"w{k}" for k in range(1, longest + 1)]
     schema = ", ".join(f"{name} long" for name in [*names, "n"])
-    windows = rows.mapInArrow(count_windows(bitmaps, seed), schema)
+    windows = rows.mapInArrow(count_windows(bitmaps, keys), schema)
     found = candidates(phrase_counts(windows, longest, least), longest, cover)
 
     # At most `first` of each language and task stay before its phrases come together.
-    spelled = broadcast_if_small(written(frequent.select("lang", "key", "word"), "frequent"))
+    spelled = broadcast_if_small(frequent)
     for name in names:
         columns = [F.col("key").alias(name), F.col("word").alias(f"word_{name}")]
         columns += [F.col("lang")] if name == "w1" else []

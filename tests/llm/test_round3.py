@@ -168,19 +168,16 @@ def test_windows_may_be_longer_where_bits_are_shared(spark):
     assert sorted(map(tuple, found)) == plain_collocations(rows, 25, 3, 3, 50)
 
 
-def test_keys_that_meet_are_replaced(spark, monkeypatch):
-    plain = collocations.key
-    monkeypatch.setattr(collocations, "keys_of", lambda words, langs, seed: (
-        np.zeros(len(words), np.uint64) if seed == 0 else plain_keys(words, langs, seed)[0], plain_keys(words, langs, seed)[1]))
-    rows = texts(7)
-    docs = spark.createDataFrame(rows, "lang string, text string")
-    _, seed = collocations.vocabulary(collocations.texts_by_language(docs))
-    assert seed == 1 and plain is collocations.key
-    found = collocations.collocations(docs, 25, 3, 3, 50).collect()
-    assert sorted(map(tuple, found)) == plain_collocations(rows, 25, 3, 3, 50)
-
-
-plain_keys = collocations.keys_of
+def test_keys_that_meet_are_replaced(spark):
+    """Eight words on 32 keys: with most seeds two of them meet."""
+    seeds = []
+    for part in range(3):
+        docs = spark.createDataFrame([("en", " ".join(f"w{part}{k}" for k in range(8)))] * 3, "lang string, text string")
+        _, frequent, keys, _ = collocations.vocabulary(collocations.texts_by_language(docs), 3, 1 << 15, 5)
+        seeds.append(keys.seed)
+        held = [row.key for row in frequent.collect()]
+        assert len(set(held)) == 8 and 0 not in held
+    assert max(seeds) > 0
 
 
 def test_scores_beyond_64_bits_are_exact(spark):
