@@ -17,18 +17,21 @@ from baleflow.session import broadcast_if_small, written
 # Rows of one key a single task may be given.
 TASK_ROWS = 1_000_000
 
-# A sorted range may hold this many times as much: it is streamed and spills.
-RANGE_TASKS = 8
+# A sorted range may hold this many rows: it is streamed and spills.
+RANGE_ROWS = 8 * TASK_ROWS
 
 
 def long_keys(rows: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame | None:
     """Keys with more than `task_rows` rows and their row counts, None if there are none.
 
-    Holds at most rows / task_rows keys. Runs one job that reads the key column only.
+    Holds at most rows / task_rows keys. Runs one job that reads the key column only, and a second one
+    where there are such keys.
     """
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("held"))
-    keys = written(counts.where(F.col("held") > task_rows), "long-keys")
-    return None if keys.isEmpty() else keys
+    most = counts.agg(F.max("held")).first()[0]
+    if most is None or most <= task_rows:
+        return None
+    return written(counts.where(F.col("held") > task_rows), "long-keys")
 
 
 def split(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -54,9 +57,7 @@ def number_long(
     total = keys.agg(F.sum("held")).first()[0]
     # As many ranges as the session shuffles into, within sensible sizes of a range.
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(
-        ceil(total / (RANGE_TASKS * task_rows)), min(ceil(total / task_rows), partitions)
-    )
+    ranges = max(ceil(total / RANGE_ROWS), min(ceil(total / task_rows), partitions))
     sorted_rows = rows.repartitionByRange(ranges, key, *order).sortWithinPartitions(key, *order)
     # Place = partition number in the upper bits, row number in the partition in the lower 33.
     placed = written(sorted_rows.withColumn("place", F.monotonically_increasing_id()), "placed")

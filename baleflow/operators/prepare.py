@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from baleflow.functions.lookups import look_up
+from baleflow.functions.lookups import look_up, look_up_in
 from baleflow.functions.times import (
     event_time,
     parse_date,
@@ -34,6 +34,15 @@ def with_amount(raw: DataFrame) -> DataFrame:
     return raw.withColumn("amount", look_up(F.col("prdtid"), ORDER_PRICES) * F.col("quantity"))
 
 
+def with_amount_from(raw: DataFrame, pricelist: DataFrame) -> DataFrame:
+    """As `with_amount`, with the unit prices of a price list that may repeat its rows.
+
+    A product with two prices fails; one without is a miss, as one that is not there.
+    """
+    priced = look_up_in(raw, "prdtid", pricelist, "prdtid", "price")
+    return priced.withColumn("amount", F.col("price") * F.col("quantity")).drop("price")
+
+
 def with_event_time(raw: DataFrame) -> DataFrame:
     """Parse order date and time, and put both together into the event time."""
     # In one projection, where equal expressions are evaluated once.
@@ -86,14 +95,14 @@ def products(raw: DataFrame) -> DataFrame:
     )
 
 
-def pricelist(raw: DataFrame) -> DataFrame:
+def pricelist(raw: DataFrame, prices: dict[str, int] = LIST_PRICES) -> DataFrame:
     return (
         raw.select("prdtid")
         .withColumns(
             {
                 "id": F.lit(PRICELIST_ID),
                 "uom": F.lit(PRICELIST_UOM),
-                "price": look_up(F.col("prdtid"), LIST_PRICES).cast("int"),
+                "price": look_up(F.col("prdtid"), prices).cast("int"),
             }
         )
         .select("id", "prdtid", "uom", "price")

@@ -75,6 +75,15 @@ SELECT 'PRC1' AS id, prdtid, 'Bale' AS uom,
             END AS INTEGER) AS price
 FROM raw_orders"""
 
+_FIRST_SEEN = """
+WITH placed AS (SELECT *, row_number() OVER () AS place FROM lineitem),
+coded AS (
+  SELECT place, (['AJA001', 'SOK001', 'DUN001', 'LOT001', 'PEM001',
+                  'BAB001', 'MAI001', 'SMA001', 'UMI001', 'ZZZ999'])[l_partkey % 10 + 1] AS prdtid
+  FROM placed JOIN orders ON l_orderkey = o_orderkey
+)
+SELECT prdtid, row_number() OVER (ORDER BY min(place)) AS first_seen FROM coded GROUP BY prdtid"""
+
 _ORDER_MESSAGES = """
 SELECT '{"id":' || id || ',"customer_code":"' || csmcode
        || '","orderdate":"' || strftime(orddate, '%Y-%m-%d')
@@ -123,6 +132,10 @@ SQL: dict[str, str] = {
     "products": _on_raw(_PRODUCTS),
     "pricelist": _on_raw(_PRICELIST),
     "distinct_products": _on_raw("SELECT DISTINCT prdtid FROM raw_orders"),
+    "distinct_products_in_order": _FIRST_SEEN,
+    "order_amount_joined": _on_orders("SELECT id, seq, prdtid, amount FROM enriched"),
+    "load_table_once": _on_raw(_PRICELIST),
+    "orders_csv_snapshot": _on_orders(f"SELECT {_ORDER_COLUMNS} FROM enriched"),
     "orders_head": _on_orders(f"SELECT {_ORDER_COLUMNS} FROM enriched ORDER BY id, seq LIMIT 10"),
     "order_messages": _on_priced(_ORDER_MESSAGES),
     "parsed_orders": _on_priced(
@@ -130,6 +143,7 @@ SQL: dict[str, str] = {
     ),
     "order_totals": _on_priced(_TOTALS),
     "order_totals_stream": _on_priced(_TOTALS),
+    "order_totals_paced": _on_priced(_TOTALS),
     "order_running_totals": _on_running("SELECT id, seq, amount, event_time FROM running"),
     "order_running_totals_long": _on_running("SELECT id, seq, amount, event_time FROM running"),
     "order_running_totals_stream": _on_running("SELECT id, seq, amount, event_time FROM running"),

@@ -8,21 +8,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 from baleflow.functions.messages import order_messages, parse_orders, sales_messages
 from baleflow.operators import prepare, totals
+from baleflow.operators.first_seen import first_seen
 from baleflow.plans import workflow
-from baleflow.schemas import ORDER_COLUMNS, ORDERS
+from baleflow.schemas import ORDER_COLUMNS, ORDER_PRICES, ORDERS
 from baleflow.session import new_dir, tune
-from baleflow.sources.csv_files import read_csv, write_csv
-from baleflow.sources.staging import ARRIVAL, long_orders, numbered_lines, order_lines
-from baleflow.sources.tables import load_csv
+from baleflow.sources.csv_files import read_csv, read_snapshot, write_csv, write_snapshot
+from baleflow.sources.staging import (
+    ARRIVAL,
+    arriving_lines,
+    long_orders,
+    mark_and_number,
+    numbered_lines,
+    order_lines,
+)
+from baleflow.sources.tables import load_csv, load_once, loaded_rows
 from baleflow.sources.topics import (
     NUMBERED_VALUES,
     publish,
     publish_epoch,
-    publish_in_waves,
+    publish_ordered,
+    publish_paced,
     read_topic,
     subscribe,
 )
-from baleflow.streaming import jobs
+from baleflow.streaming import jobs, pace
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,10 +46,6 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.as_sales(prepare.priced_orders(_orders(spark, sf_dir)))
 
 
-def _numbered_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return totals.as_sales(prepare.priced_orders(_numbered_orders(spark, sf_dir)))
-
-
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered_lines(spark, sf_dir).drop("long")
 
@@ -84,6 +89,26 @@ def load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(location)
 
 
+def load_table_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`load_table`, run twice: the second run finds the load in the ledger and adds nothing."""
+    path, location = new_dir(spark, "pricelist-csv"), new_dir(spark, "pricelist")
+    write_csv(pricelist(spark, sf_dir), path)
+    name = location.rsplit("/", 1)[-1].replace("-", "_")
+    for _ in range(2):
+        load_once(spark, name, path, "pricelist", location)
+    # The rows are at the location; the name is not left in the catalog.
+    spark.sql(f"DROP TABLE {name}")
+    return loaded_rows(spark, location, "pricelist")
+
+
+def orders_csv_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`orders`, exported as a CSV snapshot that replaces an earlier one, and read back."""
+    path = new_dir(spark, "orders-snapshots")
+    write_snapshot(orders(spark, sf_dir).limit(0), path)
+    write_snapshot(orders(spark, sf_dir), path)
+    return read_snapshot(spark, path, ORDERS.replace("VARCHAR(10)", "STRING"))
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.products(order_lines(spark, sf_dir))
 
@@ -96,6 +121,23 @@ def distinct_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.distinct_products(order_lines(spark, sf_dir))
 
 
+def distinct_products_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes with the place, from 1, at which each was seen first."""
+    return first_seen(arriving_lines(spark, sf_dir), "prdtid")
+
+
+def order_amount_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`order_amount` with the prices looked up in a loaded table instead of constants."""
+    lines = numbered_lines(spark, sf_dir)
+    path, location = new_dir(spark, "prices-csv"), new_dir(spark, "prices")
+    write_csv(prepare.pricelist(order_lines(spark, sf_dir), ORDER_PRICES), path)
+    name = location.rsplit("/", 1)[-1].replace("-", "_")
+    load_once(spark, name, path, "pricelist", location)
+    spark.sql(f"DROP TABLE {name}")
+    priced = prepare.with_amount_from(lines, loaded_rows(spark, location, "pricelist"))
+    return priced.select("id", "seq", "prdtid", "amount")
+
+
 def orders_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The arrival columns order as `seq` does, and need no numbering of the whole table.
     first = prepare.first_rows(order_lines(spark, sf_dir), 10, "id", *ARRIVAL)
@@ -127,17 +169,33 @@ def order_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.latest_totals(spark, out)
 
 
+# Messages a second of the paced replay.
+REPLAY = pace.Pace(rows=200_000)
+
+
+def order_totals_paced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`order_totals_stream` with the messages replayed at the rate of REPLAY."""
+    topic, out = new_dir(spark, "orders-topic"), new_dir(spark, "totals")
+    publish_paced(_messages(spark, sf_dir), topic, REPLAY.rows)
+    parsed = parse_orders(pace.subscribe_paced(spark, topic))
+    checkpoint = new_dir(spark, "totals-checkpoint")
+    pace.run_to_end(jobs.start_totals(parsed, out, checkpoint, every=REPLAY.every))
+    return jobs.latest_totals(spark, out)
+
+
 def order_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    if long_orders(spark, sf_dir) is None:
+    long = long_orders(spark, sf_dir)
+    if long is None:
         return totals.numbered_running_totals(_orders(spark, sf_dir), ARRIVAL)
-    return totals.running_totals(_numbered_sales(spark, sf_dir), marked=True)
+    lines = prepare.prepare_orders(mark_and_number(spark, sf_dir, long))
+    return totals.running_totals(totals.as_sales(prepare.priced_orders(lines)), marked=True)
 
 
 def _published_orders(spark: SparkSession, sf_dir: str) -> str:
     """A topic of the priced orders, those of an order in the order of `seq`."""
     topic = new_dir(spark, "orders-topic")
     priced = prepare.priced_orders(_numbered_orders(spark, sf_dir))
-    publish_in_waves(order_messages(priced, "id", "seq"), topic)
+    publish_ordered(order_messages(priced, "id", "seq"), topic)
     return topic
 
 
@@ -201,11 +259,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "products": products,
     "pricelist": pricelist,
     "distinct_products": distinct_products,
+    "distinct_products_in_order": distinct_products_in_order,
+    "order_amount_joined": order_amount_joined,
+    "load_table_once": load_table_once,
+    "orders_csv_snapshot": orders_csv_snapshot,
     "orders_head": orders_head,
     "order_messages": order_messages_query,
     "parsed_orders": parsed_orders,
     "order_totals": order_totals,
     "order_totals_stream": order_totals_stream,
+    "order_totals_paced": order_totals_paced,
     "order_running_totals": order_running_totals,
     "order_running_totals_long": order_running_totals_long,
     "order_running_totals_stream": order_running_totals_stream,

@@ -20,12 +20,12 @@ from baleflow.functions.messages import (
     sales_messages,
 )
 from baleflow.operators import prepare
-from baleflow.operators.long_keys import TASK_ROWS, number_by
+from baleflow.operators.long_keys import number_by
 from baleflow.schemas import ORDER_COLUMNS, ORDERS, RAW_ORDERS
 from baleflow.session import tune, written
 from baleflow.sources import topics
-from baleflow.sources.csv_files import read_csv, write_csv
-from baleflow.sources.tables import load_csv
+from baleflow.sources.csv_files import FILE, LINE, read_csv, read_csv_leniently, write_csv
+from baleflow.sources.tables import load_csv, load_key, load_once
 from baleflow.streaming import jobs
 
 
@@ -35,23 +35,33 @@ def prepare_and_load(
     folder: str,
     overwrite: bool = False,
     set_aside: bool = False,
+    once: bool = False,
 ) -> dict[str, DataFrame]:
     """Clean and enrich raw orders, save the three CSV sets below `folder`, load the tables.
 
-    A second run appends to the tables unless `overwrite` is set. A line with a bad date or time
-    fails the job; with `set_aside` such lines go to Rejected.csv and the others are loaded.
-    Returns the loaded tables.
+    A second run appends to the tables unless `overwrite` is set; with `once` it adds what a run that
+    failed has left out, and nothing if all was loaded, see `tables.load_once`. A line with a bad date
+    or time, a wrong number of cells or a cell of a wrong type fails the job; with `set_aside` such
+    lines go to Rejected.csv, with their file and, where cells were wrong, their text, and the others
+    are loaded. Returns the loaded tables.
     """
-    raw = read_csv(tune(spark), orders_csv, RAW_ORDERS)
+    spark = tune(spark)
+    key = load_key(spark, orders_csv) if once else None
     if set_aside:
         # Parsed once, for the lines that are loaded and for those that are not.
-        parsed = written(raw.withColumn("usable", prepare.usable_line()), "raw-lines")
+        usable = prepare.usable_line() & F.col(LINE).isNull()
+        raw = read_csv_leniently(spark, orders_csv, RAW_ORDERS)
+        parsed = written(raw.withColumn("usable", usable), "raw-lines")
         write_csv(parsed.where(~F.col("usable")).drop("usable"), f"{folder}/Rejected.csv")
-        raw = parsed.where("usable").drop("usable")
+        raw = parsed.where("usable").drop("usable", FILE, LINE)
+    else:
+        raw = read_csv(spark, orders_csv, RAW_ORDERS)
 
     def load(name: str, rows: DataFrame) -> DataFrame:
         path = f"{folder}/{name.capitalize()}.csv"
         write_csv(rows, path)
+        if once:
+            return load_once(spark, name, path, name, key=key)
         return load_csv(spark, name, path, name, overwrite=overwrite)
 
     # Products and price list have a row for each order line: they are made of the file of the
@@ -71,10 +81,15 @@ def publish_orders(
     """Publish the priced rows of an orders table.
 
     A table keeps no arrival order, so the lines of an order go by event time, then product. A
-    publisher that failed may be run again, see `topics.publish_in_waves`.
+    publisher that failed may be run again, see `topics.publish_ordered`. With `after_wave` long orders
+    go wave by wave, and it runs after each, see `topics.publish_in_waves`.
     """
     lines = number_by(prepare.priced_orders(orders), "id", ["eventtime", "prdtid", "quantity"])
-    topics.publish_in_waves(order_messages(lines, "id", "seq"), topic, after_wave)
+    messages = order_messages(lines, "id", "seq")
+    if after_wave:
+        topics.publish_in_waves(messages, topic, after_wave)
+    else:
+        topics.publish_ordered(messages, topic)
 
 
 def process_orders(
@@ -83,7 +98,6 @@ def process_orders(
     checkpoint: str,
     every: str | None = None,
     skip_broken: bool = False,
-    task_rows: int = TASK_ROWS,
 ) -> StreamingQuery:
     """Running total of each order, from a stream of order messages (value, seq) to a topic.
 
@@ -97,9 +111,7 @@ def process_orders(
     def publish_sales(totals: DataFrame, epoch: int) -> None:
         publish(sales_messages(totals), epoch)
 
-    return jobs.start_running(
-        parse(messages, "seq"), f"{checkpoint}-totals", publish_sales, checkpoint, every, task_rows
-    )
+    return jobs.start_running(parse(messages, "seq"), publish_sales, checkpoint, every)
 
 
 def print_topic(messages: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:

@@ -64,10 +64,51 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and its store."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Is there a file or folder of that name, in whatever store the path is."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    place, store = _place(spark, path)
+    return store.exists(place)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Give a file or folder the name `new`, which nothing has yet, in one step."""
+    place, store = _place(spark, old)
+    if exists(spark, new) or not store.rename(place, _place(spark, new)[0]):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what is in a folder; none if there is no such folder."""
+    place, store = _place(spark, folder)
+    return [entry.getPath().getName() for entry in store.listStatus(place)] if store.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all that is in it."""
+    place, store = _place(spark, path)
+    store.delete(place, True)
+
+
+def file_times(spark: SparkSession, folder: str) -> dict[str, int]:
+    """All files below a folder and the millisecond each was last written."""
+    place, store = _place(spark, folder)
+    found, files = {}, store.listFiles(place, True)
+    while files.hasNext():
+        file = files.next()
+        found[file.getPath().toString()] = file.getModificationTime()
+    return found
+
+
+def set_file_times(spark: SparkSession, times: dict[str, int]) -> None:
+    for file, time in times.items():
+        place, store = _place(spark, file)
+        store.setTimes(place, time, -1)
 
 
 def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

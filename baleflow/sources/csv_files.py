@@ -6,9 +6,13 @@ backslashes are part of it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from baleflow.session import names, remove, rename
+
 TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
 
 # How cells are quoted, for reader and writer.
@@ -43,6 +47,30 @@ def read_csv(
     )
 
 
+#: Columns of a line that `read_csv_leniently` cannot read: its file, and its text (null for others).
+FILE, LINE = "file", "line"
+
+
+def read_csv_leniently(spark: SparkSession, path: str, schema: str, null_value: str = "") -> DataFrame:
+    """As `read_csv`, with the columns FILE and LINE.
+
+    A line of a wrong number of cells, or with a cell of a wrong type, does not fail the job: it comes
+    with its text as LINE, and its other columns hold what could be read. Write the rows before they
+    are filtered: a plan that reads a part of the columns only does not look at the others.
+    """
+    rows = spark.read.options(**CELLS).csv(
+        path,
+        schema=f"{schema}, {LINE} STRING",
+        header=True,
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord=LINE,
+        nullValue=null_value,
+        enforceSchema=False,
+        dateFormat="yyyy-MM-dd",
+    )
+    return rows.withColumn(FILE, F.col("_metadata.file_path"))
+
+
 def write_csv(rows: DataFrame, path: str, multiline: bool = False) -> None:
     """Overwrite a folder of CSV files; nulls become empty cells.
 
@@ -60,3 +88,36 @@ def write_csv(rows: DataFrame, path: str, multiline: bool = False) -> None:
 def _one_line(name: str):
     message = F.concat(F.lit(f"line break in column {name}: "), F.col(name))
     return F.when(F.col(name).rlike(r"[\r\n]"), F.raise_error(message)).otherwise(F.col(name))
+
+
+VERSION = "version="
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    found = [name.removeprefix(VERSION) for name in names(spark, path) if name.startswith(VERSION)]
+    return sorted(map(int, found))
+
+
+def write_snapshot(rows: DataFrame, path: str, keep: int = 2, multiline: bool = False) -> None:
+    """Write CSV files as the next version below `path`.
+
+    A version gets its name when it is whole, so that `read_snapshot` finds the last whole one at any
+    time, also while the next is written or after a write that failed. The last `keep` versions stay,
+    for readers that have begun. Of two writers at once the later one fails.
+    """
+    spark = rows.sparkSession
+    hidden = f"{path}/_{uuid.uuid4().hex}"
+    write_csv(rows, hidden, multiline)
+    versions = _versions(spark, path)
+    number = versions[-1] + 1 if versions else 1
+    rename(spark, hidden, f"{path}/{VERSION}{number}")
+    for old in [*versions, number][:-keep]:
+        remove(spark, f"{path}/{VERSION}{old}")
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
+    """The last whole version, read as `read_csv` does."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no snapshot in {path}")
+    return read_csv(spark, f"{path}/{VERSION}{versions[-1]}", schema, **options)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from baleflow.operators.first_seen import PLACE, with_arrival
 from baleflow.operators.long_keys import TASK_ROWS, long_keys, number_long, number_short, split
 from baleflow.session import broadcast_if_small, tune, written
 
@@ -76,19 +77,33 @@ def long_orders(spark: SparkSession, sf_dir: str, task_rows: int = TASK_ROWS) ->
     return long_keys(_lines(spark, sf_dir), KEY, task_rows)
 
 
+def arriving_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders with `file`, `block` and `place`, which order the lines as they are stored."""
+    lines = with_arrival(tune(spark).read.parquet(f"{sf_dir}/lineitem.parquet"))
+    return _raw(lines.select(KEY, *ARRIVAL, *PLACE), _headers(spark, sf_dir), *PLACE)
+
+
 def numbered_lines(spark: SparkSession, sf_dir: str, task_rows: int = TASK_ROWS) -> DataFrame:
     """Raw orders with `seq`; `long` marks lines of orders of more than `task_rows` lines, if any.
 
-    `task_rows` is what one task may be given of one order; results do not depend on it. Lines are numbered before the join, so that numbering, join and a later window by id share
-    one shuffle. Long orders go another way, see `number_long`.
+    `task_rows` is what one task may be given of one order; results do not depend on it. Lines are
+    numbered before the join, so that numbering, join and a later window by id share one shuffle. Long
+    orders go another way, see `number_long`.
     """
-    lines, headers = _lines(spark, sf_dir), _headers(spark, sf_dir)
-    keys = long_keys(lines, KEY, task_rows)
+    keys = long_orders(spark, sf_dir, task_rows)
     if keys is None:
-        numbered = number_short(lines, KEY, ARRIVAL)
-        return _raw(numbered, headers, "seq")
+        numbered = number_short(_lines(spark, sf_dir), KEY, ARRIVAL)
+        return _raw(numbered, _headers(spark, sf_dir), "seq")
+    return mark_and_number(spark, sf_dir, keys, task_rows)
+
+
+def mark_and_number(
+    spark: SparkSession, sf_dir: str, keys: DataFrame, task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """Raw orders with `seq` and `long`, which marks lines of the orders in `keys`."""
     # Numbered at the scan, where it is repeatable: tells exact copies of a line apart.
-    lines = lines.withColumn("copy", F.monotonically_increasing_id())
+    lines = _lines(spark, sf_dir).withColumn("copy", F.monotonically_increasing_id())
+    headers = _headers(spark, sf_dir)
     short, long = split(lines, KEY, keys)
     short = number_short(short, KEY, ARRIVAL)
     long = number_long(long, KEY, [*ARRIVAL, "copy"], keys, task_rows)

@@ -1,49 +1,98 @@
-"""Per-record running totals on a stream: windows within a micro-batch, carried totals between them.
+"""Per-record running totals on a stream, in Spark's state store.
 
-A micro-batch is a batch: its records are summed as `totals.running_by_id` sums a table, so an id
-with more than `task_rows` records in it is cut into blocks and no task gets a whole long id. What
-the ids had summed up to before comes from a table that every micro-batch adds its changes to.
+The state has one value for a block of neighbouring ids: the sum and the latest time of each id of the
+block that was seen. A micro-batch reads and writes the blocks its messages belong to and no others, so
+its cost does not depend on how many ids there are. Ids go in blocks of IDS because a value costs a
+round trip between Python and the state store; neighbouring orders tend to come together.
+
+The records of a block that a micro-batch brings are put in order and summed in one task: at most as
+many as the micro-batch holds, which the source bounds (`topics.FILES_PER_TRIGGER` files of at most
+`topics.ROWS_PER_FILE` messages), also where one id has all of them. They are held as plain numbers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from array import array
+from collections.abc import Iterator
+
+import numpy as np
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from baleflow.operators.totals import with_time_text
+
+#: Ids whose totals share a value of the state.
+IDS = 64
+
+STATE = "ids ARRAY<BIGINT>, amounts ARRAY<BIGINT>, times ARRAY<BIGINT>"
+NUMBERED = "id BIGINT, seq BIGINT, amount BIGINT, time BIGINT"
+
+EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+LEAST, MOST = -(2**63), 2**63 - 1
 
-from baleflow.operators.long_keys import TASK_ROWS
-from baleflow.operators.totals import running_by_id, totals_by_id, with_time_text
-from baleflow.session import written
-from baleflow.streaming import epochs
 
-CARRIED = "id BIGINT, amount BIGINT, event_time TIMESTAMP_NTZ"
+def sums(amounts: np.ndarray, before: int) -> np.ndarray:
+    """Running sums on top of `before`; one beyond 64 bits fails."""
+    near = np.cumsum(amounts, dtype=np.float64) + float(before)
+    if np.abs(near).max(initial=0.0) < 2.0**62:
+        return np.cumsum(amounts) + before
+    out, total = np.empty(len(amounts), np.int64), before
+    for place, amount in enumerate(amounts.tolist()):
+        total += amount
+        if not LEAST <= total <= MOST:
+            raise OverflowError("overflow: a running total does not fit into 64 bits")
+        out[place] = total
+    return out
 
 
-def running_epoch(
-    sales: DataFrame, epoch: int, state: str, task_rows: int = TASK_ROWS
-) -> DataFrame:
-    """(id, seq, amount, event_time text) of a micro-batch of (id, seq, amount, event_time).
+class RunningTotals(StatefulProcessor):
+    """Sums and latest times of the ids of a block, one output for each record."""
 
-    Records of an id must come in `seq` order, 1 and up, from micro-batch to micro-batch; within
-    one they are put in order. `state` is the folder of the carried totals, which this adds to;
-    a micro-batch that runs again overwrites what it wrote and gives the same result.
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.totals = handle.getValueState("totals", STATE)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        columns = [array("q") for _ in range(4)]
+        for _, *values in rows:  # the block, by which they are grouped, is the first
+            for column, value in zip(columns, values):
+                column.append(value)
+        ids, seqs, amounts, times = (np.frombuffer(column, np.int64) for column in columns)
+        order = np.lexsort((seqs, ids))
+        ids, seqs, amounts, times = ids[order], seqs[order], amounts[order], times[order]
+        held = self.totals.get()
+        known = {} if held is None else {one: (a, t) for one, a, t in zip(*held)}
+        firsts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        out = Row("id", "seq", "amount", "time")
+        for first, end in zip(firsts.tolist(), [*firsts[1:].tolist(), len(ids)]):
+            number = int(ids[first])
+            amount, time = known.get(number, (0, LEAST))
+            totals = sums(amounts[first:end], amount)
+            latest = np.maximum(np.maximum.accumulate(times[first:end]), time)
+            known[number] = int(totals[-1]), int(latest[-1])
+            for seq, total, last in zip(seqs[first:end].tolist(), totals.tolist(), latest.tolist()):
+                yield out(number, seq, total, last)
+        values = list(known.values())
+        self.totals.update((list(known), [a for a, _ in values], [t for _, t in values]))
+
+    def close(self) -> None:
+        pass
+
+
+def running_totals(sales: DataFrame) -> DataFrame:
+    """(id, seq, amount, event_time text), one for each record of a stream of (id, seq, amount, event_time).
+
+    Records of an id must come in `seq` order from micro-batch to micro-batch; within one they are put
+    in order.
     """
-    spark = sales.sparkSession
-    records = written(sales.select("id", "seq", "amount", "event_time"), "records")
-    carried = epochs.before(spark, state, CARRIED, epoch).withColumnsRenamed(
-        {"amount": "carried_amount", "event_time": "carried_time"}
+    time = F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, event_time)")
+    numbers = sales.select(
+        F.expr(f"id div {IDS}").alias("block"),
+        *[F.col(name).cast("bigint").alias(name) for name in ("id", "seq", "amount")],
+        time.alias("time"),
+    )
+    return with_time_text(
+        numbers.groupBy("block")
+        .transformWithState(RunningTotals(), NUMBERED, "Append", "None")
+        .select("id", "seq", "amount", F.expr(f"timestampadd(MICROSECOND, time, {EPOCH})").alias("event_time"))
     )
-    own = totals_by_id(records)
-    # Only ids of this micro-batch are carried on; the others stay in the table as they are.
-    carried = written(carried.join(own.select("id"), "id", "left_semi"), "carried")
-
-    def carry(rows: DataFrame, *keep: str) -> DataFrame:
-        joined = rows.join(carried, "id", "left")
-        return joined.select(
-            "id",
-            *keep,
-            (F.col("amount") + F.coalesce("carried_amount", F.lit(0))).alias("amount"),
-            F.greatest("event_time", "carried_time").alias("event_time"),
-        )
-
-    epochs.write(spark, state, CARRIED, epoch, carry(own))
-    return with_time_text(carry(running_by_id(records, task_rows), "seq"))

@@ -2,9 +2,27 @@
 
 import pytest
 
+from baleflow.functions.lookups import look_up_in
+from baleflow.operators.first_seen import first_seen, with_arrival
 from baleflow.session import new_dir
-from baleflow.sources.csv_files import read_csv, write_csv
-from baleflow.sources.tables import create_table, jdbc_options, load_csv
+from baleflow.sources import csv_files, tables
+from baleflow.sources.csv_files import (
+    read_csv,
+    read_csv_leniently,
+    read_snapshot,
+    write_csv,
+    write_snapshot,
+)
+from baleflow.sources.tables import (
+    check_table,
+    create_table,
+    jdbc_options,
+    load_csv,
+    load_key,
+    load_once,
+    loaded_rows,
+    loads,
+)
 
 SCHEMA = "id STRING, prdtid STRING, uom STRING, price INT"
 
@@ -121,3 +139,125 @@ def test_location_may_hold_a_quote(spark, tmp_path, table):
 def test_jdbc_scan_is_split():
     options = jdbc_options("jdbc:postgresql://host/db", "orders", "id", 0, 100, 8)
     assert options["partitionColumn"] == "id" and options["numPartitions"] == "8"
+
+
+def test_existing_table_of_other_columns_is_refused(spark, tmp_path, table):
+    """Also where every value would fit: texts would land in each other's columns."""
+    path = csv_file(tmp_path, "PRC1,AJA001,Bale,1250")
+    declared = tables.TABLES["pricelist"]
+    swapped = declared.replace("prdtid", "x").replace("uom", "prdtid").replace("x VARCHAR", "uom VARCHAR")
+    create_table(spark, table, swapped)
+    with pytest.raises(ValueError, match="has columns"):
+        load_csv(spark, table, path, "pricelist")
+    assert spark.table(table).count() == 0
+    for other in (declared.replace("VARCHAR(10)", "VARCHAR(20)"), declared.replace("INTEGER", "BIGINT").replace(" INT", " BIGINT"), declared + ", more INT"):
+        spark.sql(f"DROP TABLE {table}")
+        create_table(spark, table, other)
+        with pytest.raises(ValueError, match="has columns"):
+            check_table(spark, table, declared)
+    spark.sql(f"DROP TABLE {table}")
+    create_table(spark, table, declared)
+    check_table(spark, table, declared)
+
+
+ROWS = ["PRC1,AJA001,Bale,1250", "PRC1,ZZZ999,Bale,"]
+
+
+def test_load_is_done_once(spark, tmp_path, table):
+    location = new_dir(spark, "once")
+    path = csv_file(tmp_path, *ROWS)
+    for _ in range(3):
+        loaded = load_once(spark, table, path, "pricelist", location)
+    assert loaded.columns == ["id", "prdtid", "uom", "price"] and loaded.count() == 2
+    (entry,) = loads(spark, location).collect()
+    assert (entry.load, entry.source, entry.rows) == (load_key(spark, path), path, 2)
+    # Files of another size are another load.
+    csv_file(tmp_path, *ROWS, "PRC1,SOK001,Bale,1230")
+    assert load_once(spark, table, path, "pricelist", location).count() == 5
+    assert loaded_rows(spark, location, "pricelist").count() == 5
+    assert sorted(row.rows for row in loads(spark, location).collect()) == [2, 3]
+
+
+@pytest.mark.parametrize("step", ["rename", "add"])
+def test_load_killed_and_run_again_gives_each_row_once(spark, tmp_path, table, monkeypatch, step):
+    """Killed when the rows are written aside, and before the catalog knows the load."""
+    location = new_dir(spark, "once")
+    path = csv_file(tmp_path, *ROWS)
+    plain = tables.rename
+
+    def killed(*args):
+        if step == "add":
+            plain(*args)
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "rename", killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            load_once(spark, table, path, "pricelist", location)
+    assert spark.table(table).count() == 0
+    for _ in range(2):
+        assert load_once(spark, table, path, "pricelist", location).count() == 2
+
+
+def test_load_once_refuses_too_long_codes_and_adds_nothing(spark, tmp_path, table):
+    path = csv_file(tmp_path, "PRC1,ABCDEFGHIJK,Bale,1")
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        load_once(spark, table, path, "pricelist")
+    assert spark.table(table).count() == 0
+
+
+def test_first_seen_order(spark, tmp_path):
+    """Over several files by name, and several blocks of a file; null is a value."""
+    (tmp_path / "csv").mkdir()
+    words = {"b.csv": ["x", "d", "NULL", "a"], "a.csv": ["c", "a", "c"] + ["b"] * 3000 + ["x"]}
+    for name, values in words.items():
+        (tmp_path / "csv" / name).write_text("t\n" + "\n".join(values) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        rows = read_csv(spark, str(tmp_path / "csv"), "t STRING", null_value="NULL")
+        found = first_seen(with_arrival(rows), "t").orderBy("first_seen").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [tuple(row) for row in found] == [("c", 1), ("a", 2), ("b", 3), ("x", 4), ("d", 5), (None, 6)]
+
+
+def test_broken_lines_come_with_their_text(spark, tmp_path):
+    path = csv_file(tmp_path, "a,b,c,1", "a,b,c", "a,b,c,1,2", "a,b,c,x", '"q,1",b,,2')
+    rows = read_csv_leniently(spark, path, SCHEMA).collect()
+    assert [row.line for row in rows] == [None, "a,b,c", "a,b,c,1,2", "a,b,c,x", None]
+    assert rows[4].id == "q,1" and rows[4].price == 2
+    assert all(row.file.endswith("/in.csv") for row in rows)
+
+
+def test_lookup_in_a_table(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "z"), (4, None), (5, "n")], "k INT, code STRING")
+    table = [("a", 1), ("a", 1), ("b", 2), (None, 9), ("n", None)]
+    prices = spark.createDataFrame(table, "name STRING, price INT")
+    found = look_up_in(rows, "code", prices, "name", "price").orderBy("k").collect()
+    assert [(row.k, row.price) for row in found] == [(1, 1), (2, 2), (3, None), (4, None), (5, None)]
+    with pytest.raises(Exception, match="two values of price for name a"):
+        look_up_in(rows, "code", spark.createDataFrame([*table, ("a", 3)], prices.schema), "name", "price")
+
+
+def test_snapshot_is_whole_at_any_time(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "Orders.csv")
+    frame = lambda n: spark.createDataFrame([(k,) for k in range(n)], "id INT")
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, path, "id INT")
+    write_snapshot(frame(3), path)
+    assert read_snapshot(spark, path, "id INT").count() == 3
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(csv_files, "rename", killed)
+        with pytest.raises(RuntimeError):
+            write_snapshot(frame(5), path)
+    begun = read_snapshot(spark, path, "id INT")
+    write_snapshot(frame(4), path)
+    assert begun.count() == 3 and read_snapshot(spark, path, "id INT").count() == 4
+    write_snapshot(frame(6), path)
+    versions = sorted(p.name for p in (tmp_path / "Orders.csv").iterdir() if p.name.startswith("version"))
+    assert versions == ["version=2", "version=3"]

@@ -82,6 +82,45 @@ def test_bad_lines_are_set_aside_or_fail(spark, tmp_path):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_broken_cells_are_set_aside_with_their_line(spark, tmp_path):
+    (tmp_path / "orders.csv").write_text(RAW + "6,C6,23/02/03,08:00:00,AJA001\n7,C7,23/02/03,08:00:00,AJA001,x\n")
+    args = (spark, str(tmp_path / "orders.csv"), str(tmp_path / "out"))
+    try:
+        loaded = workflow.prepare_and_load(*args, set_aside=True)
+        assert {name: table.count() for name, table in loaded.items()} == dict.fromkeys(loaded, 5)
+        rejected = spark.read.csv(f"{tmp_path}/out/Rejected.csv", header=True).collect()
+        lines = ["6,C6,23/02/03,08:00:00,AJA001", "7,C7,23/02/03,08:00:00,AJA001,x"]
+        assert sorted(row.line for row in rejected) == lines
+        assert all(row.file.endswith("/orders.csv") for row in rejected)
+    finally:
+        for name in ("orders", "products", "pricelist"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_loads_that_stopped_are_finished_once(spark, tmp_path, monkeypatch):
+    """Stopped at the second of three tables: the first is not loaded again."""
+    (tmp_path / "orders.csv").write_text(RAW)
+    args = (spark, str(tmp_path / "orders.csv"), str(tmp_path / "out"))
+    plain = workflow.load_once
+
+    def stopping(spark, name, *rest, **options):
+        if name == "products":
+            raise RuntimeError("stopped")
+        return plain(spark, name, *rest, **options)
+
+    try:
+        with monkeypatch.context() as patch:
+            patch.setattr(workflow, "load_once", stopping)
+            with pytest.raises(RuntimeError, match="stopped"):
+                workflow.prepare_and_load(*args, once=True)
+        for _ in range(2):
+            loaded = workflow.prepare_and_load(*args, once=True)
+            assert {name: table.count() for name, table in loaded.items()} == dict.fromkeys(loaded, 5)
+    finally:
+        for name in ("orders", "products", "pricelist"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_broken_messages_are_skipped_or_fail(spark):
     orders, sales = new_dir(spark, "orders"), new_dir(spark, "sales")
     values = ['{"id":1,"amount":5,"event_time":"2023-01-05 08:14:00"}', '{"id":1']
