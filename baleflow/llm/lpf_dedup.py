@@ -15,11 +15,14 @@ bytes they cover its context; there is about one run for every `length` / 2 byte
    Spark, by hash, which gives the same answer.
 
 Either every copy goes, or (keep_first) those that have an earlier match, in the order of doc_id and
-place. Equality is decided by 64-bit hashes of equal-marked strings; within a task also by bytes.
+place. The factors decide both: a window that has a factor of at least `length` is a later copy, and one
+that such a factor leads to is its source. Whole contexts are taken as equal by two 64-bit hashes, of the
+mark and of all of their bytes; windows of one task by their bytes.
 
 Defined results: a null text is empty and keeps no byte; rows that repeat hold copies of each other,
-each row with its own result; a row without doc_id stands before all others; an empty table gives no
-rows; columns other than doc_id and text are not read.
+each row with its own result; rows of one doc_id are told apart by a 64-bit hash of their text, and a
+row without doc_id has two of them, of which the first is its place in the order; an empty table gives
+no rows; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -49,8 +52,8 @@ TABLE = mixed(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
 BASE = int(GOLDEN) | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
-RUNS = "key long, twin int, mark long, content long, start long, windows int, behind int"
-SPANS = "key long, twin int, first long, last long"
+RUNS = "key long, twin long, mark long, content long, start long, windows int, behind int"
+SPANS = "key long, twin long, first long, last long"
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -272,9 +275,13 @@ def repeated_windows(contexts: list[bytes], windows: np.ndarray, rank: np.ndarra
     new = np.concatenate([[True], groups[1:] != groups[:-1]])
     prefix = np.where(new, between[groups], length)
     order = np.argsort(np.argsort(positions[suffix_order], kind="stable"), kind="stable")
-    factors = longest_previous_factors(order, prefix)
-    repeated[chosen] = True
-    later[chosen[suffix_order]] = factors >= length
+    copies = longest_previous_factors(order, prefix) >= length
+    later[chosen[suffix_order]] = copies
+    # Suffixes that share as many bytes with the one before stand together: where a factor of one of
+    # them is long enough, the earliest is what it leads to.
+    begins = np.flatnonzero(np.r_[True, prefix[1:] < length])
+    has_copy = np.logical_or.reduceat(copies, begins)
+    repeated[chosen[suffix_order]] = np.repeat(has_copy, np.diff(np.r_[begins, len(copies)]))
     return repeated, later
 
 
@@ -363,11 +370,12 @@ def window_hashes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """key, twin and text: doc_id, and a number that tells rows of one doc_id apart by text."""
+    """key, twin and text: doc_id, or a hash of the text of a row without one, and another hash of the
+    text, which tells rows of one doc_id apart."""
     text = F.coalesce("text", F.lit(""))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no doc_id"), text))
     return docs.select(
-        key.alias("key"), F.hash(text).alias("twin"), text.alias("text"),
+        key.alias("key"), F.xxhash64(text).alias("twin"), text.alias("text"),
         F.col("doc_id").cast("long").alias("doc_id"),
     )
 
@@ -408,13 +416,13 @@ def read_contexts(texts: DataFrame, chosen: DataFrame, length: int) -> DataFrame
             yield context_batch(out)
 
     schema = (
-        "mark long, key long, twin int, start long, windows int, n long, contexts long, bytes binary"
+        "mark long, key long, twin long, start long, windows int, n long, contexts long, bytes binary"
     )
     return joined.mapInArrow(run, schema).dropDuplicates(["mark", "key", "twin", "start"])
 
 
 def context_batch(out: dict[str, list]) -> pa.RecordBatch:
-    kinds = {"twin": pa.int32(), "windows": pa.int32(), "bytes": pa.binary()}
+    kinds = {"windows": pa.int32(), "bytes": pa.binary()}
     batch = pa.RecordBatch.from_pydict(
         {name: pa.array(values, kinds.get(name, pa.int64())) for name, values in out.items()}
     )
@@ -474,7 +482,7 @@ def spans_to_remove(
     )
     windows = many.mapInArrow(
         lambda batches: window_hashes(batches, length),
-        "mark long, hash long, key long, twin int, at long, single boolean",
+        "mark long, hash long, key long, twin long, at long, single boolean",
     )
     at = F.struct("key", "twin", "at")
     equal = windows.groupBy("mark", "hash").agg(F.count("*").alias("n"), F.min(at).alias("one"))

@@ -1,6 +1,7 @@
 """Near duplicates, repeated bytes, recurring lines and contamination, against brute force."""
 
 import collections
+import hashlib
 
 import numpy as np
 import pytest
@@ -73,6 +74,20 @@ def test_repeated_bytes(edge_docs, edges, keep_first, mark_contexts):
         assert got == sorted((doc_id, *one) for (doc_id, _), one in zip(edges, want))
 
 
+def test_texts_without_id_whose_short_hashes_meet(spark):
+    """Two of them share a 32-bit hash; a third document shares 260 bytes with the first one only."""
+    parts = [F.sha2(F.concat(F.col("id").cast("string"), F.lit(f" {k}")), 256) for k in range(7)]
+    hashed = spark.range(300_000).select(F.concat(*parts).alias("text")).withColumn("h", F.hash("text"))
+    met = hashed.groupBy("h").agg(F.sort_array(F.collect_list("text")).alias("t")).where("size(t) > 1")
+    first, other = met.first().t[:2]
+    rows = [(None, first), (None, other), (7, first[:260] + "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lpf_dedup.digest(lpf_dedup.removed(docs, 200, False)).collect()
+    assert sorted((r.n_bytes, r.n_removed) for r in got) == [(261, 260), (448, 0), (448, 260)]
+    kept = {row.kept_sha256 for row in got if row.n_bytes == 448}
+    assert hashlib.sha256(other.encode()).hexdigest() in kept
+
+
 def test_long_texts_are_marked_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(lpf_dedup, "PORTION", 700)
     rng = np.random.default_rng(2)
