@@ -43,7 +43,7 @@ DEPTH = 3
 SIMILAR = 0.7
 MIN_DOCS = 3
 
-PARSED = "key long, twin int, leaf long, line long, whole long"
+PARSED = "key long, twin long, leaf long, line long, whole long"
 
 
 def lines_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -137,13 +137,14 @@ def word_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def identified(docs: DataFrame) -> DataFrame:
     """key, twin and text of the documents, whether it was null, and their other columns as `row`.
 
-    key is the doc_id; twin tells rows of one doc_id apart by their text.
+    key is the doc_id, or a hash of the text where there is none; twin is another hash of the text, and
+    tells rows of one doc_id apart.
     """
     text = F.coalesce("text", F.lit(""))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no doc_id"), text))
     others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"])
     return docs.select(
-        key.alias("key"), F.hash(text).alias("twin"), text.alias("text"),
+        key.alias("key"), F.xxhash64(text).alias("twin"), text.alias("text"),
         F.col("text").isNull().alias("missing"), others.alias("row"),
     )
 
