@@ -3,7 +3,8 @@
 Documents are cut into pieces of at most `capacity` tokens. Pieces are dealt at random into groups
 of about `group_pieces`, so a group's work is bounded whatever the input holds; each group packs its
 pieces best-fit, longest first, and then lets underfull bins exchange pieces (move, one for one,
-two for one) as long as that increases the sum of squared fills, until bins run empty.
+two for one) as long as that increases the sum of squared fills, until bins run empty and no underfull
+bin of the group can be bettered.
 
 Defined results: a null text is an empty document, of the end id alone; rows are packed each for
 itself, also when they repeat or their doc_id is null; an empty table gives no pieces; columns
@@ -27,9 +28,6 @@ from baleflow.session import written
 
 #: Pieces that are packed together; a group loses at most about one bin against one large group.
 GROUP_PIECES = 20_000
-#: Rounds of the local search over the emptiest bins of a group, and how many bins a round tries.
-ROUNDS = 4
-EMPTIEST = 64
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -152,18 +150,21 @@ class LocalSearch:
             self.move(item, target)
         return True
 
-    def run(self, rounds: int, emptiest: int) -> list[list[int]]:
-        for _ in range(rounds):
-            order = np.argsort(self.fill, kind="stable")
-            order = order[(self.fill[order] > 0) & (self.fill[order] < self.capacity)][:emptiest]
+    def run(self) -> list[list[int]]:
+        """Exchange until no underfull bin can be bettered, the emptiest ones first.
+
+        An exchange changes what others can do, so all underfull bins are tried again after a round
+        that had one. Each increases the sum of squared fills, so this ends.
+        """
+        changed = True
+        while changed:
             changed = False
+            order = np.argsort(self.fill, kind="stable")
+            order = order[(self.fill[order] > 0) & (self.fill[order] < self.capacity)]
             for source in order.tolist():
-                # Each exchange increases the sum of squared fills, so this ends.
                 while self.fill[source] and self.better(source):
                     changed = True
             self.tally()
-            if not changed:
-                break
         return [items for items in self.bins if items]
 
 
@@ -171,7 +172,7 @@ def pack_group(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
     """The pieces of a group with their bin (as sequence_id) and their offset in it."""
     group = group.sort_values(["doc_id", "piece", "ids_crc32"], ignore_index=True)
     lengths = group["length"].to_numpy()
-    bins = LocalSearch(best_fit(lengths, capacity), lengths, capacity).run(ROUNDS, EMPTIEST)
+    bins = LocalSearch(best_fit(lengths, capacity), lengths, capacity).run()
     order = np.concatenate([np.array(items, np.int64) for items in bins])
     counts = np.array([len(items) for items in bins])
     number = np.repeat(np.arange(len(bins)), counts)

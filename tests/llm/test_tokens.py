@@ -79,17 +79,29 @@ def test_local_search_only_betters(seed):
     lengths = rng.integers(1, [400, 900, 1500, 2048][seed], 700)
     plain = packing.best_fit(lengths, 2048)
     fill = lambda bins: sum(int(lengths[b].sum()) ** 2 for b in bins)
-    searched = packing.LocalSearch([list(b) for b in plain], lengths, 2048).run(8, 64)
+    search = packing.LocalSearch([list(b) for b in plain], lengths, 2048)
+    searched = search.run()
     assert sorted(item for b in searched for item in b) == list(range(700))
     assert max(lengths[b].sum() for b in searched) <= 2048
     assert len(searched) <= len(plain) and fill(searched) >= fill(plain)
+    # Nothing is left to better, whichever bin is asked.
+    underfull = np.flatnonzero((search.fill > 0) & (search.fill < 2048)).tolist()
+    assert not any(search.better(source) for source in underfull)
+
+
+def test_search_saves_sequences_where_best_fit_does_not():
+    """4,000 pieces of a seventh to a half of the capacity: 1,414 bins by best fit, 1,376 at least."""
+    lengths = np.random.default_rng(1).integers(300, 1101, 4000)
+    plain = packing.best_fit(lengths, 2048)
+    searched = packing.LocalSearch([list(b) for b in plain], lengths, 2048).run()
+    assert len(searched) <= len(plain) - 20 and len(searched) <= 1.015 * -(-lengths.sum() // 2048)
 
 
 def test_exchanges_empty_a_bin():
     # Best fit leaves 6+3 and 5+4 in the way of 6+4 and 5+3+2.
     lengths = np.array([6, 5, 4, 3, 2])
     bins = [[0, 3], [1, 2], [4]]
-    assert len(packing.LocalSearch(bins, lengths, 10).run(4, 8)) == 2
+    assert len(packing.LocalSearch(bins, lengths, 10).run()) == 2
 
 
 def test_files_hold_all_ids(spark, edge_docs, edges):
