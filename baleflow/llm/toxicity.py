@@ -1,14 +1,16 @@
 """Toxicity by compression distance: window lengths under two zstandard dictionaries.
 
-One dictionary is trained on ordinary text. The other holds the same base and, next to the window, a
-dictionary trained on words whose beginnings many toxic documents share and ordinary ones lack. Text
-is compared in windows of a few words: the bytes a window saves under the toxic dictionary are its
-compression distance. The number of windows at each distance feeds a logistic calibration, fitted on
-documents that the dictionaries in use have not seen.
-
-The model is fitted on the driver, on a bounded sample of labelled rows (SAMPLE rows of each class,
-the rows of smallest hash); the class shares it is calibrated to are counted over all labelled rows.
-Scores are computed for all documents, over their whole texts.
+A window is a word with the blanks around it. The ordinary dictionary is trained on passages of ordinary
+text. The toxic one holds the same base and, next to the window, the windows of toxic text that are its
+own: those of at least AT_LEAST toxic documents and LIFT times the ordinary share of documents, or a
+dictionary trained on them where they are more than it holds. The bytes a window saves under the toxic
+dictionary are its compression distance. The number of windows at each distance feeds a logistic
+calibration, fitted on documents that the dictionaries in use have not seen.
+
+The model is fitted on the driver, on a bounded sample of labelled rows (SAMPLE rows of each class, the
+rows of smallest hash, of SAMPLE_BYTES together at most: a text that would pass that is left out); the
+class shares it is calibrated to are counted over all labelled rows. Scores are computed for all
+documents, over their whole texts; a window that repeats in a slice of texts is compressed once.
 
 Defined results: a null or empty text has no windows and gets the score of such a text; rows that
 repeat, or without doc_id, are scored each for itself; without labels of both classes every score is
@@ -17,34 +19,43 @@ repeat, or without doc_id, are scored each for itself; without labels of both cl
 
 from __future__ import annotations
 
+import collections
 import dataclasses
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from baleflow.llm.common import ids_and_texts, mixed, one_array, ragged, ready, slices, to_batches
+from baleflow.llm.common import (
+    ids_and_texts, one_array, ready, shingle_hashes, slices, split_words, to_batches
+)
+from baleflow.session import written
 
 #: Labelled rows of a class that the model is fitted on, at most: (ordinary, toxic).
 SAMPLE = (4500, 1500)
-#: Words in a window.
-WORDS = 2
+#: Bytes of text of a class that reach the driver, at most.
+SAMPLE_BYTES = 64_000_000
 #: Bytes of the two trained dictionaries.
-BASE_BYTES, TOXIC_BYTES = 8192, 3072
-#: A beginning of a word, of so many bytes with the blank before it, tells toxic text if so large a
-#: share of the toxic documents has it, so many at least, and so many times the ordinary share.
-BEGINNING = 6
-SHARE, AT_LEAST, LIFT = 0.01, 3, 20
-#: Texts are cut into windows in portions of so many bytes.
-PORTION = 500_000
+BASE_BYTES, TOXIC_BYTES = 8192, 16384
+#: Passages of ordinary text, of so many words, that its dictionary is trained on: the ones of smallest
+#: hash among all of the sample.
+PASSAGE, PASSAGES = 8, 20_000
+#: A window is toxic text's own if so many toxic documents have it, so many times the ordinary share.
+AT_LEAST, LIFT = 3, 30
 #: A score from which on a document counts as toxic.
 THRESHOLD = 0.7
-#: Distances that are counted apart.
-DISTANCES = 7
+#: Distances that are counted apart, and the largest that is told from larger ones.
+DISTANCES, LARGEST = 12, 16
+#: Bytes of a compressed window that is in a dictionary as a whole, with what stands behind it.
+SHORT = 21
+#: The threshold is set where so large a share of the ordinary rows lies above it, though not below so
+#: low a calibrated probability.
+FALSE_ALARMS, LEAST = 0.004, 0.3
 
 # Behind every window stands this text, which both dictionaries end on or hold: zstandard looks for
 # no match in the last bytes of a frame, and stores a frame as it is if little is saved.
@@ -72,80 +83,35 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=held, compression_params=parameters)
 
 
-def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in ASCII lower case, a blank before each and one at the end; where each begins."""
-    lower = pc.ascii_lower(texts)
-    offsets = np.frombuffer(lower.buffers()[1], np.int32)[lower.offset :][: len(lower) + 1]
-    data = np.frombuffer(lower.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets.astype(np.int64) - offsets[0]
-    data = np.insert(data, offsets, 32)
-    data = np.where((data >= 9) & (data <= 13), np.uint8(32), data)
-    return data, offsets + np.arange(len(offsets))
-
-
-def word_starts(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where words start, and the text each belongs to."""
-    blank = data == 32
-    starts = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
-    return starts, np.searchsorted(begins, starts, side="right") - 1
-
-
-def windows(data: np.ndarray, begins: np.ndarray, words: int):
-    """Start, length and text of windows of `words` words, with the blanks around them."""
-    starts, text = word_starts(data, begins)
-    first = np.searchsorted(starts, begins)
-    chosen = (np.arange(len(starts)) - first[text]) % words == 0
-    ws, wt = starts[chosen] - 1, text[chosen]
-    ends = np.minimum(np.r_[ws[1:] + 1, len(data)], begins[wt + 1] + 1) if len(ws) else ws
-    return ws, ends - ws, wt
-
-
-def distances(data, starts, lengths, ordinary, toxic) -> np.ndarray:
-    """Bytes that each window saves under the toxic dictionary."""
-    if not len(starts):
+def distances(words: pa.Array, ordinary, toxic) -> np.ndarray:
+    """Bytes that the window of each word saves under the toxic dictionary; none where what is left is
+    longer than SHORT, as then only a part of the window is in it."""
+    if not len(words):
         return np.empty(0, np.int64)
-    total = lengths + len(TAIL)
-    places = ragged(starts, total)
-    ends = np.cumsum(total)
-    data = np.concatenate([data, np.zeros(len(TAIL), np.uint8)])
-    frames = data[places]
-    tails = (ends[:, None] - np.arange(len(TAIL), 0, -1)).ravel()
-    frames[tails] = np.tile(np.frombuffer(TAIL, np.uint8), len(starts))
-    segments = np.column_stack([ends - total, total]).astype(np.uint64).tobytes()
-    held = frames.tobytes()
+    framed = [b" " + word.encode() + b" " + TAIL for word in words.to_pylist()]
+    total = np.array([len(one) for one in framed], np.uint64)
+    segments = np.column_stack([np.cumsum(total) - total, total]).tobytes()
+    held = b"".join(framed)
 
     def sizes(one: zstandard.ZstdCompressor) -> np.ndarray:
         out = one.multi_compress_to_buffer(zstandard.BufferWithSegments(held, segments), threads=1)
-        return np.fromiter((len(out[i]) for i in range(len(starts))), np.int64, len(starts))
-
-    return sizes(ordinary) - sizes(toxic)
+        return np.fromiter((len(out[i]) for i in range(len(framed))), np.int64, len(framed))
 
-
-def portions(texts: pa.Array) -> Iterator[pa.Array]:
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(False))
-    first = 0
-    while first < len(texts):
-        before = int(ends[first - 1]) if first else 0
-        last = max(first + 1, int(np.searchsorted(ends, before + PORTION)))
-        yield texts.slice(first, last - first)
-        first = last
+    left = sizes(toxic)
+    return np.where(left <= SHORT, sizes(ordinary) - left, 0)
 
 
 def counted(texts: pa.Array, ordinary, toxic) -> np.ndarray:
     """Per text the number of windows, and of windows of at least each distance, and the largest."""
-    out = []
-    for portion in portions(texts):
-        data, begins = text_bytes(portion)
-        starts, lengths, text = windows(data, begins, WORDS)
-        far = distances(data, starts, lengths, ordinary, toxic)
-        n = len(portion)
-        columns = [np.bincount(text, minlength=n)]
-        for least in range(1, DISTANCES + 1):
-            columns.append(np.bincount(text[far >= least], minlength=n))
-        largest = np.zeros(n, np.int64)
-        np.maximum.at(largest, text, far)
-        out.append(np.column_stack([*columns, largest]))
-    return np.concatenate(out) if out else np.zeros((0, DISTANCES + 2), np.int64)
+    codes, words, counts = split_words(texts)
+    text = np.repeat(np.arange(len(texts)), counts)
+    far = distances(words, ordinary, toxic)[codes] if len(codes) else np.empty(0, np.int64)
+    columns = [counts]
+    for least in range(1, DISTANCES + 1):
+        columns.append(np.bincount(text[far >= least], minlength=len(texts)))
+    largest = np.zeros(len(texts), np.int64)
+    np.maximum.at(largest, text, far)
+    return np.column_stack([*columns, largest])
 
 
 def features(counts: np.ndarray) -> np.ndarray:
@@ -157,7 +123,7 @@ def features(counts: np.ndarray) -> np.ndarray:
             np.log1p(by_distance),
             np.minimum(by_distance[:, 1:], 2),
             by_distance[:, 1:] / np.maximum(n, 10) * 10,
-            np.minimum(largest, 10),
+            np.minimum(largest, LARGEST),
         ]
     ).astype(float)
 
@@ -172,76 +138,35 @@ def logistic(x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return w
 
 
-def beginnings(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first bytes of each word as a number, and the text of the word."""
-    starts, text = word_starts(data, begins)
-    inside = starts - 1 + BEGINNING <= len(data)
-    starts, text = starts[inside], text[inside]
-    number = np.zeros(len(starts), np.uint64)
-    for k in range(BEGINNING):
-        number = (number << np.uint64(8)) | data[starts - 1 + k].astype(np.uint64)
-    return number, text
-
-
 def unlike(texts: list[str]) -> list[str]:
     """Texts without exact copies, and without most near copies: one for each smallest hash."""
     seen, out = set(), []
     for text in dict.fromkeys(texts):
-        data, begins = text_bytes(pa.array([text]))
-        number, _ = beginnings(data, begins)
-        runs = mixed(number[:-2] ^ mixed(number[1:-1]) ^ mixed(mixed(number[2:])))
-        key = int(runs.min()) if len(runs) else text
+        shingles, _ = shingle_hashes(pa.array([text], pa.string()), 3)
+        key = int(shingles.min()) if len(shingles) else text
         if key not in seen:
             seen.add(key)
             out.append(text)
     return out
 
 
-def shares(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Beginnings of words, and the number of texts that have each."""
-    found, held = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for portion in portions(pa.array(texts, pa.string())):
-        number, text = beginnings(*text_bytes(portion))
-        # One row for each beginning and text.
-        order = np.lexsort((text, number))
-        number, text = number[order], text[order]
-        new = np.ones(len(number), bool)
-        new[1:] = (number[1:] != number[:-1]) | (text[1:] != text[:-1])
-        own, counts = np.unique(number[new], return_counts=True)
-        found.append(own)
-        held.append(counts)
-    numbers, places = np.unique(np.concatenate(found), return_inverse=True)
-    return numbers, np.bincount(places, np.concatenate(held), len(numbers)).astype(np.int64)
-
-
-def telling_words(texts: list[str], telling: np.ndarray, most: int) -> list[bytes]:
-    """Words, with the blanks around them, whose beginning is a telling one; the first ones."""
-    out: list[bytes] = []
-    for portion in portions(pa.array(texts, pa.string())):
-        data, begins = text_bytes(portion)
-        number, _ = beginnings(data, begins)
-        starts = word_starts(data, begins)[0][: len(number)]
-        blanks = np.flatnonzero(data == 32)
-        held = data.tobytes()
-        for start in starts[np.isin(number, telling)].tolist():
-            end = int(blanks[np.searchsorted(blanks, start)]) + 1
-            out.append(held[start - 1 : min(end, start + 31)])
-        if len(out) >= most:
-            break
-    return out[:most]
-
-
-def plain_windows(texts: list[str], most: int) -> list[bytes]:
-    """Distinct windows of eight words; the first ones."""
-    out: dict[bytes, None] = {}
-    for portion in portions(pa.array(texts, pa.string())):
-        data, begins = text_bytes(portion)
-        starts, lengths, _ = windows(data, begins, 8)
-        held = data.tobytes()
-        out.update(dict.fromkeys(held[a : a + n] for a, n in zip(starts.tolist(), lengths.tolist())))
-        if len(out) >= most:
-            break
-    return list(out)[:most]
+def shares(texts: list[str]) -> collections.Counter:
+    """Words, and the number of texts that have each."""
+    held = collections.Counter()
+    for text in texts:
+        held.update(split_words(pa.array([text], pa.string()))[1].to_pylist())
+    return held
+
+
+def passages(texts: list[str]) -> list[bytes]:
+    """Distinct passages of PASSAGE words; at most PASSAGES, those of smallest hash."""
+    out: dict[int, bytes] = {}
+    for text in texts:
+        words = text.lower().split()
+        for first in range(0, len(words), PASSAGE):
+            held = f" {' '.join(words[first : first + PASSAGE])} ".encode()
+            out[xxhash.xxh3_64_intdigest(held)] = held
+    return [out[key] for key in sorted(out)[:PASSAGES]]
 
 
 def trained(samples: list[bytes], size: int, **options) -> bytes:
@@ -255,20 +180,15 @@ def trained(samples: list[bytes], size: int, **options) -> bytes:
 
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     toxic, ordinary = unlike(toxic), unlike(ordinary)
-    numbers, counts = shares(toxic)
-    others, other_counts = shares(ordinary)
-    place = np.minimum(np.searchsorted(others, numbers), max(len(others) - 1, 0))
-    there = np.where(others[place] == numbers, other_counts[place], 0) if len(others) else 0 * counts
-    lift = (counts / max(len(toxic), 1)) / ((there + 0.5) / max(len(ordinary), 1))
-    telling = numbers[
-        (counts >= max(AT_LEAST, SHARE * len(toxic))) & (lift >= LIFT)
-    ]
-    # So many samples are enough for a dictionary; the trainer asks for longer ones than a word.
-    words = telling_words(toxic, telling, 8000)
-    pairs = [a + b for a, b in zip(words[::2], words[1::2])]
-    base = trained(plain_windows(ordinary, 20_000), BASE_BYTES, k=32, d=6)
-    added = trained(pairs, TOXIC_BYTES, k=16, d=6) if pairs else b""
-    return base, added
+    own, others = shares(toxic), shares(ordinary)
+    most = LIFT * len(toxic) / max(len(ordinary), 1)
+    telling = [word for word, n in own.items() if n >= AT_LEAST and n >= most * (others[word] + 0.5)]
+    # The most frequent ones last, nearest to the window that is compressed.
+    telling.sort(key=lambda word: (own[word], word))
+    windows = [f" {word} ".encode() for word in telling]
+    base = trained(passages(ordinary), BASE_BYTES, k=32, d=6)
+    added = b"".join(windows)
+    return base, added if len(added) <= TOXIC_BYTES else trained(windows, TOXIC_BYTES, k=16, d=6)
 
 
 def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
@@ -285,8 +205,18 @@ def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
             y.append(np.full(len(texts), label))
     x, y = np.concatenate(x), np.concatenate(y)
     weights = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
+    fitted = logistic(x, y, weights)
+    fitted[0] += allowance(x[y == 0] @ fitted)
     base, added = dictionaries(toxic, ordinary)
-    return Model(base, added, logistic(x, y, weights))
+    return Model(base, added, fitted)
+
+
+def allowance(ordinary: np.ndarray) -> float:
+    """What to add to every logit, so that THRESHOLD lies where ordinary rows allow it."""
+    logit = lambda p: float(np.log(p / (1 - p)))
+    # The largest logit that too many ordinary rows have: the threshold lies just above it.
+    most = np.sort(ordinary)[::-1][int(FALSE_ALARMS * len(ordinary))]
+    return max(0.0, logit(THRESHOLD) - max(float(most) + 1e-6, logit(LEAST)))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -294,7 +224,12 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> Model | None:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    sample: tuple[int, int] = SAMPLE,
+    most_bytes: int = SAMPLE_BYTES,
+) -> Model | None:
     """The model, or None where labels of a class are missing."""
     ready(docs.sparkSession)
     labelled = (
@@ -308,11 +243,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE)
     for label, rows in enumerate(sample):
         some = labelled.where(F.col("toxic") == label).select("doc_id")
         some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-        # At most `rows` numbers are broadcast, and as many texts collected.
+        # At most `rows` numbers are broadcast, as many sizes collected, and texts of so many bytes.
         found = ids_and_texts(docs).join(F.broadcast(some), "doc_id")
-        one_each = found.groupBy("doc_id").agg(F.min("text").alias("text"))
-        chosen = one_each.orderBy(F.xxhash64("doc_id"), "doc_id").select("text").collect()
-        texts.append([row["text"] for row in chosen if row["text"]])
+        one_each = written(found.groupBy("doc_id").agg(F.min("text").alias("text")), "labelled")
+        turn, size = F.xxhash64("doc_id"), F.octet_length("text").alias("size")
+        left, chosen = most_bytes, []
+        for row in one_each.select("doc_id", size).orderBy(turn, "doc_id").collect():
+            if row["size"] <= left:
+                left -= row["size"]
+                chosen.append((row["doc_id"],))
+        ids = docs.sparkSession.createDataFrame(chosen, "doc_id long")
+        held = one_each.join(F.broadcast(ids), "doc_id").orderBy(turn, "doc_id").select("text").collect()
+        texts.append([row["text"] for row in held if row["text"]])
     if not texts[0] or not texts[1]:
         return None
     return fit(texts[1], texts[0], counts[1] / (counts[0] + counts[1]))

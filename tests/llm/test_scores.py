@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import SMALL, base_spans, documents
 from check import oracle_rows, spark_rows
@@ -82,16 +83,55 @@ def test_toxicity_on_held_out_rows(spark):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     labelled = docs.join(labels, "doc_id", "left_semi")
-    model = toxicity.train(docs, labels, (1500, 500))
+    model = toxicity.train(docs, labels)
     scores = toxicity.score(labelled, model).withColumn("held", toxicity.held_out(F.col("doc_id")))
     got = scores.join(labels, "doc_id").where("held").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
     assert all(zlib.crc32(str(doc_id).encode()) % 3 == 1 for doc_id in got["doc_id"])
-    # Of this table's labels only those of English texts have a trace in the text.
     toxic, guess = got["toxic"] == 1, got["predicted"] == 1
-    assert guess[toxic & (got["lang"] == "en")].mean() > 0.7 and guess[~toxic].mean() < 0.01
+    assert guess[toxic].mean() >= 0.9 and guess[~toxic].mean() < 0.01
+    for lang in ("en", "de", "fr", "es"):
+        own = got["lang"] == lang
+        assert guess[toxic & own].mean() > 0.85 and guess[~toxic & own].mean() < 0.03, lang
     assert got["score"].between(0, 1).all()
 
 
+def test_distances_are_those_of_single_frames():
+    """Windows compressed together have the lengths they have one by one."""
+    words = [word for _, text in documents()[:20] for word in (text or "").split()][:3000]
+    base, added = b" ordinary text of the corpus " * 40, b" cretin  idiot  verdammter "
+    words += ["cretin", "idiot", "verdammter", "idiots", "", "x" * 5000]
+    pair = toxicity.Model(base, added, np.zeros(0)).compressors()
+    got = toxicity.distances(pa.array(words), *pair)
+    for word, far in zip(words, got.tolist()):
+        ordinary, toxic = (len(one.compress(b" " + word.encode() + b" " + toxicity.TAIL)) for one in pair)
+        assert far == (ordinary - toxic if toxic <= toxicity.SHORT else 0)
+    assert min(got[words.index(word)] for word in ("cretin", "verdammter")) > 0
+
+
+def test_threshold_lies_above_the_ordinary_rows():
+    logits = np.r_[np.full(990, -6.0), np.linspace(-1, 0.4, 10)]
+    shift = toxicity.allowance(logits)
+    above = (logits + shift >= np.log(0.7 / 0.3)).mean()
+    assert shift > 0 and above <= toxicity.FALSE_ALARMS
+    assert toxicity.allowance(np.full(1000, -9.0)) == pytest.approx(np.log(0.7 / 0.3) - np.log(0.3 / 0.7))
+    assert toxicity.allowance(np.full(1000, 5.0)) == 0
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    rows = [(k, "long " * 4000 if k % 5 == 0 else f"text number {k} of some words") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    seen = []
+    plain = toxicity.fit
+    toxicity.fit = lambda toxic, ordinary, share: seen.append((toxic, ordinary))
+    try:
+        toxicity.train(docs, labels, most_bytes=5000)
+    finally:
+        toxicity.fit = plain
+    assert all(0 < sum(len(text) for text in texts) <= 5000 for texts in seen[0])
+    assert not any(text.startswith("long") for texts in seen[0] for text in texts)
+
+
 def test_toxicity_edges(spark, edge_docs, no_docs, edges):
     labels = spark.createDataFrame([(1, 0, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.train(edge_docs, labels) is None
