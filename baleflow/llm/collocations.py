@@ -41,8 +41,10 @@ from baleflow.session import broadcast_if_small, written
 
 #: Bits of the bitmap of the frequent runs of each length, 16 MB whatever the input holds.
 BITS = 1 << 27
-#: Bytes and bits of one row of it.
+#: Bytes of one row of it.
 BITMAP_ROW = 4096
+#: Places of runs that a task adds up before it sends them.
+HELD = 2_000_000
 
 BLANK, BREAK = 1, 2
 KINDS = np.zeros(256, np.uint8)
@@ -152,21 +154,24 @@ def vocabulary(rows: DataFrame, least: int, bits: int, width: int | None = None)
         keys = Keys(width, seed)
         frequent = written(with_keys(words.where(F.col("n") >= least), keys), "frequent")
         places = frequent.select(F.col("key").bitwiseAND(F.lit(bits - 1)).alias("place"))
-        held = rows.sparkSession.sparkContext.broadcast(bitmap(places, bits))
+        held = rows.sparkSession.sparkContext.broadcast(bitmap(bitmap_rows(places), bits))
         shared = with_keys(words, keys, held).groupBy("key").count().where("count > 1 OR key = 0")
         if shared.isEmpty():
             return words, frequent, keys, held
 
 
-def bitmap(places: DataFrame, bits: int) -> np.ndarray:
-    """The bits of these places (from 0); at most `bits` bits reach the driver."""
+def bitmap_rows(places: DataFrame) -> DataFrame:
+    """The rows of a bitmap, and their bits, that places (from 0) are on."""
     place = F.col("place") + 1
-    rows = places.groupBy(F.bitmap_bucket_number(place).alias("row")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
-    )
+    row = (F.bitmap_bucket_number(place) - 1).alias("row")
+    return places.groupBy(row).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+
+
+def bitmap(rows: DataFrame, bits: int) -> np.ndarray:
+    """All rows of a bitmap; at most `bits` bits reach the driver."""
     out = np.zeros((bits // 8 // BITMAP_ROW, BITMAP_ROW), np.uint8)
     for row in rows.toLocalIterator():
-        out[row["row"] - 1] = np.frombuffer(row["bits"], np.uint8)
+        out[row["row"]] = np.frombuffer(row["bits"], np.uint8)
     return out.reshape(-1)
 
 
@@ -208,18 +213,66 @@ def run_places(own: np.ndarray, length: int, bits: int) -> np.ndarray:
 
 
 def frequent_runs(rows: DataFrame, bitmaps: list, keys: Keys, least: int, bits: int) -> DataFrame:
-    """The bits on which runs, one word longer than the last bitmap's, fall `least` times or more."""
+    """The rows of a bitmap with the bits on which runs, one word longer than the last bitmap's, fall
+    `least` times or more.
+
+    Tasks add up the bits of many slices before they send them, as places and counts within a row of the
+    bitmap; the sums of a row need one pass over what tasks sent, in a bounded memory.
+    """
     length = len(bitmaps) + 1
+    kind = np.min_scalar_type(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for part in slices(batches):
-            own, left, starts = frequent_starts(part, keys, [held.value for held in bitmaps])
+            own, left, starts = frequent_starts(part, keys, [one.value for one in bitmaps])
             places = run_places(own, length, bits)[possible(starts[-1], left, length)]
-            place, n = np.unique(places, return_counts=True)
-            yield from to_batches({"place": place, "n": n})
+            held.append(np.unique(places, return_counts=True))
+            if sum(len(place) for place, _ in held) >= HELD:
+                yield from packed(held, least, kind)
+                held = []
+        if held:
+            yield from packed(held, least, kind)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, counts = None, np.zeros(8 * BITMAP_ROW, np.int64)
 
-    counted = rows.mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= least).select("place")
+        def frequent() -> Iterator[pa.RecordBatch]:
+            if current is not None and (counts >= least).any():
+                packed_bits = np.packbits(counts >= least, bitorder="little").tobytes()
+                yield pa.RecordBatch.from_pydict({"row": pa.array([current]), "bits": pa.array([packed_bits])})
+
+        for batch in batches:
+            for row, place, n in zip(*(batch[name].to_pylist() for name in ("row", "place", "n"))):
+                if row != current:
+                    yield from frequent()
+                    current, counts[:] = row, 0
+                counts[np.frombuffer(place, "<u2")] += np.frombuffer(n, kind)
+        yield from frequent()
+
+    sent = rows.mapInArrow(run, "row long, place binary, n binary")
+    return sent.repartition("row").sortWithinPartitions("row").mapInArrow(add_up, "row long, bits binary")
+
+
+def packed(held: list[tuple[np.ndarray, np.ndarray]], least: int, kind: np.dtype) -> list[pa.RecordBatch]:
+    """Places and counts (no larger than `least`), added up, one row for each row of the bitmap."""
+    places, counts = (np.concatenate(column) for column in zip(*held))
+    if not len(places):
+        return []
+    order = np.argsort(places, kind="stable")
+    places, counts = places[order], counts[order]
+    first = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
+    places, counts = places[first], np.minimum(np.add.reduceat(counts, first), least).astype(kind)
+    rows, inner = places // (8 * BITMAP_ROW), (places % (8 * BITMAP_ROW)).astype("<u2")
+    begins = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    ends = np.append(begins, len(rows)).astype(np.int32)
+
+    def binary(values: np.ndarray) -> pa.Array:
+        offsets = pa.py_buffer(np.ascontiguousarray(ends * values.itemsize))
+        return pa.Array.from_buffers(pa.binary(), len(begins), [None, offsets, pa.py_buffer(values)])
+
+    table = pa.table({"row": rows[begins], "place": binary(inner), "n": binary(counts)})
+    return table.to_batches(max_chunksize=256)
 
 
 def count_windows(bitmaps: list, keys: Keys):
@@ -328,8 +381,8 @@ def collocations(
     words, frequent, keys, held = vocabulary(rows, least, bits)
     bitmaps = [held]
     for _ in range(longest - 1):
-        places = frequent_runs(rows, bitmaps, keys, least, bits)
-        bitmaps.append(spark.sparkContext.broadcast(bitmap(places, bits)))
+        runs = frequent_runs(rows, bitmaps, keys, least, bits)
+        bitmaps.append(spark.sparkContext.broadcast(bitmap(runs, bits)))
     names = [f"w{k}" for k in range(1, longest + 1)]
     schema = ", ".join(f"{name} long" for name in [*names, "n"])
     windows = rows.mapInArrow(count_windows(bitmaps, keys), schema)
