@@ -18,7 +18,9 @@ other than doc_id and text are not read. All patterns run in time linear in the
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -299,15 +301,23 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 def find(text: str, weights: np.ndarray, sure: float, known: dict) -> tuple[list, list]:
     """Base spans, and those the classifier adds."""
     base = base_spans(text)
+    by_start = sorted(base)
+    starts = [start for start, _, _ in by_start]
+    # The furthest end of the base spans up to each: one of them reaches into a later span, or none.
+    reach = list(itertools.accumulate((end for _, _, end in by_start), max))
     added: list[tuple[int, int, int]] = []
+    last = 0  # the end of the last span that was added, as these come by their starts
     for start, kind, end in sorted(loose_spans(text)):
+        before = bisect.bisect_left(starts, end)
+        if start < last or (before and reach[before - 1] > start):
+            continue
         key = described(text, start, kind, end, False)
         if key not in known:
             invalid = (unpacked(np.array([key[1]]))[0, [1, 2, 3]] == 0).any()
             known[key] = 0.0 if invalid else probability(weights, key)
-        taken = base + added
-        if known[key] >= sure and all(end <= s or e <= start for s, _, e in taken):
+        if known[key] >= sure:
             added.append((start, kind, end))
+            last = end
     return base, added
 
 
