@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from baleflow.llm.bpe import encoder
 from baleflow.llm.common import ids_and_texts, one_array, ready, slices, to_batches
+from baleflow.session import broadcast_if_small
 
 #: A block is closed when it has so many ids.
 BLOCK_IDS = 1 << 18
@@ -143,9 +144,11 @@ def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             ids = np.frombuffer(row["ids"], f"<u{row['width']}").astype("<u4")
-            ends = EliasFano(
+            held = EliasFano(
                 len(row["doc_ids"]), row["low_bits"], row["low"], row["high"], row["samples"]
-            ).all()
+            )
+            # Each document's end by its number, as a reader of one document finds it.
+            ends = np.array([held.select(number) for number in range(held.n)], np.int64)
             starts = np.r_[0, ends[:-1]]
             data = memoryview(ids).cast("B")
             yield from to_batches(
@@ -171,7 +174,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         [(row["part"], int(base)) for row, base in zip(totals, ends)], "part int, base long"
     )
     # Blocks are read a few at a time; each is up to a megabyte.
-    spread = files.join(F.broadcast(bases), "part")
+    spread = files.join(broadcast_if_small(bases), "part")
     columns = ["ids", "doc_ids", "width", "low_bits", "low", "high", "samples", "start_in_part", "base"]
     return spread.select(columns).mapInArrow(
         read_blocks, "doc_id long, start long, n_tokens long, ids_crc32 long"
