@@ -10,7 +10,9 @@ by their length, whichever leaves fewer. What remains is verified by exact integ
 Defined results: vectors that are null or hold null or non-finite components take no part; a missing
 component of a shorter vector counts as zero; rows of one vec_id are candidates each for itself, and
 none of them for their own vec_id, which is one query (of its smallest vector); a row without vec_id
-takes no part; an empty table gives no rows; other columns are not read.
+takes no part; products are exact integers of any size, but a scaled component of 2^62 and more, or
+a score among the k best that does not fit 64 bits, fails the job; an empty table gives no rows; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -43,7 +45,12 @@ def integer_vectors(table: DataFrame, column: str, scale: float) -> DataFrame:
     finite = F.forall(
         vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     )
-    scaled = F.transform(vector, lambda x: F.floor(x * F.lit(scale)).cast("long"))
+    message = F.lit("a scaled component is too large for exact products")
+    scaled = F.transform(
+        vector,
+        lambda x: F.when(F.abs(x * F.lit(scale)) < 2.0**62, F.floor(x * F.lit(scale)).cast("long"))
+        .otherwise(F.raise_error(message).cast("long")),
+    )
     return (
         table.where(F.col("vec_id").isNotNull() & vector.isNotNull() & finite)
         .select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("vector"))
@@ -137,8 +144,12 @@ class Bucket:
         bound = self.largest * float(np.abs(query).max(initial=0)) * max(len(query), 1)
         if bound < 2**53:
             return (self.floats[places] @ query.astype(np.float64)).astype(np.int64)
-        if bound >= 2**63:
-            raise OverflowError("an inner product does not fit into 64 bits")
+        if bound >= 2**63:  # Python integers hold every product
+            out = np.empty(len(places), object)
+            numbers = query.tolist()
+            for row, vector in enumerate(self.vectors[places].tolist()):
+                out[row] = sum(a * b for a, b in zip(vector, numbers))
+            return out
         return self.vectors[places] @ query
 
     def candidates(self, query: np.ndarray, least: float) -> np.ndarray:
@@ -186,7 +197,10 @@ def best_in_bucket(bucket: Bucket, number: int, query: np.ndarray, least: float,
         keep = scores >= border
         places, scores = places[keep], scores[keep]
     ids = bucket.ids[places]
-    order = np.lexsort((ids, -scores))[:k]
+    if scores.dtype == object:
+        order = sorted(range(len(ids)), key=lambda place: (-scores[place], ids[place]))[:k]
+    else:
+        order = np.lexsort((ids, -scores))[:k]
     return ids[order], scores[order]
 
 

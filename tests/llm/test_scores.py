@@ -1,8 +1,10 @@
 """Personal data, toxicity, top-k, language models and the pipeline."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -37,6 +39,20 @@ def test_long_runs_take_linear_time(text):
     assert pii.find(text, np.zeros(0), 0.95, {})[0] is not None
 
 
+def test_many_added_spans_take_linear_time():
+    """Spans are held against their neighbours, not against all: twice the text takes about twice as long."""
+    weights = pii.fit(np.array([[3, 2 * 27 + 2 * 9 + 2 * 3 + 2, 0, 50], [3, 0, 0, 50]], np.int64))
+    took = []
+    for n in (2000, 8000):
+        text = " ".join(f"call 521 555 {1000 + k % 9000} or +1 (521) 555-{1000 + k % 9000}" for k in range(n))
+        start = time.perf_counter()
+        base, added = pii.find(text, weights, -1.0, {})
+        took.append(time.perf_counter() - start)
+        spans = sorted(base + added)
+        assert len(base) >= n and all(a[2] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert took[1] < 10 * took[0]
+
+
 def test_spans_of_documents(edge_docs, edges):
     rows = pii.scan(edge_docs).collect()
     assert len(rows) == len(edges) + 2
@@ -171,6 +187,24 @@ def test_top_k(spark, bucket_rows):
     assert sorted(map(tuple, found.collect())) == sorted(want)
 
 
+def test_top_k_of_large_components(spark):
+    rng = random.Random(6)
+    rows = [(n, [rng.uniform(-1, 1) * 2.0 ** rng.choice([0, 10, 22]) for _ in range(4)]) for n in range(100)]
+    rows += [(200, [2.0**24, 2.0**24, 0.0, 0.0]), (201, [-(2.0**53), 2.0**53 - 2.0**20, 0.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(table, F.col("vec_id") % 50 == 0, 5, bucket_rows=16).collect()
+    whole = {n: [math.floor(256 * x) for x in v] for n, v in rows}
+    want = []
+    for number in (0, 50, 200):
+        scored = sorted((-sum(a * b for a, b in zip(whole[number], v)), n) for n, v in whole.items() if n != number)
+        want += [(number, rank, n, -s) for rank, (s, n) in enumerate(scored[:5], 1)]
+    assert sorted(map(tuple, found)) == sorted(want)
+    for vector in ([1e300], [2.0**53]):
+        large = spark.createDataFrame([(0, vector), (1, vector)], table.schema)
+        with pytest.raises(Exception, match="(?i)too large|overflow"):
+            topk.top_k(large, F.col("vec_id") % 50 == 0, 5).collect()
+
+
 def test_top_k_of_few_or_none(spark):
     _, table = vectors(spark)
     few = table.where("vec_id IN (50, 100, 3)")
