@@ -67,16 +67,23 @@ class EliasFano:
         return bits.reshape(count, self.low_bits) @ (1 << np.arange(self.low_bits, dtype=np.int64))
 
     def select(self, number: int) -> int:
-        """The value of that number, reading the bits from the sample before it on."""
-        place = int(self.samples[number // SAMPLE])
-        skip = number % SAMPLE
-        last = len(self.samples) > number // SAMPLE + 1
-        end = int(self.samples[number // SAMPLE + 1]) + 1 if last else 8 * len(self.high)
-        bits = np.unpackbits(
-            np.frombuffer(self.high, np.uint8)[place // 8 : -(-end // 8)], bitorder="little"
-        )
-        found = place // 8 * 8 + int(np.flatnonzero(bits[place % 8 :])[skip]) + place % 8
-        return ((found - number) << self.low_bits) + int(self.low_part(number, 1)[0])
+        """The value of that number."""
+        return int(self.selected(number, 1)[0])
+
+    def selected(self, first: int, count: int) -> np.ndarray:
+        """So many values from that number on, reading the bits from the sample before the first to the
+        sample behind the last."""
+        if not count:
+            return np.empty(0, np.int64)
+        sample, after = first // SAMPLE, (first + count - 1) // SAMPLE + 1
+        place = int(self.samples[sample])
+        end = int(self.samples[after]) if after < len(self.samples) else 8 * len(self.high)
+        held = np.frombuffer(self.high, np.uint8)[place // 8 : -(-end // 8)]
+        bits = np.unpackbits(held, bitorder="little")[place % 8 :]
+        skip = first - sample * SAMPLE
+        found = place + np.flatnonzero(bits)[skip : skip + count]
+        numbers = np.arange(first, first + count)
+        return ((found - numbers) << self.low_bits) + self.low_part(first, count)
 
     def all(self) -> np.ndarray:
         bits = np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little")
@@ -147,8 +154,8 @@ def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = EliasFano(
                 len(row["doc_ids"]), row["low_bits"], row["low"], row["high"], row["samples"]
             )
-            # Each document's end by its number, as a reader of one document finds it.
-            ends = np.array([held.select(number) for number in range(held.n)], np.int64)
+            # The ends of the block's documents by their numbers, as a reader of some of them finds them.
+            ends = held.selected(0, held.n)
             starts = np.r_[0, ends[:-1]]
             data = memoryview(ids).cast("B")
             yield from to_batches(

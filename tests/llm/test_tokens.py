@@ -141,5 +141,6 @@ def test_elias_fano(values):
     assert (again.all() == values).all()
     for number in range(0, len(values), 37):
         assert again.select(number) == values[number]
+        assert (again.selected(number, 300) == values[number : number + 300]).all() if number + 300 <= len(values) else True
     bits = 8 * (len(one.low) + len(one.high))
     assert bits <= len(values) * (3 + np.log2(values[-1] / len(values) + 2)) + 32
