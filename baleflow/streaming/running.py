@@ -12,10 +12,12 @@ many as the micro-batch holds, which the source bounds (`topics.FILES_PER_TRIGGE
 
 from __future__ import annotations
 
+import sys
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -31,6 +33,9 @@ NUMBERED = "id BIGINT, seq BIGINT, amount BIGINT, time BIGINT"
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 LEAST, MOST = -(2**63), 2**63 - 1
 
+# The processor goes to the executors as it is: this library need not be installed there for it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def sums(amounts: np.ndarray, before: int) -> np.ndarray:
     """Running sums on top of `before`; one beyond 64 bits fails."""
