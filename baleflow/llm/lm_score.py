@@ -1,23 +1,30 @@
 """Cross-entropy difference: how much better a target model predicts a document than a background.
 
-Both models are bigram models over word classes and share one vocabulary: the words that occur twice
-or more in all documents, at most VOCABULARY of them (from the smallest count on that keeps to it).
-The CLASSES most frequent words are a class each, all others, known or not, are the rare class:
+Both are bigram models over one vocabulary, all words of all documents, without a bound on words or
+pairs. The target model counts the documents chosen as target, the background model all others:
 
-    P(word | previous) = P(class | class of previous) * P(word | class)
+    P(word | before) = (s c(before, word) + SMOOTHING P(word)) / (s c(before) + SMOOTHING)
+    P(word)          = (s c(word) + 1) / (s N + V)
 
-with class probabilities smoothed towards the class frequencies, and one word for all unknown ones.
-The target model counts the documents chosen as target, the background model all others. Counts are
-taken over all documents and added up by Spark; what tasks get is the vocabulary and the class
-tables, bounded by VOCABULARY rows and (CLASSES + 2) squared numbers.
+N is the number of words a model has seen and V that of different words. The models are matched by s:
+counts are scaled to the N of the smaller model, so that smoothing weighs on both alike. A document's
+own words are taken out of the counts of its model (but not out of N), so that no row is predicted
+from itself. The start of a text counts as a word before; what ends a text is not predicted.
 
 A document's score is the mean over its words of the loss under the target model less the loss under
 the background model: lower is more like the target.
 
+Words and pairs are 64-bit hashes. Counts of all words are summed by Spark; what tasks are sent is
+only the frequent ones, words and pairs that are at least one in `shares` of all, so at most `shares`
+of each. Their losses are worked out where the text is. Every other pair goes to the bucket of its
+word, or of the pair if the word is frequent: there its counts and those of its word come together,
+and the losses go back, summed by document, to the slice of texts they belong to. As a rare word or
+pair is less than two in `shares` of all, no bucket gets a hot one.
+
 Defined results: a null text, or one without words, has losses and score 0; documents without
 doc_id, or that are not labelled, count as background; rows that repeat count and are scored each
-for itself; without target documents the target model is that of no counts; an empty table gives no
-rows; columns other than doc_id and text are not read.
+for itself; a model without documents is that of no counts; an empty table gives no rows; columns
+other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -28,19 +35,35 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from baleflow.llm.common import ids_and_texts, one_array, ready, slices, to_batches
+from baleflow.llm.common import (
+    ids_and_texts, mixed, one_array, ready, slices, string_hashes, to_batches,
+)
 from baleflow.session import broadcast_if_small, written
 
-VOCABULARY = 200_000
-CLASSES = 1000
-#: Strength of the class frequencies against the counted pairs of classes.
+#: Strength of the word probabilities against the counted pairs.
 SMOOTHING = 10.0
 DECIMALS = 6
+#: A word or pair that is one in so many or more is frequent.
+SHARES = 1 << 17
+#: Pairs that a bucket gets on average, at most.
+ENTRIES = 2_000_000
 
 SCORED = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+COUNTED = "kind int, key long, target long, background long"
+WORD, PAIR, TEXT = range(3)
+
+#: The columns of a slice's row about its documents, and of its rows about rare pairs.
+ABOUT = {"ids": np.int64, "without_id": np.bool_, "sizes": np.int64, "sums": np.float64}
+RARE = {
+    "word": np.uint64, "pair": np.uint64, "doc": np.uint32, "target": np.bool_,
+    "count": np.uint32, "in_doc": np.uint32, "follows": np.uint32,
+}
+BACK = {"docs": np.uint32, "losses": np.float64}
+ROWS_A_BATCH = 16
 
 
 def words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
@@ -63,160 +86,332 @@ def flagged(docs: DataFrame, target: DataFrame) -> DataFrame:
     return rows.withColumn("target", F.coalesce("target", F.lit(False)))
 
 
-def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
+@dataclasses.dataclass
+class Tokens:
+    """The words of a slice of texts, text after text."""
+
+    counts: np.ndarray  # words of each text
+    target: np.ndarray  # of each text
+    hashes: np.ndarray  # of the different words
+    codes: np.ndarray  # of each word, into hashes
+    pairs: np.ndarray  # of each word with the one before it
+
+    @classmethod
+    def of(cls, part: pa.Table) -> Tokens:
         found, counts = words(one_array(part, "text"))
-        own = np.repeat(one_array(part, "target").to_numpy(False), counts)
+        hashes = string_hashes(found.dictionary)
         codes = found.indices.to_numpy()
-        n = len(found.dictionary)
-        yield from to_batches(
-            {
-                "word": found.dictionary,
-                "target": np.bincount(codes[own], minlength=n),
-                "background": np.bincount(codes[~own], minlength=n),
-            }
-        )
+        own = hashes[codes]
+        before = np.empty_like(own)
+        before[1:] = own[:-1]
+        before[(np.cumsum(counts) - counts)[counts > 0]] = string_hashes([""])[0]
+        target = one_array(part, "target").to_numpy(False)
+        return cls(counts, target, hashes, codes, mixed(mixed(before) + own))
 
+    @property
+    def texts(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.counts)), self.counts)
 
-@dataclasses.dataclass
-class Vocabulary:
-    """Words by falling count, so that the first are the classes of their own."""
 
-    words: pa.Array
-    counts: np.ndarray  # rows: target, background
+def by_model(places: np.ndarray, target: np.ndarray, n: int, weights=None) -> np.ndarray:
+    """Sums at each place, apart for rows of the target and of the background."""
+    weights = np.ones(len(places)) if weights is None else weights
+    return np.vstack([np.bincount(places, weights * own, n) for own in (target, ~target)])
 
-    @property
-    def classes(self) -> int:
-        return min(CLASSES, len(self.words))
-
-    def numbers(self, found: pa.DictionaryArray) -> np.ndarray:
-        """The number of each word; one more than the last for unknown ones."""
-        places = pc.index_in(found.dictionary, value_set=self.words)
-        places = places.fill_null(len(self.words)).to_numpy()
-        return places[found.indices.to_numpy()].astype(np.int64)
-
-    def pairs(self, numbers: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """For each word, class of the one before (or of the start of a text), and its own class."""
-        own = np.minimum(numbers, self.classes)
-        before = np.empty_like(own)
-        before[1:] = own[:-1]
-        before[(np.cumsum(counts) - counts)[counts > 0]] = self.classes + 1
-        return before * (self.classes + 2) + own
 
+def count(rows: DataFrame, shares: int) -> DataFrame:
+    """Counts of all words and texts, and of pairs in those slices where they are frequent.
 
-def vocabulary(rows: DataFrame, most: int) -> Vocabulary:
-    counted = (
-        rows.select("text", "target")
-        .mapInArrow(count_words, "word string, target long, background long")
-        .groupBy("word")
-        .agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-        .withColumn("n", F.col("target") + F.col("background"))
-    )
-    counted = written(counted, "words")
-    # The number of words of each count; as each has a word, `most` counts are enough.
-    spread = counted.where("n > 1").groupBy("n").agg(F.count("*").alias("words"))
-    falling = spread.orderBy(F.desc("n")).limit(most + 1).collect()
-    least, total = 2, 0
-    for row in falling:
-        total += row["words"]
-        if total > most:
-            least = row["n"] + 1
-            break
-    kept = counted.where(F.col("n") >= least).select("word", "target", "background", "n").toArrow()
-    order = pc.sort_indices(kept, sort_keys=[("n", "descending"), ("word", "ascending")])
-    kept = kept.take(order)
-    table = np.vstack([kept["target"].to_numpy(), kept["background"].to_numpy()])
-    return Vocabulary(kept["word"].combine_chunks(), table.reshape(2, -1))
-
-
-def class_pairs(rows: DataFrame, known: Vocabulary) -> np.ndarray:
-    """Counted pairs of classes: target and background, class before, class."""
-    size = (known.classes + 2) ** 2
+    A pair that is two in `shares` of all or more has at least half of its places in such slices.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((2, size), np.int64)
         for part in slices(batches):
-            found, counts = words(one_array(part, "text"))
-            pairs = known.pairs(known.numbers(found), counts)
-            own = np.repeat(one_array(part, "target").to_numpy(False), counts)
-            totals[0] += np.bincount(pairs[own], minlength=size)
-            totals[1] += np.bincount(pairs[~own], minlength=size)
-        at = np.flatnonzero(totals.sum(0))
-        yield from to_batches({"pair": at, "target": totals[0][at], "background": totals[1][at]})
-
-    counted = (
-        rows.select("text", "target")
-        .mapInArrow(run, "pair long, target long, background long")
-        .groupBy("pair")
-        .agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-        .toArrow()
+            tokens = Tokens.of(part)
+            own = np.repeat(tokens.target, tokens.counts)
+            pairs, places, times = np.unique(tokens.pairs, return_inverse=True, return_counts=True)
+            heavy = times * shares >= len(own)
+            full = tokens.counts > 0
+            for kind, keys, sums in (
+                (WORD, tokens.hashes, by_model(tokens.codes, own, len(tokens.hashes))),
+                (PAIR, pairs[heavy], by_model(places, own, len(pairs))[:, heavy]),
+                (TEXT, np.zeros(1, np.uint64), by_model(np.zeros(full.sum(), int), tokens.target[full], 1)),
+            ):
+                sums = sums.astype(np.int64)
+                kinds = np.full(len(keys), kind, np.int32)
+                columns = {"kind": kinds, "key": keys.view(np.int64), "target": sums[0], "background": sums[1]}
+                yield from to_batches(columns)
+
+    return summed(rows.select("text", "target").mapInArrow(run, COUNTED), "kind", "key")
+
+
+def summed(counts: DataFrame, *keys: str) -> DataFrame:
+    return counts.groupBy(*keys).agg(
+        F.sum("target").alias("target"), F.sum("background").alias("background")
     )
-    out = np.zeros((2, size))
-    at = counted["pair"].to_numpy()
-    out[0, at], out[1, at] = counted["target"].to_numpy(), counted["background"].to_numpy()
-    return out.reshape(2, known.classes + 2, known.classes + 2)
 
 
 @dataclasses.dataclass
-class Models:
-    """Losses of both models: by pair of classes, and of words within the rare class."""
+class Counts:
+    """Counts of both models by hash."""
 
-    known: Vocabulary
-    by_pair: np.ndarray
-    in_rare: np.ndarray
+    keys: np.ndarray
+    sums: np.ndarray
 
     @classmethod
-    def of(cls, known: Vocabulary, pairs: np.ndarray) -> Models:
-        k = known.classes
-        by_class = pairs.sum(1)[:, : k + 1]
-        frequency = (by_class + 1) / (by_class.sum(1, keepdims=True) + k + 1)
-        pairs = pairs[:, :, : k + 1]
-        given = pairs.sum(2, keepdims=True)
-        by_pair = (pairs + SMOOTHING * frequency[:, None, :]) / (given + SMOOTHING)
-        rare = known.counts[:, k:]
-        unknown = by_class[:, k] - rare.sum(1)
-        within = np.column_stack([rare, unknown]) + 1
-        within = within / (by_class[:, k] + within.shape[1])[:, None]
-        padded = np.ones((2, k + 2, k + 2))
-        padded[:, :, : k + 1] = by_pair
-        return cls(known, -np.log(padded).reshape(2, -1), -np.log(within))
-
-    def losses(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Per text the number of words and the summed losses under both models."""
-        found, counts = words(texts)
-        numbers = self.known.numbers(found)
-        pairs = self.known.pairs(numbers, counts)
-        text = np.repeat(np.arange(len(counts)), counts)
-        rare = np.flatnonzero(numbers >= self.known.classes)
-        sums = []
-        for model in range(2):
-            loss = self.by_pair[model][pairs]
-            loss[rare] += self.in_rare[model][numbers[rare] - self.known.classes]
-            sums.append(np.bincount(text, weights=loss, minlength=len(counts)))
-        return counts, np.vstack(sums)
-
-
-def score(docs: DataFrame, target: DataFrame, most_words: int = VOCABULARY) -> DataFrame:
-    """Mean losses and their difference for every row; `target` has the doc_ids of target documents."""
-    ready(docs.sparkSession)
-    rows = flagged(docs, target)
-    known = vocabulary(rows, most_words)
-    models = Models.of(known, class_pairs(rows, known))
-    held = docs.sparkSession.sparkContext.broadcast(models)
+    def of(cls, table: pa.Table) -> Counts:
+        keys = table["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        sums = np.vstack([table["target"].to_numpy(), table["background"].to_numpy()])
+        return cls(keys[order], sums[:, order].astype(np.float64))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the keys are there, and their places."""
+        if not len(self.keys):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        places = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[places] == keys, places
+
+
+def recounted(rows: DataFrame, pairs: Counts) -> Counts:
+    """The exact counts of the given pairs."""
+    held = rows.sparkSession.sparkContext.broadcast(pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = held.value
+        sums = np.zeros(known.sums.shape)
         for part in slices(batches):
-            counts, sums = held.value.losses(one_array(part, "text"))
-            means = np.round(sums / np.maximum(counts, 1), DECIMALS)
-            difference = np.round((sums[0] - sums[1]) / np.maximum(counts, 1), DECIMALS)
-            yield from to_batches(
-                {
-                    "doc_id": one_array(part, "doc_id"),
-                    "n_tokens": counts,
-                    "target_loss": means[0],
-                    "background_loss": means[1],
-                    "score": difference,
-                }
+            tokens = Tokens.of(part)
+            there, places = known.find(tokens.pairs)
+            own = np.repeat(tokens.target, tokens.counts)
+            sums += by_model(places[there], own[there], len(known.keys))
+        seen = np.flatnonzero(sums.sum(0))
+        found = sums[:, seen].astype(np.int64)
+        kinds = np.full(len(seen), PAIR, np.int32)
+        keys = known.keys[seen].view(np.int64)
+        yield from to_batches({"kind": kinds, "key": keys, "target": found[0], "background": found[1]})
+
+    return Counts.of(summed(rows.select("text", "target").mapInArrow(run, COUNTED), "key").toArrow())
+
+
+@dataclasses.dataclass
+class Corpus:
+    """Totals of both models and the counts of what is frequent."""
+
+    tokens: np.ndarray
+    texts: np.ndarray
+    vocabulary: int
+    words: Counts
+    pairs: Counts
+
+    @classmethod
+    def of(cls, rows: DataFrame, shares: int) -> Corpus:
+        counted = written(count(rows, shares), "counts")
+        sums = counted.groupBy("kind").agg(F.count("*"), F.sum("target"), F.sum("background"))
+        totals = {kind: values for kind, *values in sums.collect()}
+        vocabulary, *tokens = totals.get(WORD, (0, 0, 0))
+        often = (F.col("target") + F.col("background")) * shares >= sum(tokens)
+        frequent = counted.where(often & (F.col("kind") != TEXT)).toArrow()
+        of_words, pairs = (Counts.of(frequent.filter(pc.field("kind") == k)) for k in (WORD, PAIR))
+        texts = totals.get(TEXT, (0, 0, 0))[1:]
+        return cls(
+            np.array(tokens, float), np.array(texts, float), vocabulary, of_words, recounted(rows, pairs)
+        )
+
+    @property
+    def scales(self) -> np.ndarray:
+        """For each model, what brings its counts to the size of the smaller one."""
+        seen = self.tokens[self.tokens > 0]
+        return (seen.min() if len(seen) else 1.0) / np.maximum(self.tokens, 1)
+
+    def before(self, counts: np.ndarray, target: np.ndarray, in_doc, follows) -> np.ndarray:
+        """The part of the losses that comes from words as ones before others."""
+        others = counts - in_doc * np.vstack([target, ~target])
+        return follows * np.log(self.scales[:, None] * others + SMOOTHING)
+
+    def after(self, pairs, counts, target, count, in_doc) -> np.ndarray:
+        """The part that comes from words behind others: counts of pairs and of their last words."""
+        own, scales = np.vstack([target, ~target]), self.scales[:, None]
+        frequency = scales * (counts - in_doc * own) + 1
+        frequency /= scales * self.tokens[:, None] + self.vocabulary
+        return -count * np.log(scales * (pairs - count * own) + SMOOTHING * frequency)
+
+
+def sums_at(places: np.ndarray, losses: np.ndarray, n: int) -> np.ndarray:
+    return np.vstack([np.bincount(places, one, n) for one in losses])
+
+
+def split(tokens: Tokens, corpus: Corpus) -> tuple[np.ndarray, dict[str, np.ndarray], np.ndarray]:
+    """Losses of each text by what is frequent, the other pairs of the texts, and the hashes that
+    choose their buckets."""
+    n = len(tokens.counts)
+    if not len(tokens.codes):
+        return np.zeros((2, n)), {name: np.empty(0, kind) for name, kind in RARE.items()}, np.empty(0, np.uint64)
+    place = tokens.codes.astype(np.int64) * n + tokens.texts
+    order = np.lexsort((tokens.pairs, place))
+    sorted_place, pair = place[order], tokens.pairs[order]
+    new = np.r_[True, sorted_place[1:] != sorted_place[:-1]]
+    first = np.flatnonzero(new | np.r_[True, pair[1:] != pair[:-1]])
+    runs = np.flatnonzero(new)
+    run_place = sorted_place[runs]
+    in_doc = np.diff(np.r_[runs, len(order)])
+    last = place[(np.cumsum(tokens.counts) - 1)[tokens.counts > 0]]
+    follows = in_doc.copy()
+    follows[np.searchsorted(run_place, last)] -= 1
+    doc, word = run_place % n, tokens.hashes[run_place // n]
+    target = tokens.target[doc]
+    frequent, where = corpus.words.find(word)
+
+    start = tokens.counts > 0
+    sums = np.zeros((2, n))
+    sums[:, start] = corpus.before(corpus.texts[:, None], tokens.target[start], 1, 1)
+    known = corpus.words.sums[:, where[frequent]]
+    losses = corpus.before(known, target[frequent], in_doc[frequent], follows[frequent])
+    sums += sums_at(doc[frequent], losses, n)
+
+    run = np.cumsum(new)[first] - 1
+    times = np.diff(np.r_[first, len(order)])
+    pair = pair[first]
+    often, at = corpus.pairs.find(pair)
+    often &= frequent[run]
+    own = run[often]
+    losses = corpus.after(
+        corpus.pairs.sums[:, at[often]], corpus.words.sums[:, where[own]], target[own], times[often], in_doc[own]
+    )
+    sums += sums_at(doc[own], losses, n)
+
+    # A rare word has rare pairs only, so the first pair of its run, which has its follows, is kept.
+    follows = np.where(new[first] & ~frequent[run], follows[run], 0)
+    rare = np.flatnonzero(~often)
+    run = run[rare]
+    found = (word[run], pair[rare], doc[run], target[run], times[rare], in_doc[run], follows[rare])
+    columns = {name: values.astype(kind) for (name, kind), values in zip(RARE.items(), found)}
+    return sums, columns, np.where(frequent[run], columns["pair"], columns["word"])
+
+
+def packed(rows: list[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows whose arrays go as bytes, a few in a batch."""
+    for at in range(0, len(rows), ROWS_A_BATCH):
+        bare = [
+            {k: v.tobytes() if isinstance(v, np.ndarray) else v for k, v in row.items()}
+            for row in rows[at : at + ROWS_A_BATCH]
+        ]
+        yield pa.RecordBatch.from_pylist(bare, schema)
+
+
+def unpacked(table: pa.Table, kinds: dict[str, type]) -> list[dict[str, np.ndarray]]:
+    """The arrays of rows that have them, in the order of the rows."""
+    return [
+        {name: np.frombuffer(row[name], kind) for name, kind in kinds.items()}
+        for row in table.select(list(kinds)).to_pylist()
+    ]
+
+
+def schema_of(*columns: dict[str, type]) -> pa.Schema:
+    names = [name for one in columns for name in one]
+    return pa.schema(
+        [("bucket", pa.int64()), ("slice", pa.int64()), *((name, pa.binary()) for name in names)]
+    )
+
+
+def ddl(schema: pa.Schema) -> str:
+    return ", ".join(f"{field.name} {'long' if field.type == pa.int64() else 'binary'}" for field in schema)
+
+
+SENT, RETURNED = schema_of(ABOUT, RARE), schema_of(ABOUT, BACK)
+
+
+def dealt(rows: DataFrame, corpus, buckets: int) -> DataFrame:
+    """For each slice of texts a row about its documents, and one for each bucket of its rare pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, part in enumerate(slices(batches)):
+            # The rows were written, so a task that runs again makes the same slices.
+            number += TaskContext.get().partitionId() << 32
+            tokens = Tokens.of(part)
+            sums, rare, chooser = split(tokens, corpus.value)
+            ids = one_array(part, "doc_id")
+            about = (ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(False), tokens.counts, sums)
+            rows = [{"bucket": number % buckets, "slice": number} | dict(zip(ABOUT, about))]
+            bucket = (mixed(chooser) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            numbers, firsts = np.unique(bucket[order], return_index=True)
+            for one, own in zip(numbers.tolist(), np.split(order, firsts[1:])):
+                rows.append({"bucket": one, "slice": number} | {k: v[own] for k, v in rare.items()})
+            yield from packed(rows, SENT)
+
+    return rows.mapInArrow(run, ddl(SENT))
+
+
+def weighed(table: pa.Table, corpus: Corpus) -> pa.Table:
+    """The losses of a bucket's pairs, summed by slice and document; rows about documents as they are."""
+    is_about = pc.is_valid(table["ids"])
+    about = table.filter(is_about).select(["bucket", "slice", *ABOUT])
+    back = [RETURNED.empty_table(), about]
+    table = table.filter(pc.invert(is_about)).sort_by("slice")
+    if table.num_rows:
+        parts = unpacked(table, RARE)
+        rows = np.repeat(np.arange(len(parts)), [len(part["word"]) for part in parts])
+        word, pair, doc, target, times, in_doc, follows = (
+            np.concatenate([part[name] for part in parts]) for name in RARE
+        )
+        del parts
+        counts = []
+        for keys in (pair, word):
+            different, places = np.unique(keys, return_inverse=True)
+            counts.append(by_model(places, target, len(different), times)[:, places])
+        frequent, where = corpus.words.find(word)
+        counts[1][:, frequent] = corpus.words.sums[:, where[frequent]]
+        times, in_doc, follows = (one.astype(np.float64) for one in (times, in_doc, follows))
+        losses = corpus.after(counts[0], counts[1], target, times, in_doc)
+        losses += corpus.before(counts[1], target, in_doc, follows)
+        keys, places = np.unique(rows << 32 | doc, return_inverse=True)
+        sums = sums_at(places, losses, len(keys))
+        ends = np.searchsorted(keys >> 32, np.arange(table.num_rows + 1))
+        found = [
+            {"bucket": bucket, "slice": number, "docs": keys[a:b].astype(np.uint32), "losses": sums[:, a:b]}
+            for bucket, number, a, b in zip(
+                table["bucket"].to_pylist(), table["slice"].to_pylist(), ends[:-1], ends[1:]
             )
+        ]
+        back += [pa.Table.from_batches([batch]) for batch in packed(found, RETURNED)]
+    return pa.concat_tables(back, promote_options="default")
+
+
+def gathered(table: pa.Table) -> pa.Table:
+    """The scores of a slice's documents."""
+    table = table.sort_by("bucket")
+    is_about = pc.is_valid(table["ids"])
+    about = unpacked(table.filter(is_about), ABOUT)[0]
+    sizes, sums = about["sizes"], about["sums"].reshape(2, -1).copy()
+    for part in unpacked(table.filter(pc.invert(is_about)), BACK):
+        sums[:, part["docs"]] += part["losses"].reshape(2, -1)
+    number = np.maximum(sizes, 1)
+    means = np.round(sums / number, DECIMALS)
+    difference = np.round((sums[0] - sums[1]) / number, DECIMALS)
+    return pa.table(
+        {
+            "doc_id": pa.array(about["ids"], mask=about["without_id"]),
+            "n_tokens": sizes,
+            "target_loss": means[0],
+            "background_loss": means[1],
+            "score": difference,
+        }
+    )
+
 
-    return ids_and_texts(docs).mapInArrow(run, SCORED)
+def score(
+    docs: DataFrame, target: DataFrame, shares: int = SHARES, entries: int = ENTRIES
+) -> DataFrame:
+    """Mean losses and their difference for every row; `target` has the doc_ids of target documents."""
+    spark = ready(docs.sparkSession)
+    rows = written(flagged(docs, target), "flagged")
+    corpus = Corpus.of(rows, shares)
+    buckets = max(1, -(-int(corpus.tokens.sum()) // entries))
+    held = spark.sparkContext.broadcast(corpus)
+    losses = (
+        dealt(rows, held, buckets)
+        .groupBy("bucket")
+        .applyInArrow(lambda table: weighed(table, held.value), ddl(RETURNED))
+    )
+    return losses.groupBy("slice").applyInArrow(gathered, SCORED)

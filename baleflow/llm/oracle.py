@@ -28,41 +28,44 @@ docs AS (
     FROM documents d LEFT JOIN target t ON d.doc_id = t.doc_id
 ), tokens AS (
     SELECT r, own, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM docs
-), counted AS (
-    SELECT w, count(*) FILTER (own) AS t, count(*) FILTER (NOT own) AS b, count(*) AS n
-    FROM tokens GROUP BY w HAVING count(*) > 1
-), spread AS (
-    SELECT n, sum(count(*)) OVER (ORDER BY n DESC) AS total FROM counted GROUP BY n
-), vocabulary AS (
-    SELECT w, t, b, row_number() OVER (ORDER BY n DESC, w) - 1 AS number
-    FROM counted WHERE n IN (SELECT n FROM spread WHERE total <= 200000)
-), sizes AS (
-    SELECT least(1000, count(*)) AS k, count(*) AS v FROM vocabulary
-), classed AS (
-    SELECT r, own, i, coalesce(number, v) AS number, least(coalesce(number, v), k) AS c
-    FROM tokens LEFT JOIN vocabulary USING (w), sizes
 ), paired AS (
-    SELECT *, coalesce(lag(c) OVER (PARTITION BY r ORDER BY i), -1) AS p FROM classed
-), models(own) AS (VALUES (true), (false)),
-totals AS (SELECT own, count(*) AS n FROM classed GROUP BY own),
-by_class AS (SELECT own, c, count(*) AS n FROM classed GROUP BY ALL),
-by_word AS (SELECT own, number, count(*) AS n FROM classed GROUP BY ALL),
-by_pair AS (SELECT own, p, c, count(*) AS n FROM paired GROUP BY ALL),
-given AS (SELECT own, p, count(*) AS n FROM paired GROUP BY ALL),
-losses AS (
-    SELECT x.r, m.own,
-        -ln((coalesce(bp.n, 0) + 10.0::DOUBLE * (coalesce(bc.n, 0) + 1)::DOUBLE
-              / (coalesce(tt.n, 0) + k + 1)) / (coalesce(g.n, 0) + 10.0::DOUBLE))
-        - CASE WHEN x.c = k THEN ln((coalesce(bw.n, 0) + 1)::DOUBLE
-              / (coalesce(bc.n, 0) + v - k + 1)) ELSE 0 END AS loss
-    FROM paired x CROSS JOIN models m CROSS JOIN sizes
-    LEFT JOIN totals tt ON tt.own = m.own
-    LEFT JOIN by_class bc ON bc.own = m.own AND bc.c = x.c
-    LEFT JOIN by_word bw ON bw.own = m.own AND bw.number = x.number
-    LEFT JOIN by_pair bp ON bp.own = m.own AND bp.p = x.p AND bp.c = x.c
-    LEFT JOIN given g ON g.own = m.own AND g.p = x.p
+    SELECT *, coalesce(lag(w) OVER (PARTITION BY r ORDER BY i), '') AS p FROM tokens
+), doc_pairs AS (
+    SELECT r, own, p, w, count(*) AS n FROM paired GROUP BY ALL
+), doc_words AS (  -- the empty word is the start of a text
+    SELECT r, own, w, count(*) AS n FROM tokens GROUP BY ALL
+    UNION ALL SELECT DISTINCT r, own, '', 1 FROM tokens
+), pairs AS (
+    SELECT p, w, coalesce(sum(n) FILTER (own), 0)::DOUBLE AS t,
+           coalesce(sum(n) FILTER (NOT own), 0)::DOUBLE AS b FROM doc_pairs GROUP BY p, w
+), words AS (
+    SELECT w, coalesce(sum(n) FILTER (own), 0)::DOUBLE AS t,
+           coalesce(sum(n) FILTER (NOT own), 0)::DOUBLE AS b FROM doc_words GROUP BY w
+), seen AS (
+    SELECT count(*) FILTER (own)::DOUBLE AS t, count(*) FILTER (NOT own)::DOUBLE AS b,
+           count(DISTINCT w)::DOUBLE AS v FROM tokens
+), models AS (
+    SELECT unnest([true, false]) AS target, unnest([t, b]) AS n, v,
+           CASE WHEN t = 0 OR b = 0 THEN t + b ELSE least(t, b) END AS least FROM seen
+), scaled AS (
+    SELECT target, n, v, least / greatest(n, 1) AS s FROM models
+), losses AS (
+    SELECT x.r, m.target,
+        x.n * (ln(s * ((CASE WHEN target THEN cb.t ELSE cb.b END)
+                       - CASE WHEN target = x.own THEN db.n ELSE 0 END) + 10.0::DOUBLE)
+               - ln(s * ((CASE WHEN target THEN cp.t ELSE cp.b END)
+                         - CASE WHEN target = x.own THEN x.n ELSE 0 END)
+                    + 10.0::DOUBLE * (s * ((CASE WHEN target THEN cw.t ELSE cw.b END)
+                                           - CASE WHEN target = x.own THEN dw.n ELSE 0 END) + 1)
+                      / (s * m.n + v))) AS loss
+    FROM doc_pairs x CROSS JOIN scaled m
+    JOIN pairs cp ON cp.p = x.p AND cp.w = x.w
+    JOIN words cb ON cb.w = x.p
+    JOIN words cw ON cw.w = x.w
+    JOIN doc_words db ON db.r = x.r AND db.w = x.p
+    JOIN doc_words dw ON dw.r = x.r AND dw.w = x.w
 ), summed AS (
-    SELECT r, sum(loss) FILTER (own) AS t, sum(loss) FILTER (NOT own) AS b FROM losses GROUP BY r
+    SELECT r, sum(loss) FILTER (target) AS t, sum(loss) FILTER (NOT target) AS b FROM losses GROUP BY r
 )
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_tokens,
        coalesce(round(t / len(ws), 6), 0) AS target_loss,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import re
 
 import duckdb
@@ -123,3 +124,35 @@ def contamination(rows, items, percent=80):
                     best = (common, -start, len(item))
                     out[doc_id, item_id] = max(out.get((doc_id, item_id), best), best)
     return out
+
+
+def language_model(rows, target, smoothing=10.0):
+    """(doc_id, words, target loss, background loss, score) by counts of all words and pairs."""
+    texts = [(i in target, [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]) for i, text in rows]
+    words, pairs = ({True: collections.Counter(), False: collections.Counter()} for _ in range(2))
+    own_words, own_pairs, seen = [], [], {True: 0, False: 0}
+    for own, text in texts:
+        start = [""] if text else []
+        own_words.append(collections.Counter(start + text))
+        own_pairs.append(collections.Counter(zip(start + text, text)))
+        words[own] += own_words[-1]
+        pairs[own] += own_pairs[-1]
+        seen[own] += len(text)
+    least = min((n for n in seen.values() if n), default=1)
+    different = len((set(words[True]) | set(words[False])) - {""})
+    out = []
+    for k, (own, text) in enumerate(texts):
+        loss = {}
+        for model in (True, False):
+            scale = least / max(seen[model], 1)
+            without = lambda all_counts, mine, key: scale * (
+                all_counts[model][key] - (mine[k][key] if own == model else 0)
+            )
+            loss[model] = 0.0
+            for before, word in zip([""] + text, text):
+                plain = (without(words, own_words, word) + 1) / (scale * seen[model] + different)
+                both = without(pairs, own_pairs, (before, word)) + smoothing * plain
+                loss[model] -= math.log(both / (without(words, own_words, before) + smoothing))
+            loss[model] /= max(len(text), 1)
+        out.append((rows[k][0], len(text), loss[True], loss[False], loss[True] - loss[False]))
+    return out

@@ -11,7 +11,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from brute import SMALL, base_spans, documents
+from brute import SMALL, base_spans, documents, language_model
 from check import oracle_rows, spark_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -232,9 +232,26 @@ def test_language_model_prefers_its_own(spark):
     assert max(scores[k] for k in (31, 33, 35)) < min(scores[k] for k in (30, 32, 34))
 
 
-def test_vocabulary_keeps_to_its_bound(spark):
-    docs = spark.createDataFrame(documents(), "doc_id long, text string").withColumn("target", F.lit(False))
-    assert 0 < len(lm_score.vocabulary(docs, 300).words) <= 300
+@pytest.mark.parametrize("shares, entries", [(lm_score.SHARES, lm_score.ENTRIES), (200, 3000), (1, 500)])
+def test_language_model_counts_every_word_and_pair(spark, edge_docs, edges, shares, entries):
+    """Whatever is frequent, and however many buckets there are, the losses are those of plain counts."""
+    target = spark.createDataFrame([(1,), (2,), (3,), (506,), (600,)], "doc_id long")
+    rows = [*edges, (None, "no id"), (None, None)]
+    want = language_model(rows, {1, 2, 3, 506, 600})
+    got = [tuple(r) for r in lm_score.score(edge_docs, target, shares, entries).collect()]
+    order = lambda row: (row[0] is None, row[0] or 0, row[1])
+    for one, other in zip(sorted(got, key=order), sorted(want, key=order), strict=True):
+        assert one[:2] == other[:2] and one[2:] == pytest.approx(other[2:], abs=2e-6)
+
+
+def test_a_row_is_not_predicted_from_itself(spark):
+    """Text that occurs once has about the same loss in the model that counted it as in the other."""
+    rows = [(k, " ".join(f"w{k}x{n}" for n in range(20))) for k in range(4)] + [(4, "w3x0 w3x1 w3x2"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scored = {r.doc_id: r for r in lm_score.score(docs, docs.where("doc_id < 2").select("doc_id")).collect()}
+    assert scored[0].target_loss == scored[1].target_loss
+    assert scored[0].target_loss == pytest.approx(scored[0].background_loss, abs=0.01)
+    assert scored[2].background_loss > scored[3].background_loss > scored[4].background_loss
 
 
 def test_pipeline_stages(spark):
