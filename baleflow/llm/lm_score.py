@@ -35,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +65,8 @@ RARE = {
 }
 BACK = {"docs": np.uint32, "losses": np.float64}
 ROWS_A_BATCH = 16
+#: Pairs whose losses are worked out together.
+BLOCK = 250_000
 
 
 def words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
@@ -119,6 +122,17 @@ def by_model(places: np.ndarray, target: np.ndarray, n: int, weights=None) -> np
     return np.vstack([np.bincount(places, weights * own, n) for own in (target, ~target)])
 
 
+def heavy_pairs(pairs: np.ndarray, own: np.ndarray, shares: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that are one in `shares` of all or more, and their counts in both models."""
+    apart = np.sort(pairs[own]), np.sort(pairs[~own])
+    both = np.sort(pairs)
+    firsts = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.empty(0, int)
+    keys = both[firsts[np.diff(np.r_[firsts, len(both)]) * shares >= len(both)]]
+    return keys, np.vstack(
+        [np.searchsorted(one, keys, "right") - np.searchsorted(one, keys, "left") for one in apart]
+    )
+
+
 def count(rows: DataFrame, shares: int) -> DataFrame:
     """Counts of all words and texts, and of pairs in those slices where they are frequent.
 
@@ -129,12 +143,11 @@ def count(rows: DataFrame, shares: int) -> DataFrame:
         for part in slices(batches):
             tokens = Tokens.of(part)
             own = np.repeat(tokens.target, tokens.counts)
-            pairs, places, times = np.unique(tokens.pairs, return_inverse=True, return_counts=True)
-            heavy = times * shares >= len(own)
+            pairs, heavy = heavy_pairs(tokens.pairs, own, shares)
             full = tokens.counts > 0
             for kind, keys, sums in (
                 (WORD, tokens.hashes, by_model(tokens.codes, own, len(tokens.hashes))),
-                (PAIR, pairs[heavy], by_model(places, own, len(pairs))[:, heavy]),
+                (PAIR, pairs, heavy),
                 (TEXT, np.zeros(1, np.uint64), by_model(np.zeros(full.sum(), int), tokens.target[full], 1)),
             ):
                 sums = sums.astype(np.int64)
@@ -290,21 +303,20 @@ def split(tokens: Tokens, corpus: Corpus) -> tuple[np.ndarray, dict[str, np.ndar
 
 
 def packed(rows: list[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Rows whose arrays go as bytes, a few in a batch."""
+    """Rows whose arrays go as compressed bytes, a few in a batch."""
+    press = zstandard.ZstdCompressor(level=1).compress
     for at in range(0, len(rows), ROWS_A_BATCH):
         bare = [
-            {k: v.tobytes() if isinstance(v, np.ndarray) else v for k, v in row.items()}
+            {k: press(v.tobytes()) if isinstance(v, np.ndarray) else v for k, v in row.items()}
             for row in rows[at : at + ROWS_A_BATCH]
         ]
         yield pa.RecordBatch.from_pylist(bare, schema)
 
 
-def unpacked(table: pa.Table, kinds: dict[str, type]) -> list[dict[str, np.ndarray]]:
-    """The arrays of rows that have them, in the order of the rows."""
-    return [
-        {name: np.frombuffer(row[name], kind) for name, kind in kinds.items()}
-        for row in table.select(list(kinds)).to_pylist()
-    ]
+def unpacked(table: pa.Table, name: str, kind: type) -> list[np.ndarray]:
+    """The arrays of a column, in the order of the rows."""
+    expand = zstandard.ZstdDecompressor().decompress
+    return [np.frombuffer(expand(value.as_py()), kind) for value in table[name]]
 
 
 def schema_of(*columns: dict[str, type]) -> pa.Schema:
@@ -350,23 +362,29 @@ def weighed(table: pa.Table, corpus: Corpus) -> pa.Table:
     back = [RETURNED.empty_table(), about]
     table = table.filter(pc.invert(is_about)).sort_by("slice")
     if table.num_rows:
-        parts = unpacked(table, RARE)
-        rows = np.repeat(np.arange(len(parts)), [len(part["word"]) for part in parts])
-        word, pair, doc, target, times, in_doc, follows = (
-            np.concatenate([part[name] for part in parts]) for name in RARE
-        )
-        del parts
-        counts = []
-        for keys in (pair, word):
-            different, places = np.unique(keys, return_inverse=True)
-            counts.append(by_model(places, target, len(different), times)[:, places])
-        frequent, where = corpus.words.find(word)
-        counts[1][:, frequent] = corpus.words.sums[:, where[frequent]]
-        times, in_doc, follows = (one.astype(np.float64) for one in (times, in_doc, follows))
-        losses = corpus.after(counts[0], counts[1], target, times, in_doc)
-        losses += corpus.before(counts[1], target, in_doc, follows)
-        keys, places = np.unique(rows << 32 | doc, return_inverse=True)
-        sums = sums_at(places, losses, len(keys))
+        column = {name: unpacked(table, name, kind) for name, kind in RARE.items()}
+        lengths = [len(one) for one in column["doc"]]
+        column = {name: np.concatenate(column.pop(name)) for name in RARE}
+        doc = np.repeat(np.arange(len(lengths)), lengths) << 32 | column.pop("doc")
+        frequent, where = corpus.words.find(column["word"])
+        sums_of = {}
+        for name in ("pair", "word"):
+            different, places = np.unique(column.pop(name), return_inverse=True)
+            sums_of[name] = places, by_model(places, column["target"], len(different), column["count"])
+        keys, places = np.unique(doc, return_inverse=True)
+        sums = np.zeros((2, len(keys)))
+        for at in range(0, len(doc), BLOCK):
+            own = slice(at, at + BLOCK)
+            of_pair, of_word = (sums_of[name][1][:, sums_of[name][0][own]] for name in ("pair", "word"))
+            often = frequent[own]
+            of_word[:, often] = corpus.words.sums[:, where[own][often]]
+            target = column["target"][own]
+            times, in_doc, follows = (
+                column[name][own].astype(np.float64) for name in ("count", "in_doc", "follows")
+            )
+            losses = corpus.after(of_pair, of_word, target, times, in_doc)
+            losses += corpus.before(of_word, target, in_doc, follows)
+            sums += sums_at(places[own], losses, len(keys))
         ends = np.searchsorted(keys >> 32, np.arange(table.num_rows + 1))
         found = [
             {"bucket": bucket, "slice": number, "docs": keys[a:b].astype(np.uint32), "losses": sums[:, a:b]}
@@ -382,10 +400,11 @@ def gathered(table: pa.Table) -> pa.Table:
     """The scores of a slice's documents."""
     table = table.sort_by("bucket")
     is_about = pc.is_valid(table["ids"])
-    about = unpacked(table.filter(is_about), ABOUT)[0]
+    about = {name: unpacked(table.filter(is_about), name, kind)[0] for name, kind in ABOUT.items()}
     sizes, sums = about["sizes"], about["sums"].reshape(2, -1).copy()
-    for part in unpacked(table.filter(pc.invert(is_about)), BACK):
-        sums[:, part["docs"]] += part["losses"].reshape(2, -1)
+    rare = table.filter(pc.invert(is_about))
+    for docs, losses in zip(*(unpacked(rare, name, kind) for name, kind in BACK.items())):
+        sums[:, docs] += losses.reshape(2, -1)
     number = np.maximum(sizes, 1)
     means = np.round(sums / number, DECIMALS)
     difference = np.round((sums[0] - sums[1]) / number, DECIMALS)
