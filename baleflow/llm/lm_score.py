@@ -14,12 +14,11 @@ from itself. The start of a text counts as a word before; what ends a text is no
 A document's score is the mean over its words of the loss under the target model less the loss under
 the background model: lower is more like the target.
 
-Words and pairs are 64-bit hashes. Counts of all words are summed by Spark; what tasks are sent is
-only the frequent ones, words and pairs that are at least one in `shares` of all, so at most `shares`
-of each. Their losses are worked out where the text is. Every other pair goes to the bucket of its
-word, or of the pair if the word is frequent: there its counts and those of its word come together,
-and the losses go back, summed by document, to the slice of texts they belong to. As a rare word or
-pair is less than two in `shares` of all, no bucket gets a hot one.
+Words and pairs are 64-bit hashes (keys). The rows are worked on in slices of some megabytes of text.
+A slice asks for each of its different keys once, with its own counts, so that no key is hot: it comes
+once from a slice, however often it occurs. The key's range decides the bucket where its counts are
+added up, and the sums go back to the slices that asked for them. There they meet the slice's words
+again, as numbers. Nothing is broadcast, and what the driver gets is four totals.
 
 Defined results: a null text, or one without words, has losses and score 0; documents without
 doc_id, or that are not labelled, count as background; rows that repeat count and are scored each
@@ -30,7 +29,8 @@ other than doc_id and text are not read.
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,33 +40,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from baleflow.llm.common import (
-    ids_and_texts, mixed, one_array, ready, slices, string_hashes, to_batches,
-)
+from baleflow.llm.common import ids_and_texts, mixed, one_array, ready, slices, string_hashes
 from baleflow.session import broadcast_if_small, written
 
 #: Strength of the word probabilities against the counted pairs.
 SMOOTHING = 10.0
 DECIMALS = 6
-#: A word or pair that is one in so many or more is frequent.
-SHARES = 1 << 17
-#: Pairs that a bucket gets on average, at most.
-ENTRIES = 2_000_000
+#: Bytes of text for one bucket. A byte has one key at most, and a key in about 10 bytes is usual.
+BUCKET_BYTES = 16_000_000
+ROWS_A_BATCH = 16
 
 SCORED = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
-COUNTED = "kind int, key long, target long, background long"
-WORD, PAIR, TEXT = range(3)
-
-#: The columns of a slice's row about its documents, and of its rows about rare pairs.
-ABOUT = {"ids": np.int64, "without_id": np.bool_, "sizes": np.int64, "sums": np.float64}
-RARE = {
-    "word": np.uint64, "pair": np.uint64, "doc": np.uint32, "target": np.bool_,
-    "count": np.uint32, "in_doc": np.uint32, "follows": np.uint32,
+
+#: The arrays of a slice's row, of its requests and of the answers.
+SLICE = {
+    "ids": np.int64, "without_id": np.bool_, "target": np.bool_, "sizes": np.int64,
+    "hashes": np.uint64, "codes": np.uint32,
 }
-BACK = {"docs": np.uint32, "losses": np.float64}
-ROWS_A_BATCH = 16
-#: Pairs whose losses are worked out together.
-BLOCK = 250_000
+REQUEST = {"keys": np.uint64, "is_word": np.bool_, "own": np.uint32}
+ANSWER = {"sums": np.int64}
+TOTALS = ["target_words", "background_words", "vocabulary"]
 
 
 def words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
@@ -93,222 +86,58 @@ def flagged(docs: DataFrame, target: DataFrame) -> DataFrame:
 class Tokens:
     """The words of a slice of texts, text after text."""
 
-    counts: np.ndarray  # words of each text
-    target: np.ndarray  # of each text
+    sizes: np.ndarray  # words of each text
+    target: np.ndarray  # is the text in the target
     hashes: np.ndarray  # of the different words
     codes: np.ndarray  # of each word, into hashes
-    pairs: np.ndarray  # of each word with the one before it
 
     @classmethod
     def of(cls, part: pa.Table) -> Tokens:
-        found, counts = words(one_array(part, "text"))
-        hashes = string_hashes(found.dictionary)
-        codes = found.indices.to_numpy()
-        own = hashes[codes]
-        before = np.empty_like(own)
-        before[1:] = own[:-1]
-        before[(np.cumsum(counts) - counts)[counts > 0]] = string_hashes([""])[0]
+        found, sizes = words(one_array(part, "text"))
         target = one_array(part, "target").to_numpy(False)
-        return cls(counts, target, hashes, codes, mixed(mixed(before) + own))
+        return cls(sizes, target, string_hashes(found.dictionary), found.indices.to_numpy())
 
     @property
     def texts(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.counts)), self.counts)
-
-
-def by_model(places: np.ndarray, target: np.ndarray, n: int, weights=None) -> np.ndarray:
-    """Sums at each place, apart for rows of the target and of the background."""
-    weights = np.ones(len(places)) if weights is None else weights
-    return np.vstack([np.bincount(places, weights * own, n) for own in (target, ~target)])
-
-
-def heavy_pairs(pairs: np.ndarray, own: np.ndarray, shares: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that are one in `shares` of all or more, and their counts in both models."""
-    apart = np.sort(pairs[own]), np.sort(pairs[~own])
-    both = np.sort(pairs)
-    firsts = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.empty(0, int)
-    keys = both[firsts[np.diff(np.r_[firsts, len(both)]) * shares >= len(both)]]
-    return keys, np.vstack(
-        [np.searchsorted(one, keys, "right") - np.searchsorted(one, keys, "left") for one in apart]
-    )
-
-
-def count(rows: DataFrame, shares: int) -> DataFrame:
-    """Counts of all words and texts, and of pairs in those slices where they are frequent.
-
-    A pair that is two in `shares` of all or more has at least half of its places in such slices.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            tokens = Tokens.of(part)
-            own = np.repeat(tokens.target, tokens.counts)
-            pairs, heavy = heavy_pairs(tokens.pairs, own, shares)
-            full = tokens.counts > 0
-            for kind, keys, sums in (
-                (WORD, tokens.hashes, by_model(tokens.codes, own, len(tokens.hashes))),
-                (PAIR, pairs, heavy),
-                (TEXT, np.zeros(1, np.uint64), by_model(np.zeros(full.sum(), int), tokens.target[full], 1)),
-            ):
-                sums = sums.astype(np.int64)
-                kinds = np.full(len(keys), kind, np.int32)
-                columns = {"kind": kinds, "key": keys.view(np.int64), "target": sums[0], "background": sums[1]}
-                yield from to_batches(columns)
-
-    return summed(rows.select("text", "target").mapInArrow(run, COUNTED), "kind", "key")
-
-
-def summed(counts: DataFrame, *keys: str) -> DataFrame:
-    return counts.groupBy(*keys).agg(
-        F.sum("target").alias("target"), F.sum("background").alias("background")
-    )
-
-
-@dataclasses.dataclass
-class Counts:
-    """Counts of both models by hash."""
-
-    keys: np.ndarray
-    sums: np.ndarray
-
-    @classmethod
-    def of(cls, table: pa.Table) -> Counts:
-        keys = table["key"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        sums = np.vstack([table["target"].to_numpy(), table["background"].to_numpy()])
-        return cls(keys[order], sums[:, order].astype(np.float64))
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the keys are there, and their places."""
-        if not len(self.keys):
-            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-        places = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.keys[places] == keys, places
-
-
-def recounted(rows: DataFrame, pairs: Counts) -> Counts:
-    """The exact counts of the given pairs."""
-    held = rows.sparkSession.sparkContext.broadcast(pairs)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = held.value
-        sums = np.zeros(known.sums.shape)
-        for part in slices(batches):
-            tokens = Tokens.of(part)
-            there, places = known.find(tokens.pairs)
-            own = np.repeat(tokens.target, tokens.counts)
-            sums += by_model(places[there], own[there], len(known.keys))
-        seen = np.flatnonzero(sums.sum(0))
-        found = sums[:, seen].astype(np.int64)
-        kinds = np.full(len(seen), PAIR, np.int32)
-        keys = known.keys[seen].view(np.int64)
-        yield from to_batches({"kind": kinds, "key": keys, "target": found[0], "background": found[1]})
-
-    return Counts.of(summed(rows.select("text", "target").mapInArrow(run, COUNTED), "key").toArrow())
-
-
-@dataclasses.dataclass
-class Corpus:
-    """Totals of both models and the counts of what is frequent."""
-
-    tokens: np.ndarray
-    texts: np.ndarray
-    vocabulary: int
-    words: Counts
-    pairs: Counts
-
-    @classmethod
-    def of(cls, rows: DataFrame, shares: int) -> Corpus:
-        counted = written(count(rows, shares), "counts")
-        sums = counted.groupBy("kind").agg(F.count("*"), F.sum("target"), F.sum("background"))
-        totals = {kind: values for kind, *values in sums.collect()}
-        vocabulary, *tokens = totals.get(WORD, (0, 0, 0))
-        often = (F.col("target") + F.col("background")) * shares >= sum(tokens)
-        frequent = counted.where(often & (F.col("kind") != TEXT)).toArrow()
-        of_words, pairs = (Counts.of(frequent.filter(pc.field("kind") == k)) for k in (WORD, PAIR))
-        texts = totals.get(TEXT, (0, 0, 0))[1:]
-        return cls(
-            np.array(tokens, float), np.array(texts, float), vocabulary, of_words, recounted(rows, pairs)
-        )
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
 
     @property
-    def scales(self) -> np.ndarray:
-        """For each model, what brings its counts to the size of the smaller one."""
-        seen = self.tokens[self.tokens > 0]
-        return (seen.min() if len(seen) else 1.0) / np.maximum(self.tokens, 1)
-
-    def before(self, counts: np.ndarray, target: np.ndarray, in_doc, follows) -> np.ndarray:
-        """The part of the losses that comes from words as ones before others."""
-        others = counts - in_doc * np.vstack([target, ~target])
-        return follows * np.log(self.scales[:, None] * others + SMOOTHING)
+    def firsts(self) -> np.ndarray:
+        return (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
 
-    def after(self, pairs, counts, target, count, in_doc) -> np.ndarray:
-        """The part that comes from words behind others: counts of pairs and of their last words."""
-        own, scales = np.vstack([target, ~target]), self.scales[:, None]
-        frequency = scales * (counts - in_doc * own) + 1
-        frequency /= scales * self.tokens[:, None] + self.vocabulary
-        return -count * np.log(scales * (pairs - count * own) + SMOOTHING * frequency)
+    def before(self, values: np.ndarray, at_start) -> np.ndarray:
+        """For each word, the value of the one before it in the text."""
+        out = np.empty_like(values)
+        out[..., 1:] = values[..., :-1]
+        out[..., self.firsts] = at_start
+        return out
 
+    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of all words, the start and all pairs; the order that sorts them; the pair of each word."""
+        own, start = self.hashes[self.codes], string_hashes([""])
+        different, pairs = np.unique(mixed(mixed(self.before(own, start[0])) + own), return_inverse=True)
+        keys = np.concatenate([self.hashes, start, different])
+        return keys, np.argsort(keys, kind="stable"), pairs
 
-def sums_at(places: np.ndarray, losses: np.ndarray, n: int) -> np.ndarray:
-    return np.vstack([np.bincount(places, one, n) for one in losses])
 
+def by_model(places: np.ndarray, target: np.ndarray, n: int) -> np.ndarray:
+    """Counts at each place, apart for rows of the target and of the background."""
+    return np.vstack([np.bincount(places[own], minlength=n) for own in (target, ~target)])
 
-def split(tokens: Tokens, corpus: Corpus) -> tuple[np.ndarray, dict[str, np.ndarray], np.ndarray]:
-    """Losses of each text by what is frequent, the other pairs of the texts, and the hashes that
-    choose their buckets."""
-    n = len(tokens.counts)
-    if not len(tokens.codes):
-        return np.zeros((2, n)), {name: np.empty(0, kind) for name, kind in RARE.items()}, np.empty(0, np.uint64)
-    place = tokens.codes.astype(np.int64) * n + tokens.texts
-    order = np.lexsort((tokens.pairs, place))
-    sorted_place, pair = place[order], tokens.pairs[order]
-    new = np.r_[True, sorted_place[1:] != sorted_place[:-1]]
-    first = np.flatnonzero(new | np.r_[True, pair[1:] != pair[:-1]])
-    runs = np.flatnonzero(new)
-    run_place = sorted_place[runs]
-    in_doc = np.diff(np.r_[runs, len(order)])
-    last = place[(np.cumsum(tokens.counts) - 1)[tokens.counts > 0]]
-    follows = in_doc.copy()
-    follows[np.searchsorted(run_place, last)] -= 1
-    doc, word = run_place % n, tokens.hashes[run_place // n]
-    target = tokens.target[doc]
-    frequent, where = corpus.words.find(word)
-
-    start = tokens.counts > 0
-    sums = np.zeros((2, n))
-    sums[:, start] = corpus.before(corpus.texts[:, None], tokens.target[start], 1, 1)
-    known = corpus.words.sums[:, where[frequent]]
-    losses = corpus.before(known, target[frequent], in_doc[frequent], follows[frequent])
-    sums += sums_at(doc[frequent], losses, n)
-
-    run = np.cumsum(new)[first] - 1
-    times = np.diff(np.r_[first, len(order)])
-    pair = pair[first]
-    often, at = corpus.pairs.find(pair)
-    often &= frequent[run]
-    own = run[often]
-    losses = corpus.after(
-        corpus.pairs.sums[:, at[often]], corpus.words.sums[:, where[own]], target[own], times[often], in_doc[own]
-    )
-    sums += sums_at(doc[own], losses, n)
 
-    # A rare word has rare pairs only, so the first pair of its run, which has its follows, is kept.
-    follows = np.where(new[first] & ~frequent[run], follows[run], 0)
-    rare = np.flatnonzero(~often)
-    run = run[rare]
-    found = (word[run], pair[rare], doc[run], target[run], times[rare], in_doc[run], follows[rare])
-    columns = {name: values.astype(kind) for (name, kind), values in zip(RARE.items(), found)}
-    return sums, columns, np.where(frequent[run], columns["pair"], columns["word"])
+def in_text(places: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
+    """For each word, how often its place occurs in its text."""
+    _, runs, counts = np.unique(places.astype(np.int64) * n + texts, return_inverse=True, return_counts=True)
+    return counts[runs]
 
 
-def packed(rows: list[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def packed(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Rows whose arrays go as compressed bytes, a few in a batch."""
     press = zstandard.ZstdCompressor(level=1).compress
-    for at in range(0, len(rows), ROWS_A_BATCH):
+    for some in itertools.batched(rows, ROWS_A_BATCH):
         bare = [
             {k: press(v.tobytes()) if isinstance(v, np.ndarray) else v for k, v in row.items()}
-            for row in rows[at : at + ROWS_A_BATCH]
+            for row in some
         ]
         yield pa.RecordBatch.from_pylist(bare, schema)
 
@@ -319,98 +148,143 @@ def unpacked(table: pa.Table, name: str, kind: type) -> list[np.ndarray]:
     return [np.frombuffer(expand(value.as_py()), kind) for value in table[name]]
 
 
-def schema_of(*columns: dict[str, type]) -> pa.Schema:
-    names = [name for one in columns for name in one]
-    return pa.schema(
-        [("bucket", pa.int64()), ("slice", pa.int64()), *((name, pa.binary()) for name in names)]
-    )
+def steps(keys: np.ndarray) -> np.ndarray:
+    """Rising keys as differences, byte by byte of all, so that the leading zeros compress."""
+    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+
+
+def from_steps(packed_steps: np.ndarray) -> np.ndarray:
+    planes = packed_steps.view(np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def schema_of(arrays: dict[str, type], *longs: str) -> pa.Schema:
+    fields = [(name, pa.int64()) for name in ("bucket", "slice", *longs)]
+    return pa.schema([*fields, *((name, pa.binary()) for name in arrays)])
 
 
 def ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{field.name} {'long' if field.type == pa.int64() else 'binary'}" for field in schema)
 
 
-SENT, RETURNED = schema_of(ABOUT, RARE), schema_of(ABOUT, BACK)
+SENT, RETURNED = schema_of(SLICE | REQUEST), schema_of(SLICE | ANSWER, *TOTALS)
+
 
+def requests(number: int, part: pa.Table, buckets: int) -> Iterator[dict]:
+    """A row with the words of a slice, and one for each bucket with the keys it is asked for."""
+    tokens = Tokens.of(part)
+    ids = one_array(part, "doc_id")
+    arrays = (
+        ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(False), tokens.target, tokens.sizes,
+        tokens.hashes, tokens.codes.astype(np.uint32),
+    )
+    yield {"bucket": number % buckets, "slice": number} | dict(zip(SLICE, arrays))
+    if not len(tokens.codes):
+        return
+    keys, order, pairs = tokens.keys()
+    n = len(tokens.hashes)
+    target = np.repeat(tokens.target, tokens.sizes)
+    starts = tokens.target[tokens.sizes > 0]
+    own = np.hstack(
+        [
+            by_model(tokens.codes, target, n),
+            by_model(np.zeros(len(starts), np.int64), starts, 1),
+            by_model(pairs, target, len(keys) - n - 1),
+        ]
+    )[:, order]
+    keys, is_word = keys[order], order < n
+    bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    numbers, firsts = np.unique(bucket, return_index=True)
+    for one, a, b in zip(numbers.tolist(), firsts, [*firsts[1:], len(keys)]):
+        found = (steps(keys[a:b]), is_word[a:b], own[:, a:b].astype(np.uint32))
+        yield {"bucket": one, "slice": number} | dict(zip(REQUEST, found))
 
-def dealt(rows: DataFrame, corpus, buckets: int) -> DataFrame:
-    """For each slice of texts a row about its documents, and one for each bucket of its rare pairs."""
 
+def asked(rows: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, part in enumerate(slices(batches)):
-            # The rows were written, so a task that runs again makes the same slices.
-            number += TaskContext.get().partitionId() << 32
-            tokens = Tokens.of(part)
-            sums, rare, chooser = split(tokens, corpus.value)
-            ids = one_array(part, "doc_id")
-            about = (ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(False), tokens.counts, sums)
-            rows = [{"bucket": number % buckets, "slice": number} | dict(zip(ABOUT, about))]
-            bucket = (mixed(chooser) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            numbers, firsts = np.unique(bucket[order], return_index=True)
-            for one, own in zip(numbers.tolist(), np.split(order, firsts[1:])):
-                rows.append({"bucket": one, "slice": number} | {k: v[own] for k, v in rare.items()})
-            yield from packed(rows, SENT)
+        # The rows were written, so a task that runs again makes the same slices.
+        first = TaskContext.get().partitionId() << 32
+        for number, part in enumerate(slices(batches), first):
+            yield from packed(requests(number, part, buckets), SENT)
 
     return rows.mapInArrow(run, ddl(SENT))
 
 
-def weighed(table: pa.Table, corpus: Corpus) -> pa.Table:
-    """The losses of a bucket's pairs, summed by slice and document; rows about documents as they are."""
-    is_about = pc.is_valid(table["ids"])
-    about = table.filter(is_about).select(["bucket", "slice", *ABOUT])
-    back = [RETURNED.empty_table(), about]
-    table = table.filter(pc.invert(is_about)).sort_by("slice")
+def answered(table: pa.Table) -> pa.Table:
+    """The sums of a bucket's keys for each slice that asked; rows with words as they are."""
+    whole = pc.is_valid(table["ids"])
+    slices_here = table.filter(whole).select(["bucket", "slice", *SLICE])
+    for name, kind in (("target_words", True), ("background_words", False)):
+        totals = [
+            int(sizes[target == kind].sum())
+            for sizes, target in zip(unpacked(slices_here, "sizes", np.int64), unpacked(slices_here, "target", np.bool_))
+        ]
+        slices_here = slices_here.append_column(name, pa.array(totals, pa.int64()))
+    back = [RETURNED.empty_table(), slices_here]
+    table = table.filter(pc.invert(whole)).select(["bucket", "slice", *REQUEST])
     if table.num_rows:
-        column = {name: unpacked(table, name, kind) for name, kind in RARE.items()}
-        lengths = [len(one) for one in column["doc"]]
-        column = {name: np.concatenate(column.pop(name)) for name in RARE}
-        doc = np.repeat(np.arange(len(lengths)), lengths) << 32 | column.pop("doc")
-        frequent, where = corpus.words.find(column["word"])
-        sums_of = {}
-        for name in ("pair", "word"):
-            different, places = np.unique(column.pop(name), return_inverse=True)
-            sums_of[name] = places, by_model(places, column["target"], len(different), column["count"])
-        keys, places = np.unique(doc, return_inverse=True)
-        sums = np.zeros((2, len(keys)))
-        for at in range(0, len(doc), BLOCK):
-            own = slice(at, at + BLOCK)
-            of_pair, of_word = (sums_of[name][1][:, sums_of[name][0][own]] for name in ("pair", "word"))
-            often = frequent[own]
-            of_word[:, often] = corpus.words.sums[:, where[own][often]]
-            target = column["target"][own]
-            times, in_doc, follows = (
-                column[name][own].astype(np.float64) for name in ("count", "in_doc", "follows")
-            )
-            losses = corpus.after(of_pair, of_word, target, times, in_doc)
-            losses += corpus.before(of_word, target, in_doc, follows)
-            sums += sums_at(places[own], losses, len(keys))
-        ends = np.searchsorted(keys >> 32, np.arange(table.num_rows + 1))
-        found = [
-            {"bucket": bucket, "slice": number, "docs": keys[a:b].astype(np.uint32), "losses": sums[:, a:b]}
-            for bucket, number, a, b in zip(
-                table["bucket"].to_pylist(), table["slice"].to_pylist(), ends[:-1], ends[1:]
+        parts = [from_steps(one) for one in unpacked(table, "keys", np.uint64)]
+        lengths = [len(one) for one in parts]
+        keys, places = np.unique(np.concatenate(parts), return_inverse=True)
+        ends = np.cumsum([0, *lengths])
+        sums, is_word = np.zeros((2, len(keys)), np.int64), np.zeros(len(keys), bool)
+        flags = unpacked(table, "is_word", np.bool_)
+        for flag, own, a, b in zip(flags, unpacked(table, "own", np.uint32), ends[:-1], ends[1:]):
+            # The keys of a slice are different ones, so no place comes twice.
+            sums[:, places[a:b]] += own.reshape(2, -1)
+            is_word[places[a:b]] |= flag
+        new_words = itertools.chain([int(is_word.sum())], itertools.repeat(0))
+        found = (
+            {"bucket": bucket, "slice": number, "vocabulary": new, "sums": sums[:, places[a:b]]}
+            for bucket, number, new, a, b in zip(
+                table["bucket"].to_pylist(), table["slice"].to_pylist(), new_words, ends[:-1], ends[1:]
             )
-        ]
+        )
         back += [pa.Table.from_batches([batch]) for batch in packed(found, RETURNED)]
     return pa.concat_tables(back, promote_options="default")
 
 
-def gathered(table: pa.Table) -> pa.Table:
+def losses(tokens: Tokens, sums: np.ndarray, seen: np.ndarray, vocabulary: int) -> np.ndarray:
+    """Summed losses of each text under both models, out of the sums of the slice's keys."""
+    n, texts = len(tokens.sizes), tokens.texts
+    if not len(texts):
+        return np.zeros((2, n))
+    keys, order, pairs = tokens.keys()
+    counts = np.empty(sums.shape)
+    counts[:, order] = sums
+    words_end = len(tokens.hashes)
+    of_word, of_pair = counts[:, tokens.codes], counts[:, words_end + 1 :][:, pairs]
+    of_before = tokens.before(of_word, counts[:, words_end : words_end + 1])
+    word_here = in_text(tokens.codes, texts, n)
+    before_here = tokens.before(word_here, 1)
+    pair_here = in_text(pairs, texts, n)
+    least = seen[seen > 0].min()
+    out = []
+    for model, is_own in enumerate((tokens.target[texts], ~tokens.target[texts])):
+        scale = least / max(seen[model], 1)
+        frequency = (scale * (of_word[model] - is_own * word_here) + 1) / (scale * seen[model] + vocabulary)
+        given = np.log(scale * (of_before[model] - is_own * before_here) + SMOOTHING)
+        both = np.log(scale * (of_pair[model] - is_own * pair_here) + SMOOTHING * frequency)
+        out.append(np.bincount(texts, given - both, n))
+    return np.vstack(out)
+
+
+def scored(table: pa.Table, seen: np.ndarray, vocabulary: int) -> pa.Table:
     """The scores of a slice's documents."""
     table = table.sort_by("bucket")
-    is_about = pc.is_valid(table["ids"])
-    about = {name: unpacked(table.filter(is_about), name, kind)[0] for name, kind in ABOUT.items()}
-    sizes, sums = about["sizes"], about["sums"].reshape(2, -1).copy()
-    rare = table.filter(pc.invert(is_about))
-    for docs, losses in zip(*(unpacked(rare, name, kind) for name, kind in BACK.items())):
-        sums[:, docs] += losses.reshape(2, -1)
+    whole = pc.is_valid(table["ids"])
+    ids, without_id, target, sizes, hashes, codes = (
+        unpacked(table.filter(whole), name, kind)[0] for name, kind in SLICE.items()
+    )
+    answers = [one.reshape(2, -1) for one in unpacked(table.filter(pc.invert(whole)), "sums", np.int64)]
+    sums = np.hstack(answers) if answers else np.empty((2, 0))
+    summed = losses(Tokens(sizes, target, hashes, codes), sums, seen, vocabulary)
     number = np.maximum(sizes, 1)
-    means = np.round(sums / number, DECIMALS)
-    difference = np.round((sums[0] - sums[1]) / number, DECIMALS)
+    means = np.round(summed / number, DECIMALS)
+    difference = np.round((summed[0] - summed[1]) / number, DECIMALS)
     return pa.table(
         {
-            "doc_id": pa.array(about["ids"], mask=about["without_id"]),
+            "doc_id": pa.array(ids, mask=without_id),
             "n_tokens": sizes,
             "target_loss": means[0],
             "background_loss": means[1],
@@ -419,18 +293,18 @@ def gathered(table: pa.Table) -> pa.Table:
     )
 
 
-def score(
-    docs: DataFrame, target: DataFrame, shares: int = SHARES, entries: int = ENTRIES
-) -> DataFrame:
+def score(docs: DataFrame, target: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Mean losses and their difference for every row; `target` has the doc_ids of target documents."""
-    spark = ready(docs.sparkSession)
+    ready(docs.sparkSession)
     rows = written(flagged(docs, target), "flagged")
-    corpus = Corpus.of(rows, shares)
-    buckets = max(1, -(-int(corpus.tokens.sum()) // entries))
-    held = spark.sparkContext.broadcast(corpus)
-    losses = (
-        dealt(rows, held, buckets)
-        .groupBy("bucket")
-        .applyInArrow(lambda table: weighed(table, held.value), ddl(RETURNED))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = -(-size // bucket_bytes) or 1
+    answers = asked(rows, buckets).groupBy("bucket").applyInArrow(answered, ddl(RETURNED))
+    answers = written(answers, "answers")
+    *seen, vocabulary = (total or 0 for total in answers.agg(*(F.sum(name) for name in TOTALS)).first())
+    seen = np.array(seen, np.float64)
+    return (
+        answers.drop(*TOTALS)
+        .groupBy("slice")
+        .applyInArrow(lambda table: scored(table, seen, vocabulary), SCORED)
     )
-    return losses.groupBy("slice").applyInArrow(gathered, SCORED)
