@@ -14,11 +14,11 @@ from itself. The start of a text counts as a word before; what ends a text is no
 A document's score is the mean over its words of the loss under the target model less the loss under
 the background model: lower is more like the target.
 
-Words and pairs are 64-bit hashes (keys). The rows are worked on in slices of some megabytes of text.
-A slice asks for each of its different keys once, with its own counts, so that no key is hot: it comes
-once from a slice, however often it occurs. The key's range decides the bucket where its counts are
-added up, and the sums go back to the slices that asked for them. There they meet the slice's words
-again, as numbers. Nothing is broadcast, and what the driver gets is four totals.
+Words and pairs are 64-bit hashes (keys). The rows are written as slices of some megabytes of text,
+each with its different words and their numbers. A slice asks for each of its different keys once,
+with its own counts, so that no key is hot: it comes once from a slice, however often it occurs. The
+key's range decides the bucket where its counts are added up, and the sums go back to the slices
+that asked for them. Nothing is broadcast, and what the driver gets is three totals.
 
 Defined results: a null text, or one without words, has losses and score 0; documents without
 doc_id, or that are not labelled, count as background; rows that repeat count and are scored each
@@ -46,8 +46,8 @@ from baleflow.session import broadcast_if_small, written
 #: Strength of the word probabilities against the counted pairs.
 SMOOTHING = 10.0
 DECIMALS = 6
-#: Bytes of text for one bucket. A byte has one key at most, and a key in about 10 bytes is usual.
-BUCKET_BYTES = 16_000_000
+#: Words for one bucket, which ask for two keys each at most.
+BUCKET_WORDS = 2_500_000
 ROWS_A_BATCH = 16
 
 SCORED = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
@@ -59,7 +59,6 @@ SLICE = {
 }
 REQUEST = {"keys": np.uint64, "is_word": np.bool_, "own": np.uint32}
 ANSWER = {"sums": np.int64}
-TOTALS = ["target_words", "background_words", "vocabulary"]
 
 
 def words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
@@ -132,53 +131,71 @@ def in_text(places: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
 
 
 def packed(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Rows whose arrays go as compressed bytes, a few in a batch."""
+    """Rows whose arrays go compressed, the first bytes of all numbers, then the second ones and so on."""
     press = zstandard.ZstdCompressor(level=1).compress
+
+    def planes(array: np.ndarray) -> bytes:
+        array = np.ascontiguousarray(array).reshape(-1)
+        return press(array.view(np.uint8).reshape(-1, array.itemsize).T.tobytes())
+
     for some in itertools.batched(rows, ROWS_A_BATCH):
         bare = [
-            {k: press(v.tobytes()) if isinstance(v, np.ndarray) else v for k, v in row.items()}
-            for row in some
+            {k: planes(v) if isinstance(v, np.ndarray) else v for k, v in row.items()} for row in some
         ]
         yield pa.RecordBatch.from_pylist(bare, schema)
 
 
-def unpacked(table: pa.Table, name: str, kind: type) -> list[np.ndarray]:
+def unpacked(table: pa.Table | pa.RecordBatch, name: str, kind: type) -> Iterator[np.ndarray]:
     """The arrays of a column, in the order of the rows."""
     expand = zstandard.ZstdDecompressor().decompress
-    return [np.frombuffer(expand(value.as_py()), kind) for value in table[name]]
+    size = np.dtype(kind).itemsize
+    for value in table[name]:
+        planes = np.frombuffer(expand(value.as_py()), np.uint8).reshape(size, -1)
+        yield np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
-def steps(keys: np.ndarray) -> np.ndarray:
-    """Rising keys as differences, byte by byte of all, so that the leading zeros compress."""
-    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+def schema_of(arrays: dict[str, type], *longs: str) -> pa.Schema:
+    return pa.schema([*((name, pa.int64()) for name in longs), *((name, pa.binary()) for name in arrays)])
 
 
-def from_steps(packed_steps: np.ndarray) -> np.ndarray:
-    planes = packed_steps.view(np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+def ddl(schema: pa.Schema) -> str:
+    return ", ".join(f"{field.name} {'long' if field.type == pa.int64() else 'binary'}" for field in schema)
 
 
-def schema_of(arrays: dict[str, type], *longs: str) -> pa.Schema:
-    fields = [(name, pa.int64()) for name in ("bucket", "slice", *longs)]
-    return pa.schema([*fields, *((name, pa.binary()) for name in arrays)])
+CUT = schema_of(SLICE, "slice", "target_words", "background_words")
+ASKED = schema_of(REQUEST, "bucket", "slice")
+ANSWERED = schema_of(ANSWER, "bucket", "slice", "vocabulary")
 
 
-def ddl(schema: pa.Schema) -> str:
-    return ", ".join(f"{field.name} {'long' if field.type == pa.int64() else 'binary'}" for field in schema)
+def cut(rows: DataFrame) -> DataFrame:
+    """A row for each slice of texts. To be written, as a task that runs again may cut otherwise."""
 
+    def of(number: int, part: pa.Table) -> dict:
+        tokens = Tokens.of(part)
+        ids = one_array(part, "doc_id")
+        arrays = (
+            ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(False), tokens.target, tokens.sizes,
+            tokens.hashes, tokens.codes.astype(np.uint32),
+        )
+        own = int(tokens.sizes[tokens.target].sum())
+        totals = {"target_words": own, "background_words": len(tokens.codes) - own}
+        return {"slice": number} | totals | dict(zip(SLICE, arrays))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        for number, part in enumerate(slices(batches), first):
+            yield from packed([of(number, part)], CUT)
+
+    return rows.mapInArrow(run, ddl(CUT))
 
-SENT, RETURNED = schema_of(SLICE | REQUEST), schema_of(SLICE | ANSWER, *TOTALS)
 
+def tokens_of(table: pa.Table | pa.RecordBatch) -> Iterator[Tokens]:
+    names = ("sizes", "target", "hashes", "codes")
+    return map(Tokens, *(unpacked(table, name, SLICE[name]) for name in names))
 
-def requests(number: int, part: pa.Table, buckets: int) -> Iterator[dict]:
-    """A row with the words of a slice, and one for each bucket with the keys it is asked for."""
-    tokens = Tokens.of(part)
-    ids = one_array(part, "doc_id")
-    arrays = (
-        ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(False), tokens.target, tokens.sizes,
-        tokens.hashes, tokens.codes.astype(np.uint32),
-    )
-    yield {"bucket": number % buckets, "slice": number} | dict(zip(SLICE, arrays))
+
+def requests(number: int, tokens: Tokens, buckets: int) -> Iterator[dict]:
+    """For each bucket the keys that a slice asks for."""
     if not len(tokens.codes):
         return
     keys, order, pairs = tokens.keys()
@@ -196,52 +213,43 @@ def requests(number: int, part: pa.Table, buckets: int) -> Iterator[dict]:
     bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
     numbers, firsts = np.unique(bucket, return_index=True)
     for one, a, b in zip(numbers.tolist(), firsts, [*firsts[1:], len(keys)]):
-        found = (steps(keys[a:b]), is_word[a:b], own[:, a:b].astype(np.uint32))
+        # The keys rise; as differences they have leading zeros.
+        steps = np.diff(keys[a:b], prepend=np.uint64(0))
+        found = (steps, is_word[a:b], own[:, a:b].astype(np.uint32))
         yield {"bucket": one, "slice": number} | dict(zip(REQUEST, found))
 
 
-def asked(rows: DataFrame, buckets: int) -> DataFrame:
+def asked(cuts: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The rows were written, so a task that runs again makes the same slices.
-        first = TaskContext.get().partitionId() << 32
-        for number, part in enumerate(slices(batches), first):
-            yield from packed(requests(number, part, buckets), SENT)
+        for batch in batches:
+            for number, tokens in zip(batch["slice"].to_pylist(), tokens_of(batch)):
+                yield from packed(requests(number, tokens, buckets), ASKED)
 
-    return rows.mapInArrow(run, ddl(SENT))
+    return cuts.select("slice", *SLICE).mapInArrow(run, ddl(ASKED))
 
 
 def answered(table: pa.Table) -> pa.Table:
-    """The sums of a bucket's keys for each slice that asked; rows with words as they are."""
-    whole = pc.is_valid(table["ids"])
-    slices_here = table.filter(whole).select(["bucket", "slice", *SLICE])
-    for name, kind in (("target_words", True), ("background_words", False)):
-        totals = [
-            int(sizes[target == kind].sum())
-            for sizes, target in zip(unpacked(slices_here, "sizes", np.int64), unpacked(slices_here, "target", np.bool_))
-        ]
-        slices_here = slices_here.append_column(name, pa.array(totals, pa.int64()))
-    back = [RETURNED.empty_table(), slices_here]
-    table = table.filter(pc.invert(whole)).select(["bucket", "slice", *REQUEST])
-    if table.num_rows:
-        parts = [from_steps(one) for one in unpacked(table, "keys", np.uint64)]
-        lengths = [len(one) for one in parts]
-        keys, places = np.unique(np.concatenate(parts), return_inverse=True)
-        ends = np.cumsum([0, *lengths])
-        sums, is_word = np.zeros((2, len(keys)), np.int64), np.zeros(len(keys), bool)
-        flags = unpacked(table, "is_word", np.bool_)
-        for flag, own, a, b in zip(flags, unpacked(table, "own", np.uint32), ends[:-1], ends[1:]):
-            # The keys of a slice are different ones, so no place comes twice.
-            sums[:, places[a:b]] += own.reshape(2, -1)
-            is_word[places[a:b]] |= flag
-        new_words = itertools.chain([int(is_word.sum())], itertools.repeat(0))
-        found = (
-            {"bucket": bucket, "slice": number, "vocabulary": new, "sums": sums[:, places[a:b]]}
-            for bucket, number, new, a, b in zip(
-                table["bucket"].to_pylist(), table["slice"].to_pylist(), new_words, ends[:-1], ends[1:]
-            )
+    """The sums of a bucket's keys for each slice that asked, and the number of words among the keys."""
+    table = table.sort_by("slice")
+    parts = [np.cumsum(one, dtype=np.uint64) for one in unpacked(table, "keys", np.uint64)]
+    ends = np.cumsum([0, *map(len, parts)])
+    keys, places = np.unique(np.concatenate(parts), return_inverse=True)
+    del parts
+    spans = list(zip(ends[:-1], ends[1:]))
+    sums, is_word = np.zeros((2, len(keys)), np.int64), np.zeros(len(keys), bool)
+    flags, owns = (unpacked(table, name, REQUEST[name]) for name in ("is_word", "own"))
+    for (a, b), flag, own in zip(spans, flags, owns):
+        # The keys of a slice are different ones, so no place comes twice.
+        sums[:, places[a:b]] += own.reshape(2, -1)
+        is_word[places[a:b]] |= flag
+    new_words = itertools.chain([int(is_word.sum())], itertools.repeat(0))
+    found = (
+        {"bucket": bucket, "slice": number, "vocabulary": new, "sums": sums[:, places[a:b]]}
+        for bucket, number, new, (a, b) in zip(
+            table["bucket"].to_pylist(), table["slice"].to_pylist(), new_words, spans
         )
-        back += [pa.Table.from_batches([batch]) for batch in packed(found, RETURNED)]
-    return pa.concat_tables(back, promote_options="default")
+    )
+    return pa.Table.from_batches(packed(found, ANSWERED), ANSWERED)
 
 
 def losses(tokens: Tokens, sums: np.ndarray, seen: np.ndarray, vocabulary: int) -> np.ndarray:
@@ -269,23 +277,20 @@ def losses(tokens: Tokens, sums: np.ndarray, seen: np.ndarray, vocabulary: int)
     return np.vstack(out)
 
 
-def scored(table: pa.Table, seen: np.ndarray, vocabulary: int) -> pa.Table:
+def scored(cuts: pa.Table, answers: pa.Table, seen: np.ndarray, vocabulary: int) -> pa.Table:
     """The scores of a slice's documents."""
-    table = table.sort_by("bucket")
-    whole = pc.is_valid(table["ids"])
-    ids, without_id, target, sizes, hashes, codes = (
-        unpacked(table.filter(whole), name, kind)[0] for name, kind in SLICE.items()
-    )
-    answers = [one.reshape(2, -1) for one in unpacked(table.filter(pc.invert(whole)), "sums", np.int64)]
-    sums = np.hstack(answers) if answers else np.empty((2, 0))
-    summed = losses(Tokens(sizes, target, hashes, codes), sums, seen, vocabulary)
-    number = np.maximum(sizes, 1)
+    tokens = next(tokens_of(cuts))
+    sums = [np.empty((2, 0), np.int64)]
+    sums += [one.reshape(2, -1) for one in unpacked(answers.sort_by("bucket"), "sums", ANSWER["sums"])]
+    summed = losses(tokens, np.hstack(sums), seen, vocabulary)
+    ids, without_id = (next(unpacked(cuts, name, SLICE[name])) for name in ("ids", "without_id"))
+    number = np.maximum(tokens.sizes, 1)
     means = np.round(summed / number, DECIMALS)
     difference = np.round((summed[0] - summed[1]) / number, DECIMALS)
     return pa.table(
         {
             "doc_id": pa.array(ids, mask=without_id),
-            "n_tokens": sizes,
+            "n_tokens": tokens.sizes,
             "target_loss": means[0],
             "background_loss": means[1],
             "score": difference,
@@ -293,18 +298,19 @@ def scored(table: pa.Table, seen: np.ndarray, vocabulary: int) -> pa.Table:
     )
 
 
-def score(docs: DataFrame, target: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def score(docs: DataFrame, target: DataFrame, bucket_words: int = BUCKET_WORDS) -> DataFrame:
     """Mean losses and their difference for every row; `target` has the doc_ids of target documents."""
     ready(docs.sparkSession)
-    rows = written(flagged(docs, target), "flagged")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = -(-size // bucket_bytes) or 1
-    answers = asked(rows, buckets).groupBy("bucket").applyInArrow(answered, ddl(RETURNED))
+    cuts = written(cut(flagged(docs, target)), "slices")
+    totals = cuts.agg(F.sum("target_words"), F.sum("background_words")).first()
+    seen = np.array([total or 0 for total in totals], np.float64)
+    buckets = max(1, -(-int(seen.sum()) // bucket_words))
+    answers = asked(cuts, buckets).groupBy("bucket").applyInArrow(answered, ddl(ANSWERED))
     answers = written(answers, "answers")
-    *seen, vocabulary = (total or 0 for total in answers.agg(*(F.sum(name) for name in TOTALS)).first())
-    seen = np.array(seen, np.float64)
+    vocabulary = answers.agg(F.sum("vocabulary")).first()[0] or 0
     return (
-        answers.drop(*TOTALS)
+        cuts.select("slice", *SLICE)
         .groupBy("slice")
-        .applyInArrow(lambda table: scored(table, seen, vocabulary), SCORED)
+        .cogroup(answers.drop("vocabulary").groupBy("slice"))
+        .applyInArrow(lambda left, right: scored(left, right, seen, vocabulary), SCORED)
     )

@@ -232,13 +232,13 @@ def test_language_model_prefers_its_own(spark):
     assert max(scores[k] for k in (31, 33, 35)) < min(scores[k] for k in (30, 32, 34))
 
 
-@pytest.mark.parametrize("bucket_bytes", [lm_score.BUCKET_BYTES, 20_000, 1000])
-def test_language_model_counts_every_word_and_pair(spark, edge_docs, edges, bucket_bytes):
+@pytest.mark.parametrize("bucket_words", [lm_score.BUCKET_WORDS, 3000, 100])
+def test_language_model_counts_every_word_and_pair(spark, edge_docs, edges, bucket_words):
     """However many buckets there are, the losses are those of plain counts."""
     target = spark.createDataFrame([(1,), (2,), (3,), (506,), (600,)], "doc_id long")
     rows = [*edges, (None, "no id"), (None, None)]
     want = language_model(rows, {1, 2, 3, 506, 600})
-    got = [tuple(r) for r in lm_score.score(edge_docs, target, bucket_bytes).collect()]
+    got = [tuple(r) for r in lm_score.score(edge_docs, target, bucket_words).collect()]
     order = lambda row: (row[0] is None, row[0] or 0, row[1])
     for one, other in zip(sorted(got, key=order), sorted(want, key=order), strict=True):
         assert one[:2] == other[:2] and one[2:] == pytest.approx(other[2:], abs=2e-6)
