@@ -1,5 +1,11 @@
 """The corpus pipeline: toxic documents, recurring lines, near duplicates and benchmark items go, and
-what is left is packed into sequences. Each stage is written as Parquet and read by the next."""
+what is left is packed into sequences. Each stage is written as Parquet and read by the next.
+
+Defined results: a null text is scored as an empty one, has no lines, is no near duplicate and clean,
+and gives packing one piece, its end id. Rows without doc_id are judged by their text; near dedup
+keeps them all. Of rows that share a doc_id near dedup leaves one, of equal texts the one of the
+smallest doc_id. Texts are read whole, however long. An empty table gives no rows. All stages but
+the last return the columns they were given, whatever their names."""
 
 from __future__ import annotations
 
