@@ -126,6 +126,21 @@ def contamination(rows, items, percent=80):
     return out
 
 
+def short_copies(rows, items, percent=80):
+    """doc_ids of documents that have fewer runs of words than an item and are alike to it as a whole."""
+    words = lambda text: [word for word in re.split(r"[\W_]+", (text or "").lower()) if word]
+    out = set()
+    for _, text in items:
+        width = min(5, len(words(text)))
+        bag = collections.Counter(zip(*[words(text)[k:] for k in range(width)]))
+        for doc_id, document in rows:
+            own = collections.Counter(zip(*[words(document)[k:] for k in range(width)]))
+            if 0 < own.total() < bag.total():
+                if (100 + percent) * (own & bag).total() >= percent * (own.total() + bag.total()):
+                    out.add(doc_id)
+    return out
+
+
 def language_model(rows, target, smoothing=10.0):
     """(doc_id, words, target loss, background loss, score) by counts of all words and pairs."""
     texts = [(i in target, [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]) for i, text in rows]

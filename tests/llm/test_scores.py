@@ -11,7 +11,9 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from brute import SMALL, base_spans, documents, language_model
+from brute import (
+    SMALL, base_spans, components, contamination, documents, language_model, short_copies, table,
+)
 from check import oracle_rows, spark_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -21,6 +23,7 @@ import corpus_pipeline
 from baleflow.llm import lm_score, pii, topk, toxicity
 from baleflow.llm.oracle import SQL
 from baleflow.llm.queries import QUERIES
+from baleflow.session import written
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -271,6 +274,44 @@ def test_pipeline_stages(spark):
     assert not [i for i in ids if any(item in plain(texts[i]) for item in items)]
 
 
+def test_each_stage_on_what_its_predecessor_kept(spark):
+    """Every stage against the brute versions, over the rows that the stage before it has left."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    before = {row.doc_id: row for row in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SMALL), f"test-{name}")
+        rows = docs.collect()
+        kept = {row.doc_id: row for row in rows}
+        assert len(kept) == len(rows) and set(kept) <= set(before), name
+        if name == "line_dedup":
+            assert set(kept) == set(before)
+            for i, row in kept.items():
+                lines = iter((before[i].text or "").split("\n"))
+                assert all(line in lines for line in (row.text or "").split("\n") if line)
+        else:
+            assert all(row == before[i] for i, row in kept.items()), name
+        pairs = [(i, row.text) for i, row in before.items()]
+        if name == "toxicity":
+            model = toxicity.train(spark.createDataFrame(list(before.values()), docs.schema), spark.read.parquet(f"{SMALL}/labels.parquet"))
+            scores = toxicity.score(spark.createDataFrame(list(before.values()), docs.schema), model).collect()
+            assert set(kept) == {row.doc_id for row in scores if not row.predicted}
+        if name == "near_dedup":
+            assert set(kept) == {i for i, _, lowest in components(pairs, 5, 80) if i == lowest}
+        if name == "decontamination":
+            items = table(SMALL, "benchmark", "item_id, text")
+            assert set(before) - set(kept) == {i for i, _ in contamination(pairs, items)} | short_copies(pairs, items)
+        before = kept
+    # Every document that is left is packed whole, without gaps, in sequences that are not too long.
+    pieces = corpus_pipeline.pack(spark, docs, SMALL).collect()
+    assert {row.doc_id for row in pieces} == set(before)
+    for key, at in (("doc_id", "start"), ("sequence_id", "offset")):
+        ends = {}
+        for row in sorted(pieces, key=lambda row: (row[key], row[at])):
+            assert row[at] == ends.get(row[key], 0)
+            ends[row[key]] = row[at] + row.length
+        assert key == "doc_id" or max(ends.values()) <= 2048
+
+
 def test_pipeline_keeps_columns_and_survives_edges(spark, edge_docs, no_docs):
     for docs in (edge_docs, no_docs):
         for name, stage in corpus_pipeline.STAGES[:-1]:
