@@ -126,6 +126,51 @@ def contamination(rows, items, percent=80):
     return out
 
 
+def without_templates(rows, depth=3, least=3):
+    """Texts without the lines of templates that recur in documents of different lines."""
+    def parsed(line):
+        line = re.sub(r"[^ \t\n\r\v\f]*[0-9][^ \t\n\r\v\f]*", "<*>", lower(line))
+        return tuple(re.findall(r"[^ \t\n\r\v\f]+", line))
+
+    documents = {row: frozenset(filter(None, map(parsed, (row[1] or "").split("\n")))) for row in rows}
+    leaves, holders = collections.defaultdict(set), collections.defaultdict(list)
+    for row in rows:
+        for line in documents[row]:
+            leaves[len(line), line[:depth]].add(line)
+            holders[len(line), line[:depth]].append(row)
+    names = collections.defaultdict(set)
+    for leaf, lines in leaves.items():
+        if len(holders[leaf]) < least or len(set(holders[leaf])) == 1:
+            continue
+        shared = collections.Counter(place for line in lines for place in enumerate(line))
+        needed = -(-7 * leaf[0] // 10)
+        more = {}
+        for line in lines:
+            often = sorted((shared[place] for place in enumerate(line) if shared[place] > 1), reverse=True)
+            names[line].add(line)
+            if len(often) >= needed:
+                kept = frozenset(p for p in enumerate(line) if shared[p] > 1 and shared[p] >= often[needed - 1])
+                names[line] = {(leaf, kept)}
+                more[line] = kept
+        known = {name for line in more for name in names[line]}
+        for line, kept in more.items():
+            if len(kept) > needed:
+                names[line] |= {(leaf, kept - {place}) for place in kept} & known
+    different = collections.defaultdict(set)
+    for lines in documents.values():
+        for line in lines:
+            for name in names[line]:
+                different[name].add(lines)
+    out = []
+    for row in rows:
+        text, lines = row[1], (row[1] or "").split("\n")
+        gone = [any(len(different[name]) >= least for name in names[parsed(line)]) for line in lines]
+        full = [bool(parsed(line)) for line in lines]
+        whole = not any(gone) or gone == full
+        out.append((row[0], text if whole else "\n".join(line for line, g in zip(lines, gone) if not g)))
+    return out
+
+
 def short_copies(rows, items, percent=80):
     """doc_ids of documents that have fewer runs of words than an item and are alike to it as a whole."""
     words = lambda text: [word for word in re.split(r"[\W_]+", (text or "").lower()) if word]

@@ -2,10 +2,13 @@
 
 import collections
 import hashlib
+import random
 
 import numpy as np
 import pytest
-from brute import SMALL, components, contamination, documents, table, without_repeats
+from brute import (
+    SMALL, components, contamination, documents, table, without_repeats, without_templates,
+)
 from pyspark.sql import functions as F
 
 from baleflow.llm import decontaminate, line_templates, lpf_dedup, near_dup
@@ -276,3 +279,29 @@ def test_nothing(spark, no_docs):
     docs = spark.createDataFrame(documents()[:9], "doc_id long, text string")
     assert decontaminate.matches(docs, nothing).count() == 0
     assert decontaminate.clean(docs, nothing).where(F.col("doc_id") >= 0).count() == 9
+
+
+def template_rows(seed):
+    """Documents of few words in lines of like beginnings, with fields, copies and rows that repeat."""
+    rng = random.Random(seed)
+    heads = ["posted by the user", "all rights are reserved", "see page"]
+    rows = []
+    for k in range(60):
+        lines = []
+        for _ in range(rng.randint(0, 6)):
+            words = rng.choice(heads).split() + rng.choices(["anna", "bob", "in", "on", f"{rng.randint(1, 99)}", "Rome"], k=rng.randint(0, 7))
+            lines.append(rng.choice(["", " "]) + " ".join(words))
+        if rng.random() < 0.7:
+            lines.append("own words " + " ".join(rng.choices("abcdefghijklmnop", k=8)))
+        rows.append((k, "\n".join(lines)))
+    return rows + [(100, rows[0][1]), (101, rows[0][1]), rows[1], rows[1], (102, None), (103, ""), (104, "\n \n")]
+
+
+@pytest.mark.parametrize("rows", [documents(), *map(template_rows, range(3))], ids=["table", "a", "b", "c"])
+def test_templates_equal_brute_force(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(row) for row in line_templates.cleaned(docs).collect()]
+    want = without_templates(rows)
+    order = lambda row: (row[0], row[1] or "")
+    assert sorted(got, key=order) == sorted(want, key=order)
+    assert sum(a != b for a, b in zip(sorted(rows, key=order), sorted(want, key=order))) > 5
