@@ -240,12 +240,12 @@ FEW = 4
 
 
 def raw_orders_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`raw_orders`, most orders numbered as long ones are."""
+    """`raw_orders`, numbered as long orders are."""
     return numbered_lines(spark, sf_dir, FEW).drop("long")
 
 
 def order_running_totals_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`order_running_totals`, most orders numbered and summed in blocks as long ones are."""
+    """`order_running_totals`, numbered and summed in blocks as long orders are."""
     lines = prepare.prepare_orders(numbered_lines(spark, sf_dir, FEW))
     return totals.running_totals(totals.as_sales(prepare.priced_orders(lines)), FEW, marked=True)
 

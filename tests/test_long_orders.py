@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import oracle_sql
 from baleflow import session
 from baleflow.operators import prepare, totals
-from baleflow.operators.long_keys import long_keys
+from baleflow.operators.long_keys import long_keys, number_apart, number_short
 from baleflow.plans import queries as plans
 from baleflow.sources import staging, topics
 
@@ -103,3 +103,28 @@ def test_skewed_join_partition_is_split(spark, skewed, name):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("task_rows", [1, 3])
+def test_most_orders_long(spark, skewed, broadcast, task_rows):
+    """All lines go the way of long orders, dealt by order once, not for each kind of order."""
+    numbered = staging.numbered_lines(spark, skewed, task_rows)
+    assert numbered.where("NOT long").count() == 0
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_suppkey" not in plan  # what orders the lines is not shuffled again
+    assert spark_rows(numbered.drop("long")) == oracle_rows(skewed, oracle_sql()["raw_orders"])
+    running = totals.running_totals(sales(spark, skewed, task_rows), task_rows, marked=True)
+    assert spark_rows(running) == oracle_rows(skewed, oracle_sql()["order_running_totals"])
+
+
+def test_only_keys_cut_by_a_range_have_spans(spark, skewed):
+    lines = spark.read.parquet(f"{skewed}/lineitem.parquet")
+    lines = lines.withColumn("copy", F.monotonically_increasing_id())
+    order = [*staging.ARRIVAL, "copy"]
+    whole, cut, cut_keys = number_apart(lines, "l_orderkey", order, lines.count(), 4, ["copy"])
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 0 < cut_keys.count() < ranges
+    assert (7,) in [tuple(row) for row in cut_keys.collect()]
+    assert whole.join(cut_keys, "l_orderkey", "left_semi").count() == 0
+    want = number_short(lines, "l_orderkey", order).select("l_orderkey", "copy", "seq")
+    assert spark_rows(whole.select(want.columns).unionByName(cut)) == spark_rows(want)
