@@ -128,3 +128,13 @@ def test_only_keys_cut_by_a_range_have_spans(spark, skewed):
     assert whole.join(cut_keys, "l_orderkey", "left_semi").count() == 0
     want = number_short(lines, "l_orderkey", order).select("l_orderkey", "copy", "seq")
     assert spark_rows(whole.select(want.columns).unionByName(cut)) == spark_rows(want)
+
+
+def test_only_later_blocks_are_carried_into(spark):
+    rows = [(key, seq, key + seq, f"2000-01-0{seq} 00:00:00") for key in range(5) for seq in range(1, 8 - key)]
+    table = spark.createDataFrame(rows, "id BIGINT, seq BIGINT, amount BIGINT, event_time STRING")
+    table = table.withColumn("event_time", F.expr("CAST(event_time AS TIMESTAMP_NTZ)"))
+    blocks = totals._running_in_blocks(table, 3)
+    plan = blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" in plan and "> 0" in plan
+    assert spark_rows(blocks) == spark_rows(totals._running(table, "id"))
