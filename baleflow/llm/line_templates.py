@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from baleflow.llm.common import mixed, one_array, ready, slices, string_hashes, to_batches
+from baleflow.llm.common import by_slice, mixed, one_array, ready, string_hashes, to_batches
 from baleflow.session import broadcast_if_small, written
 
 #: Leading words that lead to a leaf, besides the number of words.
@@ -79,59 +79,57 @@ def parsed(texts: pa.Array):
     return hashes[codes], leaves[codes], sizes[codes], counts
 
 
-def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def parse(part: pa.Table) -> list[pa.RecordBatch]:
     """One row per document and distinct line that is not empty."""
-    for part in slices(batches):
-        hashes, leaves, sizes, counts = parsed(one_array(part, "text"))
-        text = np.repeat(np.arange(len(counts)), counts)
-        full = sizes > 0
-        hashes, leaves, text = hashes[full], leaves[full], text[full]
-        order = np.lexsort((hashes, text))
-        hashes, leaves, text = hashes[order], leaves[order], text[order]
-        new = np.ones(len(text), bool)
-        new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
-        hashes, leaves, text = hashes[new], leaves[new], text[new]
-        # The set of a text's lines, as the sum of their mixed hashes.
-        sums = np.zeros(len(counts), np.uint64)
-        np.add.at(sums, text, mixed(hashes))
-        whole = sums[text]
-        places = pa.array(text)
-        yield from to_batches(
-            {
-                "key": one_array(part, "key").take(places),
-                "twin": one_array(part, "twin").take(places),
-                "leaf": leaves.view(np.int64),
-                "line": hashes.view(np.int64),
-                "whole": whole.view(np.int64),
-            }
-        )
-
-
-def word_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes, leaves, sizes, counts = parsed(one_array(part, "text"))
+    text = np.repeat(np.arange(len(counts)), counts)
+    full = sizes > 0
+    hashes, leaves, text = hashes[full], leaves[full], text[full]
+    order = np.lexsort((hashes, text))
+    hashes, leaves, text = hashes[order], leaves[order], text[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
+    hashes, leaves, text = hashes[new], leaves[new], text[new]
+    # The set of a text's lines, as the sum of their mixed hashes.
+    sums = np.zeros(len(counts), np.uint64)
+    np.add.at(sums, text, mixed(hashes))
+    whole = sums[text]
+    places = pa.array(text)
+    return to_batches(
+        {
+            "key": one_array(part, "key").take(places),
+            "twin": one_array(part, "twin").take(places),
+            "leaf": leaves.view(np.int64),
+            "line": hashes.view(np.int64),
+            "whole": whole.view(np.int64),
+        }
+    )
+
+
+def word_places(part: pa.Table) -> Iterator[pa.RecordBatch]:
     """leaf, line and the hashes of the words, for the asked lines of each document."""
-    for part in slices(batches):
-        asked = one_array(part, "asked")
-        lines, counts = lines_of(one_array(part, "text"))
-        hashes, leaves, sizes, _ = parsed(one_array(part, "text"))
-        text = np.repeat(np.arange(len(counts)), counts)
-        wanted_text = np.repeat(np.arange(len(asked)), np.diff(asked.offsets.to_numpy()))
-        wanted = np.unique(mixed(asked.flatten().to_numpy().view(np.uint64)) ^ wanted_text.astype(np.uint64))
-        own = mixed(hashes) ^ text.astype(np.uint64)
-        _, first = np.unique(own, return_index=True)
-        chosen = first[np.isin(own[first], wanted)]
-        words = pc.ascii_split_whitespace(lines.take(pa.array(chosen)))
-        known = words.flatten().dictionary_encode()
-        flat = string_hashes(known.dictionary).view(np.int64)[known.indices.to_numpy()]
-        offsets = words.offsets.to_numpy()
-        yield pa.RecordBatch.from_pydict(
-            {
-                "leaf": leaves[chosen].view(np.int64),
-                "line": hashes[chosen].view(np.int64),
-                "words": pa.ListArray.from_arrays(
-                    pa.array(offsets - offsets[0], pa.int32()), pa.array(flat, pa.int64())
-                ),
-            }
-        )
+    asked = one_array(part, "asked")
+    lines, counts = lines_of(one_array(part, "text"))
+    hashes, leaves, sizes, _ = parsed(one_array(part, "text"))
+    text = np.repeat(np.arange(len(counts)), counts)
+    wanted_text = np.repeat(np.arange(len(asked)), np.diff(asked.offsets.to_numpy()))
+    wanted = np.unique(mixed(asked.flatten().to_numpy().view(np.uint64)) ^ wanted_text.astype(np.uint64))
+    own = mixed(hashes) ^ text.astype(np.uint64)
+    _, first = np.unique(own, return_index=True)
+    chosen = first[np.isin(own[first], wanted)]
+    words = pc.ascii_split_whitespace(lines.take(pa.array(chosen)))
+    known = words.flatten().dictionary_encode()
+    flat = string_hashes(known.dictionary).view(np.int64)[known.indices.to_numpy()]
+    offsets = words.offsets.to_numpy()
+    yield pa.RecordBatch.from_pydict(
+        {
+            "leaf": leaves[chosen].view(np.int64),
+            "line": hashes[chosen].view(np.int64),
+            "words": pa.ListArray.from_arrays(
+                pa.array(offsets - offsets[0], pa.int32()), pa.array(flat, pa.int64())
+            ),
+        }
+    )
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -162,7 +160,7 @@ def templates(rows: DataFrame, lines: DataFrame) -> DataFrame:
     ids = broadcast_if_small(asked.select("key", "twin"))
     some = rows.select("key", "twin", "text").join(ids, ["key", "twin"], "left_semi")
     read = some.join(asked, ["key", "twin"]).select("text", "asked").mapInArrow(
-        word_places, "leaf long, line long, words array<long>"
+        by_slice(word_places), "leaf long, line long, words array<long>"
     )
     # Rows that repeat give the same line twice.
     words = written(read.dropDuplicates(["leaf", "line"]), "line-words")
@@ -195,7 +193,7 @@ def templates(rows: DataFrame, lines: DataFrame) -> DataFrame:
 
 def recurring(rows: DataFrame) -> DataFrame:
     """key, twin and the hashes of the lines of recurring templates, one row per document."""
-    all_lines = rows.select("key", "twin", "text").mapInArrow(parse, PARSED)
+    all_lines = rows.select("key", "twin", "text").mapInArrow(by_slice(parse), PARSED)
     lines = written(all_lines, "lines")
     busy = lines.groupBy("leaf").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "twin")).alias("low"),
@@ -236,31 +234,30 @@ def parsed_rows(docs: DataFrame) -> DataFrame:
     found = recurring(rows)
     joined = rows.join(found, ["key", "twin"], "left").select("row", "missing", "text", "recurring")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            texts = one_array(part, "text")
-            hashes, _, sizes, counts = parsed(texts)
-            ends = np.cumsum(counts)
-            recurring_lines = one_array(part, "recurring")
-            out, dropped = texts.to_pylist(), np.zeros(len(texts), np.int64)
-            for place in np.flatnonzero(recurring_lines.is_valid().to_numpy(False)).tolist():
-                own = slice(int(ends[place] - counts[place]), int(ends[place]))
-                lines = recurring_lines[place].values.to_numpy().view(np.uint64)
-                out[place], dropped[place] = without_recurring(
-                    out[place], hashes[own], sizes[own], lines
-                )
-            columns = {
-                "row": part.column("row"),
-                "missing": part.column("missing"),
-                "text": pa.array(out, pa.string()),
-                "n_lines": counts,
-                "n_dropped": dropped,
-            }
-            yield from pa.table(columns).to_batches(max_chunksize=256)
+    def cut(part: pa.Table) -> list[pa.RecordBatch]:
+        texts = one_array(part, "text")
+        hashes, _, sizes, counts = parsed(texts)
+        ends = np.cumsum(counts)
+        recurring_lines = one_array(part, "recurring")
+        out, dropped = texts.to_pylist(), np.zeros(len(texts), np.int64)
+        for place in np.flatnonzero(recurring_lines.is_valid().to_numpy(False)).tolist():
+            own = slice(int(ends[place] - counts[place]), int(ends[place]))
+            lines = recurring_lines[place].values.to_numpy().view(np.uint64)
+            out[place], dropped[place] = without_recurring(
+                out[place], hashes[own], sizes[own], lines
+            )
+        columns = {
+            "row": part.column("row"),
+            "missing": part.column("missing"),
+            "text": pa.array(out, pa.string()),
+            "n_lines": counts,
+            "n_dropped": dropped,
+        }
+        return pa.table(columns).to_batches(max_chunksize=256)
 
     fields = ", ".join(f"`{name}`: {kind}" for name, kind in docs.dtypes if name != "text")
     schema = f"row struct<{fields}>, missing boolean, text string, n_lines long, n_dropped long"
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(by_slice(cut), schema)
 
 
 def cleaned(docs: DataFrame) -> DataFrame:

@@ -34,12 +34,13 @@ from pyspark.sql import functions as F
 
 from baleflow.llm.common import (
     GOLDEN,
+    by_slice,
+    give_back,
     ids_and_texts,
     mixed,
     one_array,
     ready,
     shingle_hashes,
-    slices,
     to_batches,
 )
 from baleflow.session import broadcast_if_small, written
@@ -50,6 +51,8 @@ MISS = 1e-6
 #: A block of a list holds about so many nodes, and so many shingles.
 BLOCK_NODES = 1024
 BLOCK_SHINGLES = 2_000_000
+#: Sets take several times the bytes of their texts, which are read in slices of so many.
+SET_BYTES = 2_000_000
 
 SIGNED = "doc_id long, n_shingles long, node binary, signature binary"
 
@@ -101,23 +104,22 @@ def signatures(groups: list[np.ndarray]) -> np.ndarray:
 
 
 def signed(docs: DataFrame, width: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            groups = sets(one_array(part, "text"), width)
-            full = [group for group in groups if len(group)]
-            minima = iter(signatures(full) if full else [])
-            yield from to_batches(
-                {
-                    "doc_id": one_array(part, "doc_id"),
-                    "n_shingles": np.array([len(group) for group in groups], np.int64),
-                    "node": pa.array([node_of(g) if len(g) else None for g in groups], pa.binary()),
-                    "signature": pa.array(
-                        [next(minima).tobytes() if len(g) else None for g in groups], pa.binary()
-                    ),
-                }
-            )
-
-    return ids_and_texts(docs).mapInArrow(run, SIGNED)
+    def sign(part: pa.Table) -> list[pa.RecordBatch]:
+        groups = sets(one_array(part, "text"), width)
+        full = [group for group in groups if len(group)]
+        minima = iter(signatures(full) if full else [])
+        return to_batches(
+            {
+                "doc_id": one_array(part, "doc_id"),
+                "n_shingles": np.array([len(group) for group in groups], np.int64),
+                "node": pa.array([node_of(g) if len(g) else None for g in groups], pa.binary()),
+                "signature": pa.array(
+                    [next(minima).tobytes() if len(g) else None for g in groups], pa.binary()
+                ),
+            }
+        )
+
+    return ids_and_texts(docs).mapInArrow(by_slice(sign, SET_BYTES), SIGNED)
 
 
 def tokens_of(signature: np.ndarray) -> np.ndarray:
@@ -169,20 +171,19 @@ def lists(posted: DataFrame) -> DataFrame:
 def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """node and sorted shingles of the wanted nodes, read from one document each."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            groups = sets(one_array(part, "text"), width)
-            yield from to_batches(
-                {
-                    "node": pa.array([node_of(group) for group in groups], pa.binary()),
-                    "shingles": pa.array([group.tobytes() for group in groups], pa.binary()),
-                },
-                rows=256,
-            )
+    def with_shingles(part: pa.Table) -> list[pa.RecordBatch]:
+        groups = sets(one_array(part, "text"), width)
+        return to_batches(
+            {
+                "node": pa.array([node_of(group) for group in groups], pa.binary()),
+                "shingles": pa.array([group.tobytes() for group in groups], pa.binary()),
+            },
+            rows=256,
+        )
 
     ids = broadcast_if_small(wanted.select("doc_id"))
     texts = ids_and_texts(docs).join(ids, "doc_id", "left_semi")
-    found = texts.mapInArrow(run, "node binary, shingles binary")
+    found = texts.mapInArrow(by_slice(with_shingles, SET_BYTES), "node binary, shingles binary")
     return found
 
 
@@ -347,6 +348,8 @@ def links_of_groups(
             held.append(batch.slice(begin, end - begin))
     if held:
         yield links(held)
+        held.clear()
+    give_back()
 
 
 def between_components(

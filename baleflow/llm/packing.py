@@ -14,7 +14,6 @@ other than doc_id and text are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from baleflow.llm.bpe import encoder
-from baleflow.llm.common import ids_and_texts, one_array, ragged, ready, slices, to_batches
+from baleflow.llm.common import by_slice, ids_and_texts, one_array, ragged, ready, to_batches
 from baleflow.session import written
 
 #: Pieces that are packed together; a group loses at most about one bin against one large group.
 GROUP_PIECES = 20_000
+#: Ids and their places take many times the bytes of their texts, which are read in slices of so many.
+IDS_BYTES = 2_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -36,32 +37,30 @@ PACKED = PIECES + ", sequence_id long, offset long"
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
     """One row per piece of each document's ids and end id."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
-        for part in slices(batches):
-            ids, counts = encode(one_array(part, "text"))
-            ends = np.cumsum(counts)
-            ids = np.insert(ids, ends, end_id).astype("<u4")
-            counts = counts + 1
-            firsts = np.cumsum(counts) - counts
-            n = -(-counts // capacity)
-            piece = ragged(np.zeros_like(n), n)
-            start = piece * capacity
-            length = np.minimum(np.repeat(counts, n) - start, capacity)
-            at = np.repeat(firsts, n) + start
-            data = memoryview(ids).cast("B")
-            crc = [zlib.crc32(data[4 * a : 4 * (a + k)]) for a, k in zip(at.tolist(), length.tolist())]
-            yield from to_batches(
-                {
-                    "doc_id": one_array(part, "doc_id").take(pa.array(np.repeat(np.arange(len(n)), n))),
-                    "piece": piece.astype(np.int32),
-                    "start": start,
-                    "length": length,
-                    "ids_crc32": np.array(crc, np.int64),
-                }
-            )
-
-    return ids_and_texts(docs).mapInArrow(cut, PIECES)
+    def cut(part: pa.Table) -> list[pa.RecordBatch]:
+        ids, counts = encoder(tokenizer).encode(one_array(part, "text"))
+        ends = np.cumsum(counts)
+        ids = np.insert(ids, ends, end_id).astype("<u4")
+        counts = counts + 1
+        firsts = np.cumsum(counts) - counts
+        n = -(-counts // capacity)
+        piece = ragged(np.zeros_like(n), n)
+        start = piece * capacity
+        length = np.minimum(np.repeat(counts, n) - start, capacity)
+        at = np.repeat(firsts, n) + start
+        data = memoryview(ids).cast("B")
+        crc = [zlib.crc32(data[4 * a : 4 * (a + k)]) for a, k in zip(at.tolist(), length.tolist())]
+        return to_batches(
+            {
+                "doc_id": one_array(part, "doc_id").take(pa.array(np.repeat(np.arange(len(n)), n))),
+                "piece": piece.astype(np.int32),
+                "start": start,
+                "length": length,
+                "ids_crc32": np.array(crc, np.int64),
+            }
+        )
+
+    return ids_and_texts(docs).mapInArrow(by_slice(cut, IDS_BYTES), PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:

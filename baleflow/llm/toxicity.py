@@ -32,7 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from baleflow.llm.common import (
-    ids_and_texts, one_array, ready, shingle_hashes, slices, split_words, to_batches
+    by_slice, give_back, ids_and_texts, one_array, ready, shingle_hashes, slices, split_words,
+    to_batches,
 )
 from baleflow.session import written
 
@@ -40,6 +41,8 @@ from baleflow.session import written
 SAMPLE = (4500, 1500)
 #: Bytes of text of a class that reach the driver, at most.
 SAMPLE_BYTES = 64_000_000
+#: Whole documents pass through `ordinary`, in slices of about so many bytes of text.
+KEPT_BYTES = 2_000_000
 #: Bytes of the two trained dictionaries.
 BASE_BYTES, TOXIC_BYTES = 8192, 16384
 #: Passages of ordinary text, of so many words, that its dictionary is trained on: the ones of smallest
@@ -166,6 +169,8 @@ def passages(texts: list[str]) -> list[bytes]:
         for first in range(0, len(words), PASSAGE):
             held = f" {' '.join(words[first : first + PASSAGE])} ".encode()
             out[xxhash.xxh3_64_intdigest(held)] = held
+        if len(out) > 4 * PASSAGES:
+            out = {key: out[key] for key in sorted(out)[:PASSAGES]}
     return [out[key] for key in sorted(out)[:PASSAGES]]
 
 
@@ -201,7 +206,9 @@ def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
         base, added = dictionaries(toxic[half::2], ordinary[half::2])
         pair = Model(base, added, np.zeros(0)).compressors()
         for label, texts in ((1, toxic[1 - half :: 2]), (0, ordinary[1 - half :: 2])):
-            x.append(features(counted(pa.array(texts, pa.string()), *pair)))
+            rows = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+            for part in slices(iter([rows]), most=KEPT_BYTES):
+                x.append(features(counted(one_array(part, "text"), *pair)))
             y.append(np.full(len(texts), label))
     x, y = np.concatenate(x), np.concatenate(y)
     weights = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
@@ -251,13 +258,17 @@ def train(
         for row in one_each.select("doc_id", size).orderBy(turn, "doc_id").collect():
             if row["size"] <= left:
                 left -= row["size"]
-                chosen.append((row["doc_id"],))
-        ids = docs.sparkSession.createDataFrame(chosen, "doc_id long")
-        held = one_each.join(F.broadcast(ids), "doc_id").orderBy(turn, "doc_id").select("text").collect()
-        texts.append([row["text"] for row in held if row["text"]])
+                chosen.append(row["doc_id"])
+        # As Arrow: rows would go through Python workers of their own, and executors keep those.
+        ids = docs.sparkSession.createDataFrame(pa.table({"doc_id": pa.array(chosen, pa.int64())}))
+        held = one_each.join(F.broadcast(ids), "doc_id").orderBy(turn, "doc_id").select("text")
+        texts.append([row["text"] for row in held.collect() if row["text"]])
     if not texts[0] or not texts[1]:
         return None
-    return fit(texts[1], texts[0], counts[1] / (counts[0] + counts[1]))
+    model = fit(texts[1], texts[0], counts[1] / (counts[0] + counts[1]))
+    texts.clear()
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
@@ -266,14 +277,15 @@ def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = model.compressors() if model else None
-        for part in slices(batches):
+
+        def scored(part: pa.Table) -> list[pa.RecordBatch]:
             texts = one_array(part, "text")
             if model:
                 counts = counted(texts, *pair)
                 scores = 1 / (1 + np.exp(-np.clip(features(counts) @ model.weights, -30, 30)))
             else:
                 counts, scores = np.zeros((len(texts), 1), np.int64), np.zeros(len(texts))
-            yield from to_batches(
+            return to_batches(
                 {
                     "doc_id": one_array(part, "doc_id"),
                     "score": scores,
@@ -282,6 +294,8 @@ def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) ->
                 }
             )
 
+        yield from by_slice(scored)(batches)
+
     return ids_and_texts(docs).mapInArrow(run, SCORED)
 
 
@@ -293,9 +307,12 @@ def ordinary(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = model.compressors()
-        for part in slices(batches):
+
+        def kept(part: pa.Table) -> list[pa.RecordBatch]:
             texts = pc.fill_null(one_array(part, "text"), "")
             scores = 1 / (1 + np.exp(-np.clip(features(counted(texts, *pair)) @ model.weights, -30, 30)))
-            yield from part.filter(pa.array(scores < threshold)).to_batches(max_chunksize=256)
+            return part.filter(pa.array(scores < threshold)).to_batches(max_chunksize=256)
+
+        yield from by_slice(kept, KEPT_BYTES)(batches)
 
     return docs.mapInArrow(run, docs.schema)
